@@ -74,13 +74,19 @@ def words(text: str) -> str:
     return f"list_filter(string_split(regexp_replace({text}, '{BLANKS}', ' ', 'g'), ' '), lambda w: w <> '')"
 
 
+def upper_char(char: str) -> str:
+    """Upper case of one character. The sharp s has a two-letter capital, which DuckDB's ``upper``
+    does not produce."""
+    return f"CASE WHEN {char} = 'ß' THEN 'SS' ELSE upper({char}) END"
+
+
 def titlecase(text: str, elided: bool = True) -> str:
     particles = ", ".join(f"'{p}'" for p in PARTICLES)
-    first = "upper(substring(p, 1, 1)) || substring(p, 2)"
+    first = f"({upper_char('substring(p, 1, 1)')}) || substring(p, 2)"
     if elided:
         first = (
             "CASE WHEN starts_with(p, 'd''') AND length(p) > 2 "
-            f"THEN 'd''' || upper(substring(p, 3, 1)) || substring(p, 4) ELSE {first} END"
+            f"THEN 'd''' || ({upper_char('substring(p, 3, 1)')}) || substring(p, 4) ELSE {first} END"
         )
     hyphened = f"array_to_string(list_transform(string_split(w, '-'), lambda p: {first}), '-')"
     word = f"CASE WHEN i > 1 AND w IN ({particles}) THEN w ELSE {hyphened} END"
