@@ -1,6 +1,6 @@
 """Production reporting over truck-load events, built on Spark DataFrames."""
 
-from tripmill.operators.measures import TripCube, Trips
+from tripmill.operators.measures import TripCube, Trips, TripSummary
 from tripmill.plans.report import build_report, write_report
 from tripmill.schema import Roles, ensure_columns
 from tripmill.sources.star import StarColumns, StarTables
@@ -10,6 +10,7 @@ __all__ = [
     "StarColumns",
     "StarTables",
     "TripCube",
+    "TripSummary",
     "Trips",
     "build_report",
     "ensure_columns",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.numbers import safe_divide
 from tripmill.functions.text import fill_text, titlecase_card
-from tripmill.operators.measures import MeasureSource, facet_is
+from tripmill.operators.measures import FACETS, MeasureSource, grain_is
 
 
 def _largest(key: str, among: Column) -> Column:
@@ -34,8 +34,8 @@ def kpi_summary(source: MeasureSource) -> DataFrame:
     Days, vehicles and drivers are grouped in one pass over the source, and the small result is
     reduced once more. Totals include trips without a time; active days do not.
     """
-    on_day, on_vehicle, on_driver = facet_is("day"), facet_is("vehicle"), facet_is("driver")
-    found = source.facets().agg(
+    on_day, on_vehicle, on_driver = (grain_is(*facet) for facet in FACETS)
+    found = source.grains(*FACETS).agg(
         _over("volume", on_day).alias("total"),
         _over("n_trips", on_day).alias("n_trips"),
         _largest("vehicle", on_vehicle).alias("vehicle"),

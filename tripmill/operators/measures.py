@@ -1,15 +1,17 @@
-"""The additive measures every rollup is built from, and the two things that supply them.
-
-A measure frame holds some grouping keys (``day``, ``vehicle``, ``driver``, ``site``) and six
-measures that can be merged to any coarser grain. :class:`Trips` computes them from trip rows,
-:class:`TripCube` from a frame already aggregated to a finer grain. All aggregate buffers are
-fixed-width, so both run as hash aggregates with map-side combine: a key that holds a third of all
-rows arrives at the shuffle as one row per map task.
+"""The additive measures every rollup is built from, and the things that supply them.
+
+A measure frame holds some attributes (``day``, ``vehicle``, ``driver``, ``site``) and six measures
+that can be merged to any coarser grain. :class:`Trips` computes them from trip rows,
+:class:`TripCube` from rows already aggregated to a finer grain, :class:`TripSummary` from a staged
+table that holds the few grains a report needs. All aggregate buffers are fixed-width, so they run
+as hash aggregates with map-side combine: a key that holds a third of all rows arrives at the
+shuffle as one row per map task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +19,14 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.dates import time_or_null
 from tripmill.functions.numbers import number_or_null
+from tripmill.functions.text import fill_text
+from tripmill.plans.staging import staged
 from tripmill.schema import Roles, ensure_columns
 
-MEASURES = ("n_trips", "n_loads", "n_positive", "volume", "first_time", "last_time")
-FACETS = ("day", "vehicle", "driver")
+COUNTS = ("n_trips", "n_loads", "n_positive")
+MEASURES = (*COUNTS, "volume", "first_time", "last_time")
+FACETS = (("day",), ("vehicle",), ("driver",))
+REPORT_GRAINS = (("day", "vehicle"), ("day", "driver"), ("site",))
 
 
 def row_measures() -> list[Column]:
@@ -39,35 +45,54 @@ def row_measures() -> list[Column]:
 
 def merged_measures() -> list[Column]:
     """The same measures, from rows that already hold them."""
-    counts = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in MEASURES[:3]]
     return [
-        *counts,
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
         F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
         F.min("first_time").alias("first_time"),
         F.max("last_time").alias("last_time"),
     ]
 
 
+def grain_name(keys: Sequence[str]) -> str:
+    return "_".join(keys)
+
+
+def grain_is(*keys: str) -> Column:
+    """True on the rows of :meth:`MeasureSource.grains` grouped by ``keys``."""
+    return F.col("grain") == grain_name(keys)
+
+
 class MeasureSource(Protocol):
     """Anything rollups can be computed from."""
 
-    def measures(self, *keys: str | Column) -> DataFrame:
-        """Measures grouped by ``keys``; null keys form a group."""
+    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
+        """Measures grouped by ``keys``. Null keys form a group, or with ``blank`` join the group of
+        the empty text."""
+
+    def grains(self, *sets: Sequence[str]) -> DataFrame:
+        """Measures grouped by several key sets, each told by ``grain``, in one pass if the source
+        has to be read whole."""
+
 
-    def facets(self) -> DataFrame:
-        """Measures per day, per vehicle and per driver in one pass."""
+def _group(rows: DataFrame, keys: Sequence[str], blank: bool, aggregates: list[Column]) -> DataFrame:
+    by = [fill_text(F.col(k)).alias(k) if blank else F.col(k) for k in keys]
+    return rows.groupBy(*by).agg(*aggregates)
 
 
-def facet_is(name: str) -> Column:
-    """True on the rows of :meth:`MeasureSource.facets` that belong to one facet."""
-    others = sum(1 << (len(FACETS) - 1 - i) for i, f in enumerate(FACETS) if f != name)
-    return F.col("facet") == others
+def _group_sets(
+    rows: DataFrame, sets: Sequence[Sequence[str]], aggregates: list[Column]
+) -> DataFrame:
+    attributes = list(dict.fromkeys(a for keys in sets for a in keys))
+    grouped = rows.groupingSets(
+        [[F.col(a) for a in keys] for keys in sets], *[F.col(a) for a in attributes]
+    )
+    found = grouped.agg(F.grouping_id().alias("_left_out"), *aggregates)
 
+    def left_out(keys: Sequence[str]) -> int:
+        return int("".join("0" if a in keys else "1" for a in attributes), 2)
 
-def _facets(rows: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
-    keys = [F.col(f) for f in FACETS]
-    grouped = rows.groupingSets([[k] for k in keys], *keys)
-    return grouped.agg(F.grouping_id().alias("facet"), *aggregates)
+    names = [F.when(F.col("_left_out") == left_out(s), grain_name(s)) for s in sets]
+    return found.select(F.coalesce(*names).alias("grain"), *attributes, *MEASURES)
 
 
 class Trips:
@@ -90,21 +115,53 @@ class Trips:
             F.col(roles.site).cast("string").alias("site"),
         )
 
-    def measures(self, *keys: str | Column) -> DataFrame:
-        return self.rows.groupBy(*keys).agg(*row_measures())
+    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
+        return _group(self.rows, keys, blank, row_measures())
 
-    def facets(self) -> DataFrame:
-        return _facets(self.rows, row_measures())
+    def grains(self, *sets: Sequence[str]) -> DataFrame:
+        return _group_sets(self.rows, sets, row_measures())
 
 
 class TripCube:
-    """Measures at a fine grain, with the key columns that later rollups need."""
+    """Measures at a fine grain, with the attributes that later rollups need."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
+        return _group(self.rows, keys, blank, merged_measures())
+
+    def grains(self, *sets: Sequence[str]) -> DataFrame:
+        return _group_sets(self.rows, sets, merged_measures())
+
+
+class TripSummary:
+    """The grains a report needs, staged once.
+
+    Trips are read in one pass that groups them by day and vehicle, by day and driver, and by site.
+    The table is laid out by grain, so each rollup reads the rows of one grain only.
+    """
+
+    def __init__(self, source: MeasureSource):
+        self.table = staged(source.grains(*REPORT_GRAINS), partition_by="grain")
 
-    def __init__(self, df: DataFrame):
-        self.df = df
+    def _covering(self, keys: Sequence[str]) -> DataFrame:
+        for grain in REPORT_GRAINS:
+            if set(keys) <= set(grain):
+                return self.table.filter(grain_is(*grain))
+        raise ValueError(f"no staged grain holds {', '.join(keys)}")
 
-    def measures(self, *keys: str | Column) -> DataFrame:
-        return self.df.groupBy(*keys).agg(*merged_measures())
+    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
+        return _group(self._covering(keys), keys, blank, merged_measures())
 
-    def facets(self) -> DataFrame:
-        return _facets(self.df, merged_measures())
+    def grains(self, *sets: Sequence[str]) -> DataFrame:
+        attributes = list(dict.fromkeys(a for keys in sets for a in keys))
+        types = {f.name: f.dataType for f in self.table.schema}
+        parts = []
+        for keys in sets:
+            held = [
+                F.col(a) if a in keys else F.lit(None).cast(types[a]).alias(a) for a in attributes
+            ]
+            name = F.lit(grain_name(keys)).alias("grain")
+            parts.append(self.measures(*keys).select(name, *held, *MEASURES))
+        return reduce(DataFrame.unionByName, parts)

@@ -31,6 +31,20 @@ def _cut_points(keyed: DataFrame, buckets: int) -> DataFrame:
     return ordered.select(F.filter("keys", lambda _, i: (i + 1) % stride == 0).alias("cuts"))
 
 
+def _cuts_below(cuts: str, key: str, buckets: int) -> Column:
+    """Number of entries of the sorted array ``cuts`` below ``key``, by halving steps.
+
+    A position past the end reads null, which compares as not below.
+    """
+    strides = F.array(*[F.lit(1 << i) for i in range(buckets.bit_length() - 1, -1, -1)])
+
+    def advance(found: Column, stride: Column) -> Column:
+        ahead = F.get(cuts, found + stride - 1) < F.col(key)
+        return F.when(ahead, found + stride).otherwise(found)
+
+    return F.aggregate(strides, F.lit(0), advance)
+
+
 def _bucket_starts(bucketed: DataFrame, buckets: int) -> DataFrame:
     """Array whose entry ``b`` is the number of rows in the buckets below ``b``."""
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -54,15 +68,17 @@ def ranked(rows: DataFrame, order: Sequence[Column], buckets: int = BUCKETS) ->
     keyed = rows.withColumn("_key", F.struct(*parts))
     bucketed = (
         keyed.withColumn("_cuts", _cut_points(keyed, buckets).scalar())
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col("_key"))))
-        .drop("_cuts")
+        .withColumn("_bucket", _cuts_below("_cuts", "_key", buckets))
+        .drop("_cuts", "_key")
     )
-    position = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
-    return (
+    # The start is looked up ahead of the window, so the shuffle carries one number per row.
+    started = (
         bucketed.withColumn("_starts", _bucket_starts(bucketed, buckets).scalar())
-        .withColumn("rank", F.get("_starts", F.col("_bucket")) + position)
-        .drop("_key", "_starts", "_bucket")
+        .withColumn("_start", F.get("_starts", F.col("_bucket")))
+        .drop("_starts")
     )
+    position = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return started.withColumn("rank", F.col("_start") + position).drop("_bucket", "_start")
 
 
 def with_pages(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.numbers import round2, safe_divide
-from tripmill.functions.text import driver_label_table, fill_text, strip
+from tripmill.functions.text import driver_label_table, strip
 from tripmill.operators.measures import MeasureSource, merged_measures
 
 
@@ -23,9 +23,8 @@ def _rounded(count: str) -> list[Column]:
     ]
 
 
-def vehicle_list(vehicle: Column) -> Column:
-    """Aggregate: distinct stripped non-blank names, in case-insensitive order, comma separated."""
-    name = strip(vehicle)
+def vehicle_list(name: Column) -> Column:
+    """Aggregate: distinct non-blank names, in case-insensitive order, comma separated."""
     entry = F.struct(F.lower(name).alias("folded"), name.alias("name"))
     entries = F.array_sort(F.collect_set(F.when(name != "", entry)))
     return F.array_join(F.transform(entries, lambda e: e["name"]), ", ")
@@ -38,7 +37,8 @@ def daily_rollup(source: MeasureSource) -> DataFrame:
     combined per (day, vehicle) first, so the list of a day is collected from one row per vehicle.
     """
     per_vehicle = source.measures("day", "vehicle").filter(F.col("day").isNotNull())
-    days = per_vehicle.groupBy("day").agg(
+    stripped = per_vehicle.withColumn("vehicle", strip(F.col("vehicle")))
+    days = stripped.groupBy("day").agg(
         *merged_measures(), vehicle_list(F.col("vehicle")).alias("vehicles")
     )
     return days.select("*", *_rounded("n_trips"))
@@ -54,7 +54,7 @@ def vehicle_rollup(source: MeasureSource) -> DataFrame:
 
     Trips and mean cover only the loads with a numeric volume.
     """
-    vehicles = source.measures(fill_text(F.col("vehicle")).alias("vehicle"))
+    vehicles = source.measures("vehicle", blank=True)
     return vehicles.select("*", *_rounded("n_loads"))
 
 

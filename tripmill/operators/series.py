@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.dates import iso_date_text
 from tripmill.functions.numbers import point_label
-from tripmill.functions.text import driver_label_series, fill_text, wrap_label
+from tripmill.functions.text import driver_label_series, wrap_label
 from tripmill.operators.measures import MeasureSource
 
 
@@ -40,10 +40,10 @@ def driver_series(source: MeasureSource) -> DataFrame:
 
     Spelling variants of a name therefore stay separate rows and may carry equal labels.
     """
-    drivers = source.measures(fill_text(F.col("driver")).alias("driver_raw"))
+    drivers = source.measures("driver", blank=True)
     return drivers.select(
-        "driver_raw",
-        driver_label_series(F.col("driver_raw")).alias("label"),
+        F.col("driver").alias("driver_raw"),
+        driver_label_series(F.col("driver")).alias("label"),
         F.col("volume").alias("total"),
     ).orderBy(F.desc("total"), "driver_raw")
 

@@ -1,4 +1,4 @@
-"""The report: one dataset per section, all from one staged cube.
+"""The report: one dataset per section, all from one staged summary.
 
 Layout and drawing are not part of this library; each section is the data behind it.
 """
@@ -23,7 +23,7 @@ from tripmill.functions.dates import (
 from tripmill.functions.numbers import number_text, number_text_if_positive
 from tripmill.functions.text import dash_if_blank, driver_label_table, fill_text
 from tripmill.operators.kpis import first_site, kpi_summary, observed_period
-from tripmill.operators.measures import MeasureSource, TripCube, facet_is
+from tripmill.operators.measures import FACETS, MeasureSource, TripSummary, grain_is
 from tripmill.operators.pages import with_pages
 from tripmill.operators.rollups import daily_rollup, driver_rollup, vehicle_rollup
 from tripmill.operators.series import daily_points, driver_bars, vehicle_series
@@ -94,19 +94,19 @@ def section_status(source: MeasureSource) -> DataFrame:
     Charts of vehicles and drivers show the notice only if there are no trips at all. Vehicles and
     drivers that end up under one name count once, hence the second grouping by shown name.
     """
-    on_day = facet_is("day") & F.col("day").isNotNull()
+    on_day = grain_is("day") & F.col("day").isNotNull()
     vehicle, driver = F.col("vehicle"), F.col("driver")
     shown = F.array(
         F.when(on_day, F.struct(F.lit("day").alias("kind"), F.col("day").cast("string").alias("key"))),
-        F.when(facet_is("vehicle"), F.struct(F.lit("vehicle").alias("kind"), fill_text(vehicle).alias("key"))),
+        F.when(grain_is("vehicle"), F.struct(F.lit("vehicle").alias("kind"), fill_text(vehicle).alias("key"))),
         F.when(
-            facet_is("vehicle") & vehicle.isNotNull(),
+            grain_is("vehicle") & vehicle.isNotNull(),
             F.struct(F.lit("named_vehicle").alias("kind"), vehicle.alias("key")),
         ),
-        F.when(facet_is("driver"), F.struct(F.lit("raw_driver").alias("kind"), fill_text(driver).alias("key"))),
-        F.when(facet_is("driver"), F.struct(F.lit("driver").alias("kind"), driver_label_table(driver).alias("key"))),
+        F.when(grain_is("driver"), F.struct(F.lit("raw_driver").alias("kind"), fill_text(driver).alias("key"))),
+        F.when(grain_is("driver"), F.struct(F.lit("driver").alias("kind"), driver_label_table(driver).alias("key"))),
     )
-    shown_keys = source.facets().select(F.explode(F.array_compact(shown)).alias("shown"))
+    shown_keys = source.grains(*FACETS).select(F.explode(F.array_compact(shown)).alias("shown"))
     distinct = shown_keys.select("shown.kind", "shown.key").distinct()
     rows = {
         "daily_series": "day",
@@ -136,14 +136,10 @@ def section_status(source: MeasureSource) -> DataFrame:
 
 def _titled(pages: DataFrame, rollup: DataFrame, section: str) -> DataFrame:
     """Add the heading of each page; pages after the first are marked as continued."""
-    period = rollup.agg(F.min("first_time").alias("start"), F.max("last_time").alias("end"))
+    span = span_text(F.min("first_time"), F.max("last_time"), ": de")
     title = SECTION_TITLES[section]
-    plain, continued = (
-        period.select(span_text(F.col("start"), F.col("end"), f"{lead}: de")).scalar()
-        for lead in (title, f"{title} (continuação)")
-    )
-    heading = F.when(F.col("page_no") == 1, plain).otherwise(continued)
-    return pages.withColumn("section_title", heading)
+    lead = F.when(F.col("page_no") == 1, title).otherwise(f"{title} (continuação)")
+    return pages.withColumn("section_title", F.concat(lead, rollup.agg(span).scalar()))
 
 
 def daily_table(source: MeasureSource, page_size: int = DAILY_PAGE) -> DataFrame:
@@ -241,21 +237,20 @@ def report_header(source: MeasureSource, cover: Cover, *, stamped: bool = True)
 def build_report(source: MeasureSource, cover: Cover) -> dict[str, DataFrame]:
     """All sections in report order.
 
-    The source is read once: trips are aggregated to one row per day, vehicle, driver and site, that
-    cube is staged in the shared folder, and every section starts from it.
+    The source is read once, into a staged summary from which every section is computed.
     """
-    cube = TripCube(staged(source.measures("day", "vehicle", "driver", "site")))
+    summary = TripSummary(source)
     return {
-        "header": report_header(cube, cover),
-        "kpi_cards": kpi_cards(cube),
-        "daily_series": daily_points(cube),
-        "daily_table": daily_table(cube),
-        "vehicle_series": vehicle_series(cube),
-        "vehicle_table": vehicle_table(cube),
-        "driver_series": driver_bars(cube),
-        "driver_table": driver_table(cube),
-        "captions": section_captions(cube),
-        "status": section_status(cube),
+        "header": report_header(summary, cover),
+        "kpi_cards": kpi_cards(summary),
+        "daily_series": daily_points(summary),
+        "daily_table": daily_table(summary),
+        "vehicle_series": vehicle_series(summary),
+        "vehicle_table": vehicle_table(summary),
+        "driver_series": driver_bars(summary),
+        "driver_table": driver_table(summary),
+        "captions": section_captions(summary),
+        "status": section_status(summary),
     }
 
 

@@ -29,10 +29,14 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage, so a lost executor never recomputes the facts."""
+def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Compute ``df`` once into a table in the shared folder and read it from there.
+
+    This cuts the lineage: whatever executors are lost later, the facts are not read again. Readers
+    of the table fetch only the columns, and with ``partition_by`` the part, that they use.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = fresh_folder(spark, "stage")
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder).select(*df.columns)
