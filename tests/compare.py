@@ -1,5 +1,8 @@
-"""Order-free comparison of a Spark result with the DuckDB result of its SQL."""
+"""Order-free comparison of a Spark result with the DuckDB result of its SQL, and plan text."""
 
+import contextlib
+import io
+import re
 from pathlib import Path
 
 import duckdb
@@ -31,3 +34,11 @@ def spark_rows(df):
 def duck_rows(connection, sql):
     result = connection.execute(sql)
     return _sorted_rows([c[0] for c in result.description], result.fetchall())
+
+
+def plan(df, mode="simple"):
+    """Text of the physical plan, without expression ids."""
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        df.explain(mode)
+    return re.sub(r"#\d+L?", "", printed.getvalue())

@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("tripmill-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))

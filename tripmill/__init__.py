@@ -1,11 +1,12 @@
 """Production reporting over truck-load events, built on Spark DataFrames."""
 
 from tripmill.operators.measures import TripCube, Trips, TripSummary
-from tripmill.plans.report import build_report, write_report
+from tripmill.plans.report import Cover, build_report, run_report, write_report
 from tripmill.schema import Roles, ensure_columns
 from tripmill.sources.star import StarColumns, StarTables
 
 __all__ = [
+    "Cover",
     "Roles",
     "StarColumns",
     "StarTables",
@@ -14,5 +15,6 @@ __all__ = [
     "Trips",
     "build_report",
     "ensure_columns",
+    "run_report",
     "write_report",
 ]

@@ -62,9 +62,9 @@ def month_end(moment: Column) -> Column:
     return following - F.expr("INTERVAL 1 SECOND")
 
 
-def default_period() -> tuple[Column, Column]:
-    """The current month, used where no period is given."""
-    now = F.localtimestamp()
+def default_period(now: Column | None = None) -> tuple[Column, Column]:
+    """The month of ``now``, by default the current one; used where no period is given."""
+    now = F.localtimestamp() if now is None else now
     return month_start(now), month_end(now)
 
 

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from tripmill.functions.dates import (
     clock_text,
     date_text,
+    default_period,
     generation_stamp,
     instant,
     instant_text,
+    parse_instant,
     span_text,
 )
 from tripmill.functions.numbers import number_text, number_text_if_positive
@@ -29,6 +31,7 @@ from tripmill.operators.rollups import daily_rollup, driver_rollup, vehicle_roll
 from tripmill.operators.series import daily_points, driver_bars, vehicle_series
 from tripmill.plans.staging import staged
 from tripmill.sources.lookup import brand, site_name
+from tripmill.sources.star import StarTables
 
 # Report texts, page sizes, and the site that carries the first brand.
 TITLE = "Relatório de Produção Mensal"
@@ -261,3 +264,33 @@ def write_report(
     for name, section in sections.items():
         section.write.mode("overwrite").format(fmt).save(f"{output}/{name}")
     return output
+
+
+def run_report(
+    star: StarTables,
+    site: int,
+    start: str | None = None,
+    end: str | None = None,
+    output: str | None = None,
+    fmt: str = "parquet",
+) -> str:
+    """Write the report of one site; without a period, that of the current month.
+
+    ``start`` and ``end`` are ``YYYY-MM-DD HH:MM:SS`` texts. Loads are aggregated before they are
+    joined, so only the combinations of tag, reader, driver and day meet the dimensions.
+    """
+    month = default_period(instant(datetime.now()))
+    first, last = (
+        parse_instant(F.lit(text).cast("string"), default)
+        for text, default in zip((start, end), month, strict=True)
+    )
+    cover = Cover(
+        star.sites,
+        site,
+        first,
+        last,
+        id_column=star.columns.site_id,
+        name_column=star.columns.site_name,
+    )
+    sections = build_report(star.cube(site, first, last), cover)
+    return write_report(sections, output or DEFAULT_OUTPUT, fmt)
