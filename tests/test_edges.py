@@ -85,15 +85,18 @@ def test_daily_and_vehicle_totals_agree(spark):
 @pytest.mark.parametrize("missing", ["time", "vehicle", "driver", "volume", "site"])
 def test_missing_column(spark, missing):
     trips = Trips(fx.spoiled_frame(spark).drop(missing), Roles.plain())
-    sections = build_report(trips, Cover(spark.createDataFrame([], "id int, desc_obra string"), 1))
-    counts = {name: section.count() for name, section in sections.items()}
-    assert counts["kpi_cards"] == 6
-    assert (counts["daily_table"] == 0) == (missing == "time")
+    (row,) = kpis.kpi_summary(trips).collect()
+    assert row.n_trips == 12
+    assert row.total == (0.0 if missing == "volume" else 114.75)
+    assert row.active_days == (0 if missing == "time" else 5)
+    assert row.top_vehicle == {"vehicle": "", "volume": ""}.get(missing, "Trk-200")
+    days = rollups.daily_rollup(trips).collect()
+    assert len(days) == (0 if missing == "time" else 5)
+    vehicles = {r.vehicle: r.n_loads for r in rollups.vehicle_rollup(trips).collect()}
     if missing == "volume":
-        (row,) = kpis.kpi_summary(trips).collect()
-        assert row.total == 0.0
-        found = {r.vehicle: r.n_loads for r in rollups.vehicle_rollup(trips).collect()}
-        assert found["TRK-100"] == 3
+        assert vehicles["TRK-100"] == 3
+    drivers = {r.driver for r in rollups.driver_rollup(trips).collect()}
+    assert (drivers == {"Não Definido"}) == (missing == "driver")
 
 
 def test_ensure_columns(spark):
@@ -170,3 +173,9 @@ def test_drivers_are_joined_only_if_needed(spark):
     without = unique.extract(41, *PERIOD, with_driver=False).collect()
     assert [r.nome for r in without] == [None] * 3
     assert len(star(spark).extract(41, *PERIOD, with_driver=False).collect()) == 3
+
+
+def test_active_days_of_a_driver_without_times(spark):
+    rows = [(None, "A", "ana", "3", "x"), ("2025-09-01 06:00:00", "A", "rui", "0", "x")]
+    found = rollups.driver_active_days(fx.trips_of(spark, rows))
+    assert fx.tuples(found) == [("Ana", 0)]

@@ -164,7 +164,8 @@ DRIVERS = (
     "drivers",
     f"""
     SELECT label AS driver, count(volume) AS n_loads, coalesce(sum(volume), 0) AS v,
-           count(DISTINCT CASE WHEN volume > 0 THEN day END) AS active_days
+           count(DISTINCT CASE WHEN volume > 0 THEN day END) AS active_days,
+           count(CASE WHEN volume > 0 THEN 1 END) AS n_positive
     FROM (SELECT *, {label_table("driver")} AS label FROM t) GROUP BY label
     """,
 )
@@ -411,7 +412,7 @@ def all_oracles() -> dict[str, str]:
         "driver_production": driver(STAR),
         "driver_production_dirty": driver(DIRTY),
         "driver_active_days": trips(
-            DIRTY, "SELECT driver, active_days FROM drivers WHERE active_days > 0", DRIVERS
+            DIRTY, "SELECT driver, active_days FROM drivers WHERE n_positive > 0", DRIVERS
         ),
         "daily_series": trips(DIRTY, day_total, DAY_TOTALS),
         "vehicle_series": trips(

@@ -78,8 +78,9 @@ def driver_rollup(source: MeasureSource) -> DataFrame:
 
 
 def driver_active_days(source: MeasureSource) -> DataFrame:
-    """Days with a load above zero, per driver that has any."""
-    return driver_rollup(source).select("driver", "active_days").filter(F.col("active_days") > 0)
+    """Days with a load above zero, per driver label that has such a load."""
+    loaded = driver_rollup(source).filter(F.col("n_positive") > 0)
+    return loaded.select("driver", "active_days")
 
 
 def largest_first(rollup: DataFrame, key: str) -> DataFrame:
