@@ -8,8 +8,11 @@ variants and volumes that are no numbers.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.operators.measures import Trips
 from tripmill.schema import Roles
@@ -39,8 +42,15 @@ SPOILED_TIME = 29
 SPOILED_VOLUME = ((11, "abc"), (13, None), (41, "1d"), (43, "nan"), (5, "0"))
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """The schema in the file footers, read once per session and table."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def star_tables(spark: SparkSession, folder: str) -> StarTables:

@@ -136,32 +136,40 @@ class TripCube:
 
 
 class TripSummary:
-    """The grains a report needs, staged once.
+    """The grains a report needs, staged in two steps.
 
     Trips are read in one pass that groups them by day and vehicle, by day and driver, and by site.
-    The table is laid out by grain, so each rollup reads the rows of one grain only.
+    From that table the totals per day, vehicle and driver are staged once more, since most sections
+    need nothing finer. Both tables are laid out by grain, so a rollup reads the rows of one grain.
     """
 
     def __init__(self, source: MeasureSource):
-        self.table = staged(source.grains(*REPORT_GRAINS), partition_by="grain")
+        self.fine = staged(source.grains(*REPORT_GRAINS), partition_by="grain")
+        totals = [self._total(*facet) for facet in FACETS]
+        self.totals = staged(reduce(DataFrame.unionByName, totals), partition_by="grain")
 
-    def _covering(self, keys: Sequence[str]) -> DataFrame:
+    def _fine_rows(self, keys: Sequence[str]) -> DataFrame:
         for grain in REPORT_GRAINS:
             if set(keys) <= set(grain):
-                return self.table.filter(grain_is(*grain))
+                return self.fine.filter(grain_is(*grain))
         raise ValueError(f"no staged grain holds {', '.join(keys)}")
 
+    def _total(self, key: str) -> DataFrame:
+        """Totals of one facet, in columns for all of them."""
+        grouped = _group(self._fine_rows([key]), [key], False, merged_measures())
+        kinds = {f.name: f.dataType for f in self.fine.schema}
+        columns = [
+            F.col(a) if a == key else F.lit(None).cast(kinds[a]).alias(a) for (a,) in FACETS
+        ]
+        return grouped.select(F.lit(key).alias("grain"), *columns, *MEASURES)
+
     def measures(self, *keys: str, blank: bool = False) -> DataFrame:
-        return _group(self._covering(keys), keys, blank, merged_measures())
+        facet = keys or FACETS[0]
+        whole = facet in FACETS
+        rows = self.totals.filter(grain_is(*facet)) if whole else self._fine_rows(keys)
+        return _group(rows, keys, blank, merged_measures())
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
-        attributes = list(dict.fromkeys(a for keys in sets for a in keys))
-        types = {f.name: f.dataType for f in self.table.schema}
-        parts = []
-        for keys in sets:
-            held = [
-                F.col(a) if a in keys else F.lit(None).cast(types[a]).alias(a) for a in attributes
-            ]
-            name = F.lit(grain_name(keys)).alias("grain")
-            parts.append(self.measures(*keys).select(name, *held, *MEASURES))
-        return reduce(DataFrame.unionByName, parts)
+        if not all(tuple(keys) in FACETS for keys in sets):
+            raise ValueError("a summary holds whole grains per day, vehicle and driver only")
+        return self.totals.filter(F.col("grain").isin(*[grain_name(keys) for keys in sets]))
