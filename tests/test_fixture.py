@@ -76,7 +76,7 @@ def test_drivers(source):
 
 
 def test_report_texts(spark):
-    sites = spark.createDataFrame([(41, "Pedreira")], "id int, desc_obra string")
+    sites = spark.createDataFrame([(41, "Norte")], "id int, desc_obra string")
     cover = Cover(sites, 41, "2025-09-01 00:00:00", "2025-09-30 23:59:59")
     sections = build_report(fx.spoiled_trips(spark), cover)
     assert list(sections)[:8] == [
@@ -90,7 +90,7 @@ def test_report_texts(spark):
         "driver_table",
     ]
     (header,) = sections["header"].collect()
-    assert header.company == "Pedreira"
+    assert header.company == "Norte"
     assert header.brand == "A"
     assert header.period == "De 01/09/2025 a 30/09/2025"
     cards = {r.position: r.value for r in sections["kpi_cards"].collect()}

@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The words that stay lower case unless they open a name, the text for an unnamed
+# The words that stay lower case unless they open a name, the name of an unnamed
 # driver, and the label length before wrapping.
 PARTICLES = ("da", "de", "do", "das", "dos", "e", "di", "du", "del", "van", "von", "d")
 UNNAMED_DRIVER = "não definido"
-UNNAMED_LABEL = "Não definido"
 LABEL_WIDTH = 25
 
 # Every Unicode blank, with the four ASCII separators that the regex class leaves out.
@@ -84,9 +83,12 @@ def driver_label_table(driver: Column) -> Column:
 
 
 def driver_label_series(driver: Column) -> Column:
-    """Driver label of the chart, put on after grouping; any blank name counts as unnamed."""
-    label = titlecase(driver)
-    return titlecase(F.when(label == "", UNNAMED_LABEL).otherwise(label))
+    """Driver label of the chart, put on after grouping; any blank name counts as unnamed.
+
+    The name is cased twice: a capital of two letters (of a sharp s) changes once more.
+    """
+    name = fill_text(driver)
+    return titlecase(titlecase(F.when(strip(name) == "", UNNAMED_DRIVER).otherwise(name)))
 
 
 def wrap_label(label: Column, width: int = LABEL_WIDTH) -> Column:

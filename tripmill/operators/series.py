@@ -40,12 +40,13 @@ def driver_series(source: MeasureSource) -> DataFrame:
 
     Spelling variants of a name therefore stay separate rows and may carry equal labels.
     """
-    drivers = source.measures("driver", blank=True)
+    # Sorted before labelling: a range sort samples its input, and would compute labels twice.
+    drivers = source.measures("driver", blank=True).orderBy(F.desc("volume"), "driver")
     return drivers.select(
         F.col("driver").alias("driver_raw"),
         driver_label_series(F.col("driver")).alias("label"),
         F.col("volume").alias("total"),
-    ).orderBy(F.desc("total"), "driver_raw")
+    )
 
 
 def driver_bars(source: MeasureSource) -> DataFrame:
