@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the zone of the "generated at" stamp.
+# The zone of the "generated at" stamp, the period format and its error text.
 STAMP_ZONE = "-03:00"
-
 INSTANT_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 INVALID_INSTANT = "Data inválida: forneça no formato YYYY-MM-DD HH:MM:SS"
 
