@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor can reach, from ``spark.checkpoint.dir``.
+def configured_folder(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` of the session, or the folder given to ``setCheckpointDir``."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tripmill-")
-    context.setCheckpointDir(folder)
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor and the driver can reach; every session must name one."""
+    folder = configured_folder(spark)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     return folder
 
 
