@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import mixing, sharding
+from tripmill.llm import bpe, mixing, quality, sharding
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -43,9 +44,30 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+
+def op4_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.quality(
+        table(spark, folder, "documents"),
+        public_tokenizers.path(RANKS),
+        public_tokenizers.path(PIECES),
+        public_tokenizers.PATTERN,
+    )
+    return judged.drop("lang", "text_hash")
+
+
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return bpe.digests(table(spark, folder, "documents"), vocabulary)
+
+
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
+    "op4_fertility_rules": op4_fertility_rules,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 
