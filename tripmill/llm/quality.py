@@ -27,10 +27,11 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-#: Bands reach so many interquartile ranges beyond the quartiles, each at least this share of the
-#: median wide, and are widened for texts shorter than the reference length by sampling noise.
+#: Bands reach so many interquartile ranges beyond the quartiles, and are widened for texts shorter
+#: than the reference length by sampling noise.
 BAND_RANGES = 3.0
-LEAST_RANGE = 0.015
+#: Least range of each metric; the fallback tokens of a text are few, so their share scatters.
+LEAST_RANGE = {"byte_chars": 0.04, "piece_chars": 0.04, "fallback_share": 0.01, "entropy": 0.05}
 REFERENCE_TOKENS = 600
 #: A language with fewer distinct texts uses the bands of all languages together.
 LEAST_TEXTS = 100
@@ -140,7 +141,7 @@ def base_failed() -> Column:
 
 
 def quartiles(measured: DataFrame) -> DataFrame:
-    """``key, metric, texts, q1, q2, q3`` over the distinct texts of a language that pass the base rules.
+    """``key, metric, texts, q1, q3`` over the distinct texts of a language that pass the base rules.
 
     Each distinct text counts once, so a text copied over and over does not narrow the bands. The key
     is the language, and ``*`` for all together. Quartiles are exact for binned values: counts of bins
@@ -160,7 +161,7 @@ def quartiles(measured: DataFrame) -> DataFrame:
         return F.min(F.when(F.col("upto") >= share * F.col("texts"), middle))
 
     return running.groupBy("key", "metric").agg(
-        F.max("texts").alias("texts"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3")
+        F.max("texts").alias("texts"), at(0.25).alias("q1"), at(0.75).alias("q3")
     )
 
 
@@ -182,7 +183,7 @@ def judge(measured: DataFrame) -> DataFrame:
         bands.where((F.col("key") != "*") & (F.col("texts") >= LEAST_TEXTS))
         .groupBy("key")
         .pivot("metric", list(METRICS))
-        .agg(F.first(F.struct("q1", "q2", "q3")))
+        .agg(F.first(F.struct("q1", "q3")))
     )
     joined = keyed.join(own.select("key", *[F.col(m).alias(f"band_{m}") for m in METRICS]), "key", "left")
     inside = F.lit(True)
@@ -190,8 +191,8 @@ def judge(measured: DataFrame) -> DataFrame:
     for m in METRICS:
         if m not in pooled:
             continue
-        q1, q2, q3 = (F.coalesce(F.col(f"band_{m}.{q}"), F.lit(pooled[m][q])) for q in ("q1", "q2", "q3"))
-        reach = F.lit(BAND_RANGES) * noise * F.greatest(q3 - q1, F.lit(LEAST_RANGE) * q2)
+        q1, q3 = (F.coalesce(F.col(f"band_{m}.{q}"), F.lit(pooled[m][q])) for q in ("q1", "q3"))
+        reach = F.lit(BAND_RANGES) * noise * F.greatest(q3 - q1, F.lit(LEAST_RANGE[m]))
         inside = inside & (F.col(m) >= q1 - reach) & (F.col(m) <= q3 + reach)
     return joined.select(*measured.columns, base_failed().alias("base_failed"), (~base_failed() & inside).alias("kept"))
 
