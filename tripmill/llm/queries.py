@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, mixing, quality, sharding
+from tripmill.llm import bpe, mixing, quality, sharding, toxicity
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -58,6 +58,26 @@ def op4_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("lang", "text_hash")
 
 
+def remainder(id_col: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
+
+
+def training_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").where(remainder("doc_id", 4) != 2)
+
+
+def op6_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, training_labels(spark, folder))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return bpe.digests(table(spark, folder, "documents"), vocabulary)
@@ -67,6 +87,7 @@ QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
     "op4_fertility_rules": op4_fertility_rules,
+    "op6_counterfactual_toxicity": op6_counterfactual_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
 }
 
