@@ -114,9 +114,8 @@ def copies(rows: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     )
     fits = F.col("before") + F.col("size") <= F.col("rest")
     joined = staged(placed.where("size > 0").join(plan.drop("target"), "key").withColumn("fits", fits))
-    filled = joined.groupBy("key").agg(
-        F.max(F.when(F.col("fits"), F.col("before") + F.col("size"))).alias("filled")
-    ).select("key", F.coalesce("filled", F.lit(0)).alias("filled"))
+    upto = F.max(F.when(F.col("fits"), F.col("before") + F.col("size")))
+    filled = staged(joined.groupBy("key").agg(F.coalesce(upto, F.lit(0)).alias("filled")))
     gap = F.col("rest") - F.col("filled")
     nearest = (
         joined.where(~F.col("fits"))
