@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, mixing, quality, sharding, toxicity
+from tripmill.llm import bpe, mixing, quality, sharding, toxicity, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -48,6 +48,10 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
 
 
+def op3_wrapper_text(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.extract(table(spark, folder, "pages"))
+
+
 def op4_fertility_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality(
         table(spark, folder, "documents"),
@@ -86,6 +90,7 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
+    "op3_wrapper_text": op3_wrapper_text,
     "op4_fertility_rules": op4_fertility_rules,
     "op6_counterfactual_toxicity": op6_counterfactual_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
