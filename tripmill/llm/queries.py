@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, mixing, quality, sharding, toxicity, wrappers
+from tripmill.llm import bpe, jaccard, mixing, quality, sharding, toxicity, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -87,6 +87,10 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), vocabulary)
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(table(spark, folder, "documents"), percent=75)
+
+
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
@@ -94,6 +98,7 @@ QUERIES = {
     "op4_fertility_rules": op4_fertility_rules,
     "op6_counterfactual_toxicity": op6_counterfactual_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
 
