@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmill.plans.staging import staged
+
 # Each list holds terms for groups of people and, first, a neutral one.
 IDENTITY_LISTS = (
     ("people", "women", "men", "muslims", "christians", "jews", "hindus", "immigrants", "refugees", "blacks",
@@ -96,46 +98,17 @@ class Model:
         self.__init__(**state)
 
 
-def _selected(texts: list[set[str]], labels: np.ndarray, swaps: Counter) -> dict[str, int]:
-    """The features whose share differs most between the labels, and those of identity terms."""
-    seen, toxic = Counter(), Counter()
-    for found, label in zip(texts, labels, strict=True):
-        seen.update(found)
-        if label:
-            toxic.update(found)
-    n, n1 = len(texts), max(1, int(labels.sum()))
-    n0 = max(1, n - n1)
-
-    def strength(feature: str) -> float:
-        c, c1 = seen[feature], toxic[feature]
-        p = c / n
-        return abs(c1 / n1 - (c - c1) / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-
-    common = [f for f, c in seen.items() if c >= LEAST_TEXTS]
-    chosen = sorted(common, key=lambda f: (-strength(f), f))[:MAX_FEATURES]
-    extra = sorted({f for pair in swaps for term in pair for f in features_of(term)} - set(chosen))
-    return {f: i for i, f in enumerate([*chosen, *extra])}
-
-
-def fit(rows: list[tuple[list[str], int, dict[str, int]]], counterfactual: float = COUNTERFACTUAL) -> Model:
-    """Fit to rows of (words, label, mentions of identity terms by sentence).
+def fit(lists: list[np.ndarray], labels: np.ndarray, index: dict[str, int], swaps: Counter,
+        counterfactual: float = COUNTERFACTUAL) -> Model:
+    """Fit to the sorted feature numbers of each text, its labels, and how often terms can be swapped.
 
-    Minimises mean log loss + L1 + counterfactual * mean squared score change over all swaps of the
-    mentions, by accelerated proximal gradient steps. Without both labels there is only a bias.
+    Minimises mean log loss + L1 + counterfactual * mean squared score change over all swaps, by
+    accelerated proximal gradient steps. Without both labels there is only a bias.
     """
-    labels = np.array([r[1] for r in rows], dtype=np.float64)
-    n, positive = len(rows), float(labels.sum())
+    n, positive = len(lists), float(labels.sum())
     prior = math.log((positive + 0.5) / (n - positive + 0.5))
-    if positive in (0.0, float(n)):
+    if positive in (0.0, float(n)) or not index:
         return Model(prior, {})
-    texts = [{f for word in r[0] for f in features_of(word)} for r in rows]
-    swaps: Counter = Counter()
-    for _, _, mentions in rows:
-        for term, times in mentions.items():
-            for other in _SWAPS[term]:
-                swaps[(term, other)] += times
-    index = _selected(texts, labels, swaps)
-    lists = [np.array(sorted(index[f] for f in found if f in index), dtype=np.int64) for found in texts]
     columns = np.concatenate(lists)
     lines = np.repeat(np.arange(n), [len(x) for x in lists])
     size = len(index)
@@ -203,7 +176,6 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     # At most ``rows`` rows of an id and a label are broadcast.
     found = texts.join(F.broadcast(chosen), "_id").where(F.length("_text") <= MAX_CHARS)
-    schema = "words array<string>, label int, mentions map<string, int>"
 
     def run(batches):
         for batch in batches:
@@ -217,24 +189,72 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
                 names=["words", "label", "mentions"],
             )
 
-    # A few rows more than ``rows`` can come from repeated ids; they are cut off again.
-    return found.mapInArrow(run, schema).limit(rows)
+    # Repeated ids can give a few rows more than ``rows``; they are cut off again.
+    return found.mapInArrow(run, "words array<string>, label int, mentions map<string, int>").limit(rows)
+
+
+def _strongest(sample: DataFrame, n: int, positive: int) -> list[str]:
+    """The MAX_FEATURES features whose share differs most between the labels."""
+
+    def count(batches):
+        for batch in batches:
+            seen, toxic = Counter(), Counter()
+            for found, label in zip(batch.column(0), batch.column(1), strict=True):
+                features = {f for word in found.as_py() for f in features_of(word)}
+                seen.update(features)
+                if label.as_py():
+                    toxic.update(features)
+            names = list(seen)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([seen[f] for f in names], pa.int64()),
+                 pa.array([toxic[f] for f in names], pa.int64())],
+                names=["feature", "n", "toxic"],
+            )
+
+    counts = sample.select("words", "label").mapInArrow(count, "feature string, n bigint, toxic bigint")
+    total = counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    share = F.col("n") / n
+    spread = F.sqrt(share * (1 - share) * (1 / max(1, positive) + 1 / max(1, n - positive)) + 1e-12)
+    gap = F.abs(F.col("toxic") / max(1, positive) - (F.col("n") - F.col("toxic")) / max(1, n - positive))
+    strongest = total.where(F.col("n") >= LEAST_TEXTS).orderBy((gap / spread).desc(), "feature").limit(MAX_FEATURES)
+    return [r["feature"] for r in strongest.select("feature").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", rows: int = MAX_ROWS) -> Model:
+          label_col: str = "toxic", rows: int = MAX_ROWS, counterfactual: float = COUNTERFACTUAL) -> Model:
     """Fit on a bounded sample: ``rows`` labelled rows, of at most MAX_CHARS characters each.
 
-    Rows without a label, an id or a text do not count. Without any labelled row the score is 0.5
-    for every text.
+    The driver gets the chosen features and, for each row, the numbers of those it has. Rows without a
+    label, an id or a text do not count. Without any labelled row the score is 0.5 for every text.
     """
-    sample = _sampled(docs, labels, id_col, text_col, label_col, rows).collect()
-    if not sample:
+    sample = staged(_sampled(docs, labels, id_col, text_col, label_col, rows))
+    whole = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")).first()
+    if not whole["n"]:
         return Model(0.0, {})
+    mentions = sample.select(F.explode("mentions").alias("term", "times")).groupBy("term").agg(F.sum("times").alias("times"))
+    swaps = Counter({(r["term"], t): r["times"] for r in mentions.collect() for t in _SWAPS[r["term"]]})
+    chosen = _strongest(sample, whole["n"], whole["positive"])
+    extra = sorted({f for pair in swaps for term in pair for f in features_of(term)} - set(chosen))
+    index = {f: i for i, f in enumerate([*chosen, *extra])}
+    shared = sample.sparkSession.sparkContext.broadcast(index)
+
+    def number(batches):
+        numbers = shared.value
+        for batch in batches:
+            found = [
+                sorted({numbers[f] for word in words.as_py() for f in features_of(word) if f in numbers})
+                for words in batch.column(0)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.int32())), batch.column(1)], names=["numbers", "label"]
+            )
+
+    numbered = sample.select("words", "label").mapInArrow(number, "numbers array<int>, label int").toArrow()
+    lists = [np.asarray(x.values, dtype=np.int64) for x in numbered["numbers"]]
+    labels_of = numbered["label"].to_numpy().astype(np.float64)
     # The order in which tasks deliver rows must not change the sums.
-    ordered = [(list(r["words"]), int(r["label"]), dict(r["mentions"])) for r in sample]
-    ordered.sort(key=lambda r: (r[0], r[1]))
-    return fit(ordered)
+    order = sorted(range(len(lists)), key=lambda i: (labels_of[i], lists[i].tobytes()))
+    return fit([lists[i] for i in order], labels_of[order], index, swaps, counterfactual)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
