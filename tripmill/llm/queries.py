@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, jaccard, mixing, quality, sharding, toxicity, wrappers
+from tripmill.llm import bpe, jaccard, mixing, quality, sharding, spans, toxicity, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -91,6 +91,11 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"), percent=75)
 
 
+def op9_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    kept = spans.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))
+
+
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
@@ -99,6 +104,7 @@ QUERIES = {
     "op6_counterfactual_toxicity": op6_counterfactual_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_sentence_spans": op9_sentence_spans,
 }
 
 
