@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, jaccard, mixing, quality, sharding, spans, toxicity, wrappers
+from tripmill.llm import bpe, jaccard, lm, mixing, quality, sharding, spans, toxicity, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -67,6 +67,10 @@ def remainder(id_col: str, parts: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
+def op5_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(table(spark, folder, "documents"), remainder("doc_id", 10) == 0)
+
+
 def training_labels(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "labels").where(remainder("doc_id", 4) != 2)
 
@@ -101,6 +105,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_wrapper_text": op3_wrapper_text,
     "op4_fertility_rules": op4_fertility_rules,
+    "op5_elias_fano_lm": op5_elias_fano_lm,
     "op6_counterfactual_toxicity": op6_counterfactual_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_jaccard": op8_ngram_jaccard,
