@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, jaccard, lm, mixing, quality, sharding, spans, toxicity, wrappers
+from tripmill.llm import bpe, imatch, jaccard, lm, mixing, quality, sharding, spans, toxicity, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import staged
 
@@ -100,6 +100,10 @@ def op9_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
     return kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))
 
 
+def op10_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
@@ -110,6 +114,7 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_sentence_spans": op9_sentence_spans,
+    "op10_imatch": op10_imatch,
 }
 
 
