@@ -71,12 +71,14 @@ def _signed(values) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, sid``: size and identity of the shingle set of every row.
+    """``doc_id, n_shingles, sid, often``: size and identity of the shingle set of every row.
 
-    ``sid`` is a 64-bit hash of the set; it is null for an empty set.
+    ``sid`` is a 64-bit hash of the set; it is null for an empty set. The first row of a slice of texts
+    carries, in ``often``, the shingles that half of HOT_SHARE of the slice's different sets have.
     """
     kept = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     schema = kept.schema.fields[0].dataType.simpleString()
+    entry = pa.list_(pa.struct([("shingle", pa.int64()), ("n", pa.int64())]))
 
     def run(batches):
         for batch in batches:
@@ -84,12 +86,23 @@ def sets_of(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str
                 sets = _sets(part, shingle)
                 ids = _signed([_set_id(s) for s in sets])
                 empty = np.array([len(s) == 0 for s in sets], dtype=bool)
+                different = {i: s for i, s in zip(ids, sets, strict=True) if len(s)}
+                values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *different.values()]), return_counts=True)
+                common = counts >= max(2, HOT_SHARE / 2 * len(different))
+                often = [{"shingle": int(v), "n": int(n)} for v, n in zip(_signed(values[common]), counts[common], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64(), mask=empty)],
-                    names=["doc_id", "n_shingles", "sid"],
+                    [
+                        part.column(0),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(ids, pa.int64(), mask=empty),
+                        pa.array([often] + [None] * (len(part) - 1), entry),
+                    ],
+                    names=["doc_id", "n_shingles", "sid", "often"],
                 )
 
-    return kept.mapInArrow(run, f"doc_id {schema}, n_shingles bigint, sid bigint")
+    return kept.mapInArrow(
+        run, f"doc_id {schema}, n_shingles bigint, sid bigint, often array<struct<shingle: bigint, n: bigint>>"
+    )
 
 
 def _distinct_sets(part: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,26 +114,16 @@ def _distinct_sets(part: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.n
     return np.fromiter(sets.keys(), np.uint64, len(sets)), sizes, members, owner
 
 
-def hot_shingles(texts: DataFrame, shingle: int, n_sets: int) -> np.ndarray:
+def hot_shingles(rows: DataFrame) -> np.ndarray:
     """Shingles that about HOT_SHARE of all sets and HOT_SETS sets or more have, sorted.
 
-    A shingle is counted in the slices where at least half of that share has it; the counts add up to
-    half of HOT_SHARE at least for every shingle above it. As sets have a mean number of shingles,
-    there are at most 2 * mean / HOT_SHARE hot ones, whatever the number of texts.
+    ``rows`` is staged ``sets_of``. A shingle is counted in the slices that list it; the counts add up to
+    half of HOT_SHARE at least for every shingle above it. As sets have a mean number of shingles, there
+    are at most 2 * mean / HOT_SHARE hot ones, whatever the number of texts.
     """
+    n_sets = rows.agg(F.approx_count_distinct("sid")).first()[0]
     floor = max(HOT_SETS, HOT_SHARE * n_sets) / 2
-
-    def run(batches):
-        for batch in batches:
-            for part in tokens.slices(batch, 1):
-                _, sizes, members, _ = _distinct_sets(part, shingle)
-                values, counts = np.unique(members, return_counts=True)
-                often = counts >= max(2, HOT_SHARE / 2 * len(sizes))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(values[often])), pa.array(counts[often].astype(np.int64))], names=["shingle", "n"]
-                )
-
-    counted = texts.mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = rows.select(F.explode("often").alias("o")).groupBy("o.shingle").agg(F.sum("o.n").alias("n"))
     found = counted.where(F.col("n") >= floor).select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64)
     return np.sort(found.view(np.uint64))
 
@@ -291,47 +294,53 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def useful(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries that size and position leave a possible partner in their list.
+
+    The shorter set of a linked pair (any of two equal ones) stands within its index prefix: what is
+    left of it from its position on must suffice for a partner of its own size. An entry is useful if it
+    is of that kind, or if the shortest of that kind in the list is short enough for it.
+    """
+    index = (100 + percent) * F.col("rest") >= 2 * percent * F.col("n")
+    room = (100 + percent) * F.col("rest") - percent * F.col("n")
+    shortest = (
+        entries.groupBy("token")
+        .agg(F.min(F.when(index, F.col("n"))).alias("least"), F.count(F.lit(1)).alias("m"))
+        .where("least is not null and m > 1")
+        .select("token", "least")
+    )
+    return entries.join(shortest, "token").where(index | (room >= percent * F.col("least"))).drop("least")
+
+
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """Component of every set that is linked: ``sid, comp``. ``sets`` is staged ``candidates``."""
-    lists = index_lists(sets, percent)
-    several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-    entries = staged(lists.join(several, "token"))
+    entries = staged(useful(index_lists(sets, percent), percent))
     total = entries.count()
-    found: list[DataFrame] = []
+    linked, first_central = None, None
     done: list[DataFrame] = []
-    first_central = None
     open_entries = entries
     for _ in range(STAR_ROUNDS):
         central, pairs = _stars(open_entries, percent)
-        first_central = first_central or staged(central.select("token", "center"))
+        central = staged(central)
+        first_central = first_central or central
         fresh = _ordered(pairs)
         for old in done:
             fresh = fresh.join(old.select("a", "b"), ["a", "b"], "left_anti")
         result = staged(compared(fresh, sets, percent))
         done.append(result)
-        found.append(result.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        linked = found[0]
-        for more in found[1:]:
-            linked = linked.union(more)
+        found = result.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        linked = found if linked is None else linked.union(found)
         comps = staged(components(linked))
-        placed = (
-            entries.join(comps, entries["sid"] == comps["node"], "left")
-            .select("token", "sid", "n", "rest", F.coalesce("component", "sid").alias("comp"))
-        )
-        split = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        undecided = staged(placed.join(split.select("token"), "token"))
-        # Of a list that holds several components, the next star starts from another one.
-        centers = central.join(
-            undecided.select(F.col("sid").alias("center"), F.col("comp").alias("center_comp")).distinct(), "center", "left"
-        ).select("token", "center", "center_comp")
-        outside = undecided.join(centers, "token", "left")
-        away = outside.where(F.col("center_comp").isNull() | (F.col("comp") != F.col("center_comp")))
-        open_entries = staged(away.select("token", "sid", "n", "rest", "comp"))
-        sizes = undecided.groupBy("token").agg(F.count(F.lit(1)).alias("m")).join(
-            open_entries.groupBy("token").agg(F.count(F.lit(1)).alias("o")), "token"
+        undecided = staged(_undecided(entries, comps, percent))
+        # Of a list that holds several components, the next star starts from another one than the last.
+        last = undecided.join(central.select("token", F.col("center").alias("sid")), ["token", "sid"]).select(
+            "token", F.col("comp").alias("last")
         )
-        left = sizes.agg(F.sum(F.col("m") * F.col("o"))).first()[0] or 0
-        if left <= OPEN_FACTOR * max(total, 1):
+        away = undecided.join(last, "token", "left").where(F.col("last").isNull() | (F.col("comp") != F.col("last")))
+        open_entries = staged(away.select("token", "sid", "n", "rest"))
+        sizes = undecided.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+        others = open_entries.groupBy("token").agg(F.count(F.lit(1)).alias("o"))
+        if (sizes.join(others, "token").agg(F.sum(F.col("m") * F.col("o"))).first()[0] or 0) <= OPEN_FACTOR * total:
             break
     rest = _open_pairs(_with_distance(undecided, first_central, done[0]), done, percent)
     final = staged(compared(rest, sets, percent))
@@ -339,6 +348,15 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     return components(linked).select(F.col("node").alias("sid"), F.col("component").alias("comp"))
 
 
+def _undecided(entries: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Entries, with their component, of lists that hold several components."""
+    placed = entries.join(comps, entries["sid"] == comps["node"], "left").select(
+        "token", "sid", "n", "rest", F.coalesce("component", "sid").alias("comp")
+    )
+    split = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    return useful(placed.join(split.select("token"), "token"), percent)
+
+
 def _with_distance(undecided: DataFrame, central: DataFrame, answers: DataFrame) -> DataFrame:
     """Add ``distance``, the Jaccard distance from the list's first central set where it was compared."""
     known = answers.select("a", "b", (1 - F.col("overlap") / F.col("union")).alias("found"))
@@ -390,9 +408,7 @@ def join(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE, id_col: str
     spark = docs.sparkSession
     shards = max(1, min(1 << 16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = staged(sets_of(docs, shingle, id_col, text_col))
-    texts = docs.select(F.lit(0).alias("_"), F.col(f"`{text_col}`").alias("text"))
-    n_sets = rows.agg(F.approx_count_distinct("sid")).first()[0]
-    hot = hot_shingles(texts, shingle, n_sets)
+    hot = hot_shingles(rows)
     sets = staged(candidates(shared_shingles(docs, shingle, shards, hot, text_col), percent))
     comps = staged(links(sets, percent))
     classes = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
