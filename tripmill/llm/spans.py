@@ -27,6 +27,9 @@ LEAST_WORDS = 13
 #: Sentences of more words are cut after every word whose checksum is divisible by CUT.
 LONG_SENTENCE = 12
 CUT = 4
+#: Runs that more texts have than this share of all, and this number, are settled without dealing them out.
+HOT_SHARE = 0.001
+HOT_TEXTS = 1000
 _END = re.compile(r"[.!?][ \t\n\r\x0b\x0c]+|\n[ \t\n\r\x0b\x0c]*")
 _WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+[ \t\n\r\x0b\x0c]*")
 
@@ -81,8 +84,11 @@ def span_hashes(texts: list[list[str]]) -> tuple[np.ndarray, ...]:
     return text, starts - (np.cumsum(sizes) - sizes)[text], lengths, found
 
 
-def runs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, place, length, run, again`` of every run; ``again``: seen before in the same text."""
+def coded_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Runs of a slice of texts in one row: its ids, and packed columns sorted by run, text and place.
+
+    ``again`` marks a run seen before in the same text. Rows with a null id are left out.
+    """
     kept = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")
     )
@@ -92,34 +98,154 @@ def runs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for batch in batches:
             for part in tokens.slices(batch, 1):
                 row, place, length, run = span_hashes([sentences(t.as_py() or "") for t in part.column(1)])
-                order = np.lexsort((place, run, row))
-                again = np.zeros(len(run), dtype=bool)
-                again[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (run[order[1:]] == run[order[:-1]])
+                order = np.lexsort((place, row, run))
+                row, place, length, run = row[order], place[order], length[order], run[order]
+                again = np.zeros(len(run), dtype=np.uint8)
+                again[1:] = (row[1:] == row[:-1]) & (run[1:] == run[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).take(pa.array(row)),
-                        pa.array(place.astype(np.int32)),
-                        pa.array(length.astype(np.int32)),
-                        pa.array(run.view(np.int64)),
-                        pa.array(again),
+                        pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(0)),
+                        pa.array([tokens.pack_steps(run)], pa.binary()),
+                        pa.array([tokens.pack(row.astype(np.uint32))], pa.binary()),
+                        pa.array([tokens.pack(place.astype(np.uint32))], pa.binary()),
+                        pa.array([tokens.pack(length.astype(np.uint32))], pa.binary()),
+                        pa.array([tokens.pack(again)], pa.binary()),
                     ],
-                    names=["id", "place", "length", "run", "again"],
+                    names=["ids", "runs", "rows", "places", "lengths", "again"],
                 )
 
-    return kept.mapInArrow(find, f"id {kind}, place int, length int, run bigint, again boolean")
+    return kept.mapInArrow(find, f"ids array<{kind}>, runs binary, rows binary, places binary, lengths binary, again binary")
+
+
+def _opened(row: dict):
+    """Runs of a packed row: hash, text, place, length and whether seen before in the text."""
+    numbers = (tokens.unpack(row[c], np.uint32).astype(np.int64) for c in ("rows", "places", "lengths"))
+    return tokens.unpack_steps(row["runs"]), *numbers, tokens.unpack(row["again"], np.uint8).astype(bool)
 
 
-def repeats(runs: DataFrame) -> DataFrame:
-    """``id, covered``: first and last sentence of the runs that are not the first of their hash.
+def frequent_runs(coded: DataFrame) -> np.ndarray:
+    """Runs that about HOT_SHARE of all texts and HOT_TEXTS texts or more have, sorted.
 
-    ``runs`` is staged.
-    The first id of a run is found by partial minima. The runs are then joined with it by hash; a run
-    that a large part of all texts has is one row on one side and can be split on the other.
+    A run is counted in the slices where at least half of that share of the texts has it. There are at
+    most 2 * (mean runs of a text) / HOT_SHARE of them.
     """
-    first = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).where("n > 1")
-    later = runs.join(first.select("run", "first"), "run").where("again or id <> first")
-    span = F.struct(F.col("place").alias("first"), (F.col("place") + F.col("length") - 1).alias("last"))
-    return later.groupBy("id").agg(F.collect_list(span).alias("covered"))
+
+    def count(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                run, _, _, _, again = _opened(row)
+                values, counts = np.unique(run[~again], return_counts=True)
+                often = counts >= max(2, HOT_SHARE / 2 * len(row["ids"]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["run", "n"]
+                )
+
+    texts = coded.agg(F.sum(F.size("ids"))).first()[0] or 0
+    counted = coded.mapInArrow(count, "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("n"))
+    found = counted.where(F.col("n") >= max(HOT_TEXTS, HOT_SHARE * texts) / 2).select("run").toPandas()["run"]
+    return np.sort(found.to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def _spans(ids: pa.Array, place: np.ndarray, length: np.ndarray) -> list[pa.Array]:
+    return [ids, pa.array(place.astype(np.int32)), pa.array((place + length - 1).astype(np.int32))]
+
+
+def repeats(coded: DataFrame, shards: int) -> DataFrame:
+    """``id, covered``: first and last sentence of all runs that are not the first of their hash.
+
+    ``coded`` is staged. Runs are dealt out by hash, and the first text of each is found among its own.
+    Runs that many texts have are not: the smallest id of each is found by partial minima, and as they
+    are few, these go to all tasks.
+    """
+    context = coded.sparkSession.sparkContext
+    kind = coded.schema["ids"].dataType.elementType.simpleString()
+    frequent = frequent_runs(coded)
+    known = context.broadcast(frequent)
+
+    def smallest(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                run, text, _, _, _ = _opened(row)
+                mine = _is_in(run, known.value)
+                least: dict[int, object] = {}
+                for r, t in zip(run[mine].tolist(), text[mine].tolist(), strict=True):
+                    least[r] = min(least.get(r, row["ids"][t]), row["ids"][t])
+                signed = np.fromiter(least.keys(), np.uint64, len(least)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed), pa.array(list(least.values()), batch.schema.field("ids").type.value_type)],
+                    names=["run", "id"],
+                )
+
+    first_of = {}
+    if len(frequent):
+        minima = coded.mapInArrow(smallest, f"run bigint, id {kind}").groupBy("run").agg(F.min("id").alias("id"))
+        first_of = {r["run"] % (1 << 64): r["id"] for r in minima.collect()}
+    firsts = context.broadcast(first_of)
+
+    def settle_frequent(batches):
+        for batch in batches:
+            for ids, row in zip(batch.column(0), batch.to_pylist(), strict=True):
+                run, text, place, length, again = _opened(row)
+                mine = np.flatnonzero(_is_in(run, known.value))
+                later = [i for i in mine if again[i] or firsts.value[int(run[i])] != row["ids"][text[i]]]
+                taken = np.array(later, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    _spans(ids.values.take(pa.array(text[taken])), place[taken], length[taken]), names=["id", "first", "last"]
+                )
+
+    def deal(batches):
+        for batch in batches:
+            for ids, row in zip(batch.column(0), batch.to_pylist(), strict=True):
+                run, text, place, length, again = _opened(row)
+                shard = ((run >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+                rare = ~_is_in(run, known.value)
+                run, text, place, length, again, shard = (x[rare] for x in (run, text, place, length, again, shard))
+                cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+                for s in np.flatnonzero(np.diff(cuts)):
+                    here = slice(cuts[s], cuts[s + 1])
+                    mine, local = np.unique(text[here], return_inverse=True)
+                    taken = ids.values.take(pa.array(mine))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([int(s)], pa.int32()),
+                            pa.ListArray.from_arrays(pa.array([0, len(taken)], pa.int32()), taken),
+                            pa.array([tokens.pack_steps(run[here])], pa.binary()),
+                            pa.array([tokens.pack(local.astype(np.uint32))], pa.binary()),
+                            pa.array([tokens.pack(place[here].astype(np.uint32))], pa.binary()),
+                            pa.array([tokens.pack(length[here].astype(np.uint32))], pa.binary()),
+                            pa.array([tokens.pack(again[here].astype(np.uint8))], pa.binary()),
+                        ],
+                        names=["shard", "ids", "runs", "rows", "places", "lengths", "again"],
+                    )
+
+    def settle(table: pa.Table) -> pa.Table:
+        lists = table["ids"].combine_chunks()
+        ids, starts = lists.flatten(), np.cumsum([0, *lists.value_lengths().to_pylist()])
+        rank = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        parts = [_opened(row) for row in table.drop_columns(["ids"]).to_pylist()]
+        run, place, length, again = (np.concatenate([p[i] for p in parts]) for i in (0, 2, 3, 4))
+        text = np.concatenate([p[1] + start for p, start in zip(parts, starts[:-1], strict=True)])
+        order = np.argsort(run, kind="stable")
+        run, text, place, length, again = (x[order] for x in (run, text, place, length, again))
+        start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        first = np.repeat(np.minimum.reduceat(rank[text], start), np.diff(np.append(start, len(run))))
+        later = np.flatnonzero(again | (rank[text] != first))
+        return pa.table(_spans(ids.take(pa.array(text[later])), place[later], length[later]), names=["id", "first", "last"])
+
+    spans = f"id {kind}, first int, last int"
+    dealt = coded.mapInArrow(
+        deal, f"shard int, ids array<{kind}>, runs binary, rows binary, places binary, lengths binary, again binary"
+    )
+    later = dealt.groupBy("shard").applyInArrow(settle, spans)
+    if len(frequent):
+        later = later.union(coded.mapInArrow(settle_frequent, spans))
+    return later.groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("covered"))
 
 
 def without(text: str, spans) -> tuple[str, int, int]:
@@ -140,7 +266,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     result. All other columns are kept.
     """
     names = docs.columns
-    found = repeats(staged(runs_of(docs, id_col, text_col)))
+    shards = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = staged(repeats(staged(coded_runs(docs, id_col, text_col)), shards))
     packed = docs.select(
         F.col(f"`{id_col}`").alias("id"),
         F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("rest"),
