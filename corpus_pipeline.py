@@ -1,18 +1,70 @@
-"""Corpus pipeline: the stages are added with their operators."""
+"""From raw documents to token ids: five stages, each on all that the one before kept.
+
+Every stage takes and returns the columns of ``documents``; the last returns the tokens.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmill.llm import bpe, jaccard, mixing, queries, spans, toxicity
+from tripmill.llm.tables import ship_code
+from tripmill.plans.staging import staged
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    ship_code(spark)
+    model = toxicity.train(docs, queries.training_labels(spark, sf_dir))
+    return toxicity.without_toxic(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies."""
+    ship_code(spark)
+    return jaccard.without_copies(docs, percent=75)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand in an earlier one."""
+    ship_code(spark)
+    kept = spans.deduplicated(docs).select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    ship_code(spark)
+    return mixing.mixed_documents(docs, queries.SOURCE_WEIGHTS, queries.SEED)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with the hashes of ids and decoded bytes."""
+    ship_code(spark)
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+    return bpe.digests(docs, vocabulary, with_ids=True)
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("passages", cut_repeated_passages),
+    ("mix", mix),
+    ("encode", encode),
+]
+#: The classifier and the tokeniser cannot be stated in SQL; a brute-force version is in the tests.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply all stages to ``documents``; each result is written and read again by the next stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    *stages, (_, last) = STAGES
+    for _, stage in stages:
+        docs = staged(stage(spark, docs, sf_dir))
+    return last(spark, docs, sf_dir)
 
 
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:

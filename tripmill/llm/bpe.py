@@ -226,8 +226,9 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", id
     return _mapped(tokens, [id_col, ids_col], shared, row, [T.StructField("data", T.BinaryType())])
 
 
-def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256`` of every whole text.
+def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
+            with_ids: bool = False) -> DataFrame:
+    """``id, n_tokens, ids_sha256, decoded_sha256`` of every whole text, and ``ids`` if asked for.
 
     The first hash is over the decimal ids joined by commas, the second over the bytes the ids
     decode to. Encoding, decoding and hashing go run by run, so a long text needs little memory. A
@@ -237,18 +238,23 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def row(encoder: Encoder, text: str | None):
-        n, listed, decoded = 0, sha256(), sha256()
+        n, listed, decoded, kept = 0, sha256(), sha256(), []
         for run in encoder.encode(text or ""):
+            if with_ids:
+                kept.append(np.array(run, dtype=np.int32))
             if n and run:
                 listed.update(b",")
             n += len(run)
             listed.update(",".join(map(encoder.decimal.__getitem__, run)).encode())
             decoded.update(encoder.decode(run))
-        return n, listed.hexdigest(), decoded.hexdigest()
+        found = n, listed.hexdigest(), decoded.hexdigest()
+        return (*found, np.concatenate(kept or [np.zeros(0, np.int32)])) if with_ids else found
 
     added = [
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
     ]
+    if with_ids:
+        added.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     return _mapped(docs, [id_col, text_col], shared, row, added)

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm import tokens
@@ -418,3 +418,18 @@ def join(docs: DataFrame, percent: int = 75, shingle: int = SHINGLE, id_col: str
     return rows.join(named, "sid", "left").select(
         "doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
+
+
+def without_copies(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest id, and all columns.
+
+    Of rows that agree in id and text one stays. Rows of one id and different texts count as one
+    document; rows with a null id cannot be told apart and stay.
+    """
+    joined = join(docs, percent, id_col=id_col, text_col=text_col)
+    gone = staged(joined.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct())
+    left = docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = Window.partitionBy(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))).orderBy(F.lit(0))
+    first = F.row_number().over(same)
+    packed = left.select(F.struct("*").alias("row"), first.alias("place"))
+    return packed.where("place = 1 or row.`%s` is null" % id_col).select("row.*")
