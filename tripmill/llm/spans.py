@@ -152,8 +152,25 @@ def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def _spans(ids: pa.Array, place: np.ndarray, length: np.ndarray) -> list[pa.Array]:
-    return [ids, pa.array(place.astype(np.int32)), pa.array((place + length - 1).astype(np.int32))]
+def _spans(ids: pa.Array, text: np.ndarray, place: np.ndarray, length: np.ndarray) -> list[pa.Array]:
+    """One row for each text: its id, and the first and last sentences of its spans, merged where they meet."""
+    order = np.lexsort((place, text))
+    text, place, length = text[order], place[order], length[order]
+    # No span of a text reaches the places of the next one.
+    offset = text * (int((place + length).max(initial=0)) + 1)
+    reach = np.maximum.accumulate(offset + place + length) if len(text) else place
+    fresh = np.ones(len(text), dtype=bool)
+    fresh[1:] = offset[1:] + place[1:] > reach[:-1]
+    start = np.flatnonzero(fresh)
+    end = np.append(start[1:], len(text)) - 1
+    owner = text[start]
+    mine, counts = np.unique(owner, return_counts=True)
+    pair = pa.StructArray.from_arrays(
+        [pa.array(place[start].astype(np.int32)), pa.array((reach[end] - offset[start] - 1).astype(np.int32) if len(text) else place.astype(np.int32))],
+        names=["first", "last"],
+    )
+    bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+    return [ids.take(pa.array(mine)), pa.ListArray.from_arrays(bounds, pair)]
 
 
 def repeats(coded: DataFrame, shards: int) -> DataFrame:
@@ -196,7 +213,7 @@ def repeats(coded: DataFrame, shards: int) -> DataFrame:
                 later = [i for i in mine if again[i] or firsts.value[int(run[i])] != row["ids"][text[i]]]
                 taken = np.array(later, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    _spans(ids.values.take(pa.array(text[taken])), place[taken], length[taken]), names=["id", "first", "last"]
+                    _spans(ids.values, text[taken], place[taken], length[taken]), names=["id", "covered"]
                 )
 
     def deal(batches):
@@ -236,16 +253,16 @@ def repeats(coded: DataFrame, shards: int) -> DataFrame:
         start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         first = np.repeat(np.minimum.reduceat(rank[text], start), np.diff(np.append(start, len(run))))
         later = np.flatnonzero(again | (rank[text] != first))
-        return pa.table(_spans(ids.take(pa.array(text[later])), place[later], length[later]), names=["id", "first", "last"])
+        return pa.table(_spans(ids, text[later], place[later], length[later]), names=["id", "covered"])
 
-    spans = f"id {kind}, first int, last int"
+    spans = f"id {kind}, covered array<struct<first: int, last: int>>"
     dealt = coded.mapInArrow(
         deal, f"shard int, ids array<{kind}>, runs binary, rows binary, places binary, lengths binary, again binary"
     )
     later = dealt.groupBy("shard").applyInArrow(settle, spans)
     if len(frequent):
         later = later.union(coded.mapInArrow(settle_frequent, spans))
-    return later.groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("covered"))
+    return later.groupBy("id").agg(F.flatten(F.collect_list("covered")).alias("covered"))
 
 
 def without(text: str, spans) -> tuple[str, int, int]:
