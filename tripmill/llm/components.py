@@ -30,22 +30,25 @@ def _pointed(links: DataFrame, larger_only: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link at most and none that is linked to is linked itself."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return sums.where("out > 1 or (out = 1 and into = 1)").limit(1).count() == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (``u, v``): the smallest node it reaches.
 
-    Large stars and small stars alternate until a round changes nothing (Kiveris and others, 2014);
-    each round writes its links to the shared folder. Links are then one from every node to the
-    smallest of its component. Nulls and links of a node to itself are left out.
+    Large stars and small stars alternate (Kiveris and others, 2014) until every node is linked to the
+    smallest of its component and to nothing else; each round writes its links to the shared folder.
+    Nulls and links of a node to itself are left out.
     """
-    current = staged(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    mark = F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
-    before = current.agg(mark.alias("m")).first()["m"]
-    while True:
-        large = staged(_pointed(current, True))
-        current = staged(_pointed(large, False))
-        after = current.agg(mark.alias("m")).first()["m"]
-        if after == before:
-            break
-        before = after
+    ordered = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    current = staged(ordered.distinct())
+    while not _settled(current):
+        current = staged(_pointed(staged(_pointed(current, True)), False))
     tops = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)

@@ -37,8 +37,8 @@ SHINGLE = 5
 #: A shingle that more sets share than this share of all, and this number, is dealt out salted.
 HOT_SHARE = 0.001
 HOT_SETS = 1000
-#: Star rounds go on while the open pairs are more than so many times the list entries.
-OPEN_FACTOR = 2.0
+#: Star rounds go on while the pairs between components of a list are more than so many times the entries.
+OPEN_FACTOR = 100.0
 STAR_ROUNDS = 6
 _LOW = np.uint64(16)
 
@@ -319,7 +319,7 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     linked, first_central = None, None
     done: list[DataFrame] = []
     open_entries = entries
-    for _ in range(STAR_ROUNDS):
+    for star in range(STAR_ROUNDS):
         central, pairs = _stars(open_entries, percent)
         central = staged(central)
         first_central = first_central or central
@@ -332,20 +332,29 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
         linked = found if linked is None else linked.union(found)
         comps = staged(components(linked))
         undecided = staged(_undecided(entries, comps, percent))
+        if star + 1 == STAR_ROUNDS or _cross_pairs(undecided) <= OPEN_FACTOR * total:
+            break
         # Of a list that holds several components, the next star starts from another one than the last.
         last = undecided.join(central.select("token", F.col("center").alias("sid")), ["token", "sid"]).select(
             "token", F.col("comp").alias("last")
         )
         away = undecided.join(last, "token", "left").where(F.col("last").isNull() | (F.col("comp") != F.col("last")))
         open_entries = staged(away.select("token", "sid", "n", "rest"))
-        sizes = undecided.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
-        others = open_entries.groupBy("token").agg(F.count(F.lit(1)).alias("o"))
-        if (sizes.join(others, "token").agg(F.sum(F.col("m") * F.col("o"))).first()[0] or 0) <= OPEN_FACTOR * total:
-            break
     rest = _open_pairs(_with_distance(undecided, first_central, done[0]), done, percent)
-    final = staged(compared(rest, sets, percent))
-    linked = linked.union(final.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return components(linked).select(F.col("node").alias("sid"), F.col("component").alias("comp"))
+    final = staged(compared(rest, sets, percent).where("linked"))
+    if final.isEmpty():
+        return comps.select(F.col("node").alias("sid"), F.col("component").alias("comp"))
+    found = final.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return components(comps.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)).select(
+        F.col("node").alias("sid"), F.col("component").alias("comp")
+    )
+
+
+def _cross_pairs(undecided: DataFrame) -> int:
+    """Pairs of entries of one list from different components, before size and position rule any out."""
+    parts = undecided.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+    lists = parts.groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+    return lists.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()[0] or 0
 
 
 def _undecided(entries: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
