@@ -7,15 +7,30 @@ import pytest
 import __spark_entry__ as entry_point
 from compare import plan
 from tripmill.checks import bindings
-from tripmill.operators import kpis, rollups
+from tripmill.checks.queries import all_queries
+from tripmill.operators import kpis, measures, pages, rollups
+from tripmill.plans import report
+from tripmill.plans.staging import staged
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
+QUERIES = all_queries()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_single_task_window(spark, name):
-    text = plan(QUERIES[name](spark, FOLDER))
+def test_no_python_and_no_single_task_window(spark, monkeypatch, name):
+    """Holds for the result and for every frame that is staged on the way to it."""
+    plans = []
+
+    def recorded(df, **options):
+        plans.append(plan(df))
+        return staged(df, **options)
+
+    for module in (measures, pages, report):
+        monkeypatch.setattr(module, "staged", recorded)
+    plans.append(plan(QUERIES[name](spark, FOLDER)))
+    if name.startswith("report_driver_table"):
+        assert len(plans) == 2
+    text = "\n".join(plans)
     assert "Python" not in text
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
@@ -23,6 +38,12 @@ def test_no_python_and_no_single_task_window(spark, name):
     assert all(windows), "a window without partition keys"
 
 
+def test_vehicles_meet_small_sides_without_a_shuffle_of_the_loads(spark):
+    text = plan(QUERIES["vehicle_production"](spark, FOLDER))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("BroadcastExchange") == 3
+
+
 def test_filters_reach_the_scan(spark):
     text = plan(QUERIES["trip_extract"](spark, FOLDER), "formatted")
     assert "EqualTo(l_linenumber,3)" in text
@@ -30,6 +51,8 @@ def test_filters_reach_the_scan(spark):
     text = plan(QUERIES["src_param_sql"](spark, FOLDER), "formatted")
     assert "EqualTo(l_linenumber,3)" in text
     assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)" in text
+    text = plan(QUERIES["extract_from"](spark, FOLDER), "formatted")
+    assert "GreaterThanOrEqual(l_shipdate,1996-01-01T00:00)" in text
     text = plan(QUERIES["filter_period"](spark, FOLDER), "formatted")
     assert "LessThanOrEqual(ts,2024-01-12T18:30)" in text
 

@@ -8,6 +8,7 @@ variants and volumes that are no numbers.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +77,22 @@ def star_trips(spark: SparkSession, folder: str, *, with_driver: bool = True) ->
     return Trips(extract, Roles.plain())
 
 
+def star_trips_without_driver(spark: SparkSession, folder: str) -> Trips:
+    """For rollups that ask for no driver."""
+    return star_trips(spark, folder, with_driver=False)
+
+
+def anonymous_star(spark: SparkSession, folder: str) -> StarTables:
+    """The star tables with a third of the loads without a driver id."""
+    star = star_tables(spark, folder)
+    entry = F.when(F.col("l_orderkey") % 3 != 0, F.col("l_orderkey"))
+    return replace(
+        star,
+        loads=star.loads.withColumn("entry", entry),
+        columns=replace(STAR_COLUMNS, driver="entry"),
+    )
+
+
 def clean_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("ts").alias("time"),

@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
-from tripmill.checks.queries import DEFAULT_INSTANT, EVENT_PERIOD, PERIOD, SITE
-from tripmill.functions.text import LABEL_WIDTH, PARTICLES
-from tripmill.plans import report
+# Fixed values, stated here again so that a wrong one in the library is found.
+SITE = 3
+PERIOD = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
+EVENT_PERIOD = ("2024-01-05 06:00:00", "2024-01-12 18:30:00")
+DEFAULT_INSTANT = "2024-01-01 00:00:00"
+LABEL_WIDTH = 25
+PARTICLES = ("da", "de", "do", "das", "dos", "e", "di", "du", "del", "van", "von", "d")
+TITLE = "Relatório de Produção Mensal"
+CARD_TITLES = (
+    "Produção total do período (t)",
+    "Número total de viagens",
+    "Caminhão mais produtivo",
+    "Motorista mais produtivo",
+    "Produção média por dia (t)",
+    "Maior / Menor dia (não zero)",
+)
+SECTION_TITLES = {
+    "daily_series": "Produção diária",
+    "daily_table": "Produção Diária",
+    "vehicle_series": "Produção por Caminhão",
+    "vehicle_table": "Produção por caminhão",
+    "driver_series": "Produção por Motorista",
+    "driver_table": "Produção por motorista",
+}
+NO_ROWS = "Sem registros no período."
+NO_POINTS = "Sem dados no período"
+DAILY_PAGE, VEHICLE_PAGE, DRIVER_PAGE = 48, 38, 38
+PRIMARY_SITE = "SÃO JOÃO"
 
 STAR = """
 SELECT l.l_shipdate AS time, p.p_brand AS vehicle, f.c_name AS driver, l.l_quantity AS volume,
@@ -242,7 +267,7 @@ def cards(rows: str) -> str:
     ]
     cards = " UNION ALL ".join(
         f"SELECT {i} AS position, '{title}' AS title, {text} AS value FROM k"
-        for i, (title, text) in enumerate(zip(report.CARD_TITLES, texts, strict=True), start=1)
+        for i, (title, text) in enumerate(zip(CARD_TITLES, texts, strict=True), start=1)
     )
     return trips(rows, cards, DAY_TOTALS, ("k", kpi_body()))
 
@@ -257,7 +282,7 @@ def paged(rows: str, cte: tuple[str, str], key: str, order: str, size: int) -> s
 
 
 def heading(section: str) -> str:
-    title = report.SECTION_TITLES[section]
+    title = SECTION_TITLES[section]
     period = f"coalesce((SELECT ': de ' || {dmy('min(time)')} || ' a ' || {dmy('max(time)')} FROM t), '')"
     return f"CASE WHEN page_no = 1 THEN '{title}' ELSE '{title} (continuação)' END || {period} AS section_title"
 
@@ -272,20 +297,20 @@ def daily_display(rows: str) -> str:
         CAST(n_trips AS VARCHAR) AS n_viagens, {ptbr(r2("v"))} AS total,
         {ptbr(r2("v / n_trips"))} AS t_viagem, strftime(first_time, '%H:%M') AS primeira,
         strftime(last_time, '%H:%M') AS ultima"""
-    return display(rows, DAYS, columns, "day", report.DAILY_PAGE, "daily_table")
+    return display(rows, DAYS, columns, "day", DAILY_PAGE, "daily_table")
 
 
 def vehicle_display(rows: str) -> str:
     columns = f"""vehicle AS caminhao, CAST(n_loads AS VARCHAR) AS n_viagens,
         {ptbr(r2("v"))} AS total, {ptbr(r2(ratio("v", "n_loads")))} AS peso_medio"""
-    return display(rows, VEHICLES, columns, "v DESC, vehicle", report.VEHICLE_PAGE, "vehicle_table")
+    return display(rows, VEHICLES, columns, "v DESC, vehicle", VEHICLE_PAGE, "vehicle_table")
 
 
 def driver_display(rows: str) -> str:
     columns = f"""driver AS motorista, CAST(n_loads AS VARCHAR) AS n_viagens,
         {ptbr(r2("v"))} AS total, {ptbr(r2(ratio("v", "n_loads")))} AS peso_medio,
         CASE WHEN {MEAN_PER_DAY} > 0 THEN {ptbr(MEAN_PER_DAY)} ELSE '' END AS media_dia"""
-    return display(rows, DRIVERS, columns, "v DESC, driver", report.DRIVER_PAGE, "driver_table")
+    return display(rows, DRIVERS, columns, "v DESC, driver", DRIVER_PAGE, "driver_table")
 
 
 def driver_totals(rows: str, columns: str) -> str:
@@ -309,7 +334,7 @@ def section_counts(rows: str) -> list[tuple[str, str, str]]:
 
 def status(rows: str) -> str:
     def notice(section: str) -> str:
-        return report.NO_ROWS if section.endswith("_table") else report.NO_POINTS
+        return NO_ROWS if section.endswith("_table") else NO_POINTS
 
     return trips(
         rows,
@@ -321,15 +346,68 @@ def status(rows: str) -> str:
     )
 
 
-def written_rows(rows: str) -> str:
-    counted = [(section, count) for section, count, _ in section_counts(rows)]
-    fixed = [("header", "1"), ("kpi_cards", "6"), ("captions", "6"), ("status", "6")]
-    return trips(
-        rows,
-        " UNION ALL ".join(
-            f"SELECT '{section}' AS section, CAST({count} AS BIGINT) AS n_rows"
-            for section, count in counted + fixed
-        ),
+def written_report(rows: str) -> str:
+    """All rows of a report in long form: section, page, row in the page, and joined texts."""
+
+    def part(section: str, sql: str, columns: str, paged_rows: bool = False) -> str:
+        texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns.split("; "))
+        place = "page_no AS page, row_in_page AS row" if paged_rows else "CAST(0 AS BIGINT) AS page, CAST(0 AS BIGINT) AS row"
+        return f"SELECT '{section}' AS section, {place}, concat_ws('|', {texts}) AS texts FROM ({sql})"
+
+    day_label, total = "strftime(day, '%Y-%m-%d')", ptbr("total")
+    vehicles = "SELECT vehicle, coalesce(sum(volume), 0) AS total FROM t WHERE vehicle IS NOT NULL GROUP BY ALL"
+    points = "SELECT day, v AS total, format('{:,.0f}', v) AS label FROM day_totals"
+    bars = driver_totals(rows, f"driver_raw, label, {wrap('label')} AS label_wrapped, total")
+    heading_of = "section_title"
+    return " UNION ALL ".join(
+        [
+            part("header", header(), "title; company; period; brand; generated_by; console_line"),
+            part("kpi_cards", cards(rows), "position; title; value"),
+            part("daily_series", trips(rows, points, DAY_TOTALS), f"{day_label}; label; {total}"),
+            part(
+                "daily_table",
+                daily_display(rows),
+                f"data; caminhoes; n_viagens; total; t_viagem; primeira; ultima; {heading_of}",
+                True,
+            ),
+            part("vehicle_series", trips(rows, vehicles), f"vehicle; {total}"),
+            part(
+                "vehicle_table",
+                vehicle_display(rows),
+                f"caminhao; n_viagens; total; peso_medio; {heading_of}",
+                True,
+            ),
+            part("driver_series", bars, f"driver_raw; label; label_wrapped; {total}"),
+            part(
+                "driver_table",
+                driver_display(rows),
+                f"motorista; n_viagens; total; peso_medio; media_dia; {heading_of}",
+                True,
+            ),
+            part("captions", captions(rows), "section; caption"),
+            part("status", status(rows), "section; n_rows; message"),
+        ]
+    )
+
+
+def ranked_by_total(rows: str, cte: tuple[str, str], key: str) -> str:
+    rank = f"row_number() OVER (ORDER BY v DESC, {key})"
+    return trips(rows, f"SELECT {key}, {r2('v')} AS total, {rank} AS rank FROM {cte[0]}", cte)
+
+
+def key_checks() -> str:
+    keys = {
+        "vehicles": ("part", "p_partkey"),
+        "readers": ("supplier", "s_suppkey"),
+        "sites": ("nation", "n_nationkey"),
+        "drivers": ("orders", "o_orderkey"),
+        "employees": ("(SELECT * FROM customer WHERE c_acctbal >= 0)", "c_custkey"),
+    }
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS dimension, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows, count(*) AS n_keys,
+                   count(CASE WHEN n > 1 THEN 1 END) AS n_repeated
+            FROM (SELECT {key}, count(*) AS n FROM {source} WHERE {key} IS NOT NULL GROUP BY {key})"""
+        for name, (source, key) in keys.items()
     )
 
 
@@ -340,7 +418,7 @@ def captions(rows: str) -> str:
             f"""SELECT '{section}' AS section,
                        coalesce('{title}: de ' || {dmy("min(time)")} || ' a ' || {dmy("max(time)")}, '') AS caption
                 FROM t"""
-            for section, title in report.SECTION_TITLES.items()
+            for section, title in SECTION_TITLES.items()
         ),
     )
 
@@ -349,12 +427,11 @@ def header() -> str:
     start, end = (f"TIMESTAMP '{p}'" for p in PERIOD)
     company = f"coalesce((SELECT max(n_name) FROM nation WHERE n_nationkey = {SITE}), 'Obra {SITE}')"
     site = "(SELECT site FROM t WHERE time IS NOT NULL ORDER BY time, site NULLS FIRST LIMIT 1)"
-    primary = ", ".join(f"'{s}'" for s in report.PRIMARY_SITES)
     return trips(
-        STAR,
-        f"""SELECT '{report.TITLE}' AS title, {company} AS company,
+        STAR_SELECTED,
+        f"""SELECT '{TITLE}' AS title, {company} AS company,
                    'De ' || {dmy(start)} || ' a ' || {dmy(end)} AS period,
-                   CASE WHEN {site} IN ({primary}) THEN 'A' ELSE 'B' END AS brand,
+                   CASE WHEN {site} = '{PRIMARY_SITE}' THEN 'A' ELSE 'B' END AS brand,
                    'tripmill' AS generated_by,
                    'Relatório: ' || {company} || ' | Período: {PERIOD[0]} a {PERIOD[1]}' AS console_line""",
     )
@@ -375,7 +452,11 @@ def all_oracles() -> dict[str, str]:
                 WHERE s_suppkey = {i}), 'Obra {i}') AS site_name"""
             for i in (SITE, -1)
         ),
-        "sink_roundtrip": written_rows(STAR),
+        "extract_from": f"{STAR} WHERE l.l_shipdate >= TIMESTAMP '{PERIOD[0]}'",
+        "extract_until": f"{STAR} WHERE l.l_shipdate <= TIMESTAMP '{PERIOD[1]}'",
+        "key_check": key_checks(),
+        "sink_roundtrip": written_report(STAR_SELECTED),
+        "run_report": written_report(STAR_SELECTED),
         "filter_site": f"""SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem
                            WHERE l_linenumber = {SITE}""",
         "filter_period": f"""SELECT event_id, ts, event_type FROM events
@@ -402,14 +483,29 @@ def all_oracles() -> dict[str, str]:
         "join_driver_left": """SELECT l_orderkey, l_linenumber, c_name AS driver FROM lineitem
             LEFT JOIN orders ON o_orderkey = l_orderkey
             LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON c_custkey = o_custkey""",
+        "join_driver_nulls": """SELECT l_orderkey, l_linenumber,
+            CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS entry,
+            CASE WHEN l_orderkey % 3 <> 0 THEN c_name END AS driver FROM lineitem
+            LEFT JOIN orders ON o_orderkey = l_orderkey
+            LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON c_custkey = o_custkey""",
         "active_days": trips(CLEAN, "SELECT count(DISTINCT day) AS active_days FROM t"),
         "active_days_dirty": trips(DIRTY, "SELECT count(DISTINCT day) AS active_days FROM t"),
         "daily_production": daily(CLEAN),
         "daily_production_dirty": daily(DIRTY),
+        "daily_production_cube": daily(STAR),
+        "daily_vehicle_rows": trips(
+            DIRTY,
+            """SELECT day, trim(vehicle) AS vehicle, count(*) AS n_trips FROM t
+               WHERE day IS NOT NULL AND trim(vehicle) <> '' GROUP BY ALL""",
+        ),
         "daily_vehicle_list": trips(DIRTY, "SELECT day, vehicles FROM days", DAYS),
         "vehicle_production": vehicle(STAR),
+        "vehicle_production_cube": vehicle(STAR),
+        "vehicle_ranking": ranked_by_total(STAR, VEHICLES, "vehicle"),
         "vehicle_production_dirty": vehicle(DIRTY),
         "driver_production": driver(STAR),
+        "driver_production_cube": driver(STAR),
+        "driver_ranking": ranked_by_total(STAR, DRIVERS, "driver"),
         "driver_production_dirty": driver(DIRTY),
         "driver_active_days": trips(
             DIRTY, "SELECT driver, active_days FROM drivers WHERE n_positive > 0", DRIVERS
@@ -436,11 +532,14 @@ def all_oracles() -> dict[str, str]:
         "first_site": trips(
             STAR, "SELECT site FROM t WHERE time IS NOT NULL ORDER BY time, site NULLS FIRST LIMIT 1"
         ),
+        "first_site_cube": trips(
+            STAR, "SELECT site FROM t WHERE time IS NOT NULL ORDER BY time, site NULLS FIRST LIMIT 1"
+        ),
         "kpi_summary": kpis(STAR),
         "kpi_summary_dirty": kpis(DIRTY),
-        "paginate_daily": paged(STAR, DAYS, "day", "day", report.DAILY_PAGE),
-        "paginate_vehicle": paged(STAR, VEHICLES, "vehicle", "v DESC, vehicle", report.VEHICLE_PAGE),
-        "paginate_driver": paged(STAR, DRIVERS, "driver", "v DESC, driver", report.DRIVER_PAGE),
+        "paginate_daily": paged(STAR, DAYS, "day", "day", DAILY_PAGE),
+        "paginate_vehicle": paged(STAR, VEHICLES, "vehicle", "v DESC, vehicle", VEHICLE_PAGE),
+        "paginate_driver": paged(STAR, DRIVERS, "driver", "v DESC, driver", DRIVER_PAGE),
         "titlecase_pt": on_documents(titlecase("text"), "cased"),
         "titlecase_card": on_documents(titlecase("text", elided=False), "cased"),
         "wrap_label": on_documents(wrap("text"), "wrapped"),

@@ -9,20 +9,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.checks.bindings import (
+    anonymous_star,
     clean_rows,
     clean_trips,
     dirty_rows,
     dirty_trips,
     star_tables,
     star_trips,
+    star_trips_without_driver,
     table,
 )
 from tripmill.functions import dates, numbers, text
 from tripmill.operators import kpis, rollups, series
-from tripmill.operators.measures import MeasureSource
-from tripmill.operators.pages import paginate
+from tripmill.operators.measures import MeasureSource, Trips
+from tripmill.operators.pages import paginate, ranking
 from tripmill.plans import report
-from tripmill.plans.staging import fresh_folder
+from tripmill.plans.staging import fresh_folder, staging_run
 from tripmill.schema import Roles, ensure_columns, table_defaults
 from tripmill.sources.lookup import site_name
 from tripmill.sources.sqltext import load_dataframe
@@ -84,6 +86,12 @@ def trip_extract(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def extract_with(**bounds: str) -> Query:
+    return lambda spark, folder: star_tables(spark, folder).extract(
+        names=Roles.plain(), ordered=False, **bounds
+    )
+
+
 def site_name_lookup(spark: SparkSession, folder: str) -> DataFrame:
     sites = table(spark, folder, "supplier")
     known, unknown = (
@@ -93,17 +101,65 @@ def site_name_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return known.unionByName(unknown)
 
 
-def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    cover = _cover(spark, folder)
-    sections = report.build_report(star_trips(spark, folder), cover)
-    written = report.write_report(sections, fresh_folder(spark, "report"))
-    counts = [
-        spark.read.parquet(f"{written}/{name}").agg(
-            F.lit(name).alias("section"), F.count(F.lit(1)).alias("n_rows")
+# Columns of each section that are read back: page, row, and what is joined to its text.
+SECTION_TEXTS = {
+    "header": ("title", "company", "period", "brand", "generated_by", "console_line"),
+    "kpi_cards": ("position", "title", "value"),
+    "daily_series": ("day_label", "label", "total"),
+    "daily_table": (
+        "data",
+        "caminhoes",
+        "n_viagens",
+        "total",
+        "t_viagem",
+        "primeira",
+        "ultima",
+        "section_title",
+    ),
+    "vehicle_series": ("vehicle", "total"),
+    "vehicle_table": ("caminhao", "n_viagens", "total", "peso_medio", "section_title"),
+    "driver_series": ("driver_raw", "label", "label_wrapped", "total"),
+    "driver_table": ("motorista", "n_viagens", "total", "peso_medio", "media_dia", "section_title"),
+    "captions": ("section", "caption"),
+    "status": ("section", "n_rows", "message"),
+}
+
+
+def read_back(spark: SparkSession, written: str) -> DataFrame:
+    """Every row of a written report as section, page, row in the page and text."""
+    parts = []
+    for section, columns in SECTION_TEXTS.items():
+        rows = spark.read.parquet(f"{written}/{section}")
+        numeric = {n for n, kind in rows.dtypes if kind == "double"}
+        texts = [numbers.number_text(F.col(c)) if c in numeric else F.col(c).cast("string") for c in columns]
+        paged_rows = "page_no" in rows.columns
+        parts.append(
+            rows.select(
+                F.lit(section).alias("section"),
+                (F.col("page_no") if paged_rows else F.lit(0)).cast("bigint").alias("page"),
+                (F.col("row_in_page") if paged_rows else F.lit(0)).cast("bigint").alias("row"),
+                F.concat_ws("|", *[F.coalesce(t, F.lit("")) for t in texts]).alias("texts"),
+            )
         )
-        for name in sections
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of the joined trips of one site and period, written and read."""
+    selected = star_tables(spark, folder).extract(
+        SITE, *PERIOD, names=Roles.plain(), ordered=False
+    )
+    written = fresh_folder(spark, "report")
+    with staging_run(spark):
+        sections = report.build_report(Trips(selected, Roles.plain()), _cover(spark, folder))
+        report.write_report(sections, written)
+    return read_back(spark, written)
+
+
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The same report as users run it, from aggregated loads."""
+    written = fresh_folder(spark, "report")
+    return read_back(spark, report.run_report(star_tables(spark, folder), SITE, *PERIOD, written))
 
 
 # Filters and cleaning
@@ -174,6 +230,15 @@ def join_reader_site(spark: SparkSession, folder: str) -> DataFrame:
     return star.with_site(star.loads).select("l_orderkey", "l_linenumber", "site")
 
 
+def key_check(spark: SparkSession, folder: str) -> DataFrame:
+    return star_tables(spark, folder).key_check()
+
+
+def join_driver_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    star = anonymous_star(spark, folder)
+    return star.with_driver(star.loads).select("l_orderkey", "l_linenumber", "entry", "driver")
+
+
 def join_driver_left(spark: SparkSession, folder: str) -> DataFrame:
     star = star_tables(spark, folder)
     return star.with_driver(star.loads).select("l_orderkey", "l_linenumber", "driver")
@@ -231,10 +296,18 @@ def _cover(spark: SparkSession, folder: str) -> report.Cover:
 
 
 def report_header(spark: SparkSession, folder: str) -> DataFrame:
-    trips = star_tables(spark, folder).cube(keys=("site",))
+    trips = star_tables(spark, folder).cube(SITE, *PERIOD, keys=("site",))
     return report.report_header(trips, _cover(spark, folder), stamped=False)
 
 
+def ranked_by_total(
+    binding: Binding, rollup: Callable[[MeasureSource], DataFrame], key: str
+) -> Query:
+    return lambda spark, folder: ranking(rollup(binding(spark, folder)), key).select(
+        key, "total", F.col("rank").cast("bigint").alias("rank")
+    )
+
+
 def paged(
     binding: Binding, rollup: Callable[[MeasureSource], DataFrame], key: str, size: int, by_total: bool
 ) -> Query:
@@ -248,12 +321,16 @@ def paged(
 
 def all_queries() -> dict[str, Query]:
     """Every registered query. Names ending in ``_dirty`` repeat an operator on spoiled input."""
-    dirty, clean, star = dirty_trips, clean_trips, star_trips
+    dirty, clean, star, loads = dirty_trips, clean_trips, star_trips, star_trips_without_driver
     return {
         "src_param_sql": param_sql,
         "trip_extract": trip_extract,
+        "extract_from": extract_with(start=PERIOD[0]),
+        "extract_until": extract_with(end=PERIOD[1]),
+        "key_check": key_check,
         "site_name_lookup": site_name_lookup,
         "sink_roundtrip": sink_roundtrip,
+        "run_report": run_report,
         "filter_site": filter_site,
         "filter_period": filter_period,
         "parse_period": parse_period,
@@ -276,14 +353,25 @@ def all_queries() -> dict[str, Query]:
         "join_vehicle": join_vehicle,
         "join_reader_site": join_reader_site,
         "join_driver_left": join_driver_left,
+        "join_driver_nulls": join_driver_nulls,
         "active_days": _over(clean, kpis.active_days),
         "active_days_dirty": _over(dirty, kpis.active_days),
         "daily_production": _over(clean, rollups.daily_rollup, *DAILY),
         "daily_production_dirty": _over(dirty, rollups.daily_rollup, *DAILY),
+        "daily_production_cube": _over(_star_cube("day", "vehicle"), rollups.daily_rollup, *DAILY),
+        "daily_vehicle_rows": _over(dirty, rollups.daily_vehicles),
         "daily_vehicle_list": _over(dirty, rollups.daily_vehicle_lists),
-        "vehicle_production": _over(_star_cube("vehicle"), rollups.vehicle_rollup, *VEHICLE),
+        "vehicle_production": _over(loads, rollups.vehicle_rollup, *VEHICLE),
+        "vehicle_production_cube": _over(
+            _star_cube("vehicle"), rollups.vehicle_rollup, *VEHICLE
+        ),
+        "vehicle_ranking": ranked_by_total(loads, rollups.vehicle_rollup, "vehicle"),
         "vehicle_production_dirty": _over(dirty, rollups.vehicle_rollup, *VEHICLE),
         "driver_production": _over(star, rollups.driver_rollup, *DRIVER),
+        "driver_production_cube": _over(
+            _star_cube("day", "driver"), rollups.driver_rollup, *DRIVER
+        ),
+        "driver_ranking": ranked_by_total(star, rollups.driver_rollup, "driver"),
         "driver_production_dirty": _over(dirty, rollups.driver_rollup, *DRIVER),
         "driver_active_days": _over(dirty, rollups.driver_active_days),
         "daily_series": _over(dirty, series.daily_series),
@@ -294,16 +382,17 @@ def all_queries() -> dict[str, Query]:
         "top_vehicle": _over(dirty, kpis.top_vehicle),
         "top_driver": _over(star, kpis.top_driver),
         "top_driver_dirty": _over(dirty, kpis.top_driver),
-        "best_day": _over(_star_cube("day"), kpis.best_day),
+        "best_day": _over(loads, kpis.best_day),
         "worst_positive_day": _over(dirty, kpis.worst_positive_day),
-        "first_site": _over(_star_cube("site"), kpis.first_site),
+        "first_site": _over(loads, kpis.first_site),
+        "first_site_cube": _over(_star_cube("site"), kpis.first_site),
         "kpi_summary": _over(star, kpis.kpi_summary),
         "kpi_summary_dirty": _over(dirty, kpis.kpi_summary),
         "paginate_daily": paged(
-            _star_cube("day", "vehicle"), rollups.daily_rollup, "day", report.DAILY_PAGE, False
+            loads, rollups.daily_rollup, "day", report.DAILY_PAGE, False
         ),
         "paginate_vehicle": paged(
-            _star_cube("vehicle"), rollups.vehicle_rollup, "vehicle", report.VEHICLE_PAGE, True
+            loads, rollups.vehicle_rollup, "vehicle", report.VEHICLE_PAGE, True
         ),
         "paginate_driver": paged(
             star, rollups.driver_rollup, "driver", report.DRIVER_PAGE, True
@@ -319,7 +408,7 @@ def all_queries() -> dict[str, Query]:
         "kpi_cards": _over(dirty, report.kpi_cards),
         "report_daily_series": _over(dirty, series.daily_points),
         "report_daily_table": _over(dirty, report.daily_table),
-        "report_vehicle_series": _over(_star_cube("vehicle"), series.vehicle_series),
+        "report_vehicle_series": _over(loads, series.vehicle_series),
         "report_vehicle_table": _over(dirty, report.vehicle_table),
         "report_driver_series": _over(star, series.driver_bars),
         "report_driver_table": _over(star, report.driver_table),

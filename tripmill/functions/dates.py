@@ -1,6 +1,8 @@
 """Timestamps without zone: coercion, periods and date text.
 
-Everything stays in TIMESTAMP_NTZ or DATE, so no result depends on the session time zone.
+Everything stays in TIMESTAMP_NTZ or DATE. Columns of these types, and texts, give results that do not
+depend on the session time zone. A TIMESTAMP column is an instant; it is read in the session zone, so
+that zone must be the plant's.
 """
 
 from __future__ import annotations

@@ -97,7 +97,6 @@ def wrap_label(label: Column, width: int = LABEL_WIDTH) -> Column:
     Line one takes every word that still fits, in order, also after one that did not fit. The fold
     carries the positions taken (at most ``width`` of them), so its cost is linear in the words.
     """
-    every = words(label)
     start = F.struct(
         F.lit(-1).alias("used"), F.array().cast("array<int>").alias("taken"), F.lit(0).alias("at")
     )
@@ -113,17 +112,17 @@ def wrap_label(label: Column, width: int = LABEL_WIDTH) -> Column:
             (state["at"] + 1).alias("at"),
         )
 
-    def two_lines(state: Column) -> Column:
-        # Built in the fold's last step, where the positions are a bound value; outside it they
-        # would be folded anew for every word.
-        first = F.filter(every, lambda _, i: F.array_contains(state["taken"], i))
-        second = F.filter(every, lambda _, i: ~F.array_contains(state["taken"], i))
-        return F.concat(F.array_join(first, " "), F.lit("\n"), F.array_join(second, " "))
-
-    wrapped = F.aggregate(every, start, step, two_lines)
-    shortened = F.concat(F.substring(label, 1, width - 3), F.lit("..."))
-    return (
-        F.when(F.length(label) <= width, label)
-        .when(F.size(every) > 1, wrapped)
-        .otherwise(shortened)
-    )
+    def broken(every: Column) -> Column:
+        def two_lines(state: Column) -> Column:
+            # Built in the fold's last step, where the positions are a bound value; outside it they
+            # would be folded anew for every word.
+            first = F.filter(every, lambda _, i: F.array_contains(state["taken"], i))
+            second = F.filter(every, lambda _, i: ~F.array_contains(state["taken"], i))
+            return F.concat(F.array_join(first, " "), F.lit("\n"), F.array_join(second, " "))
+
+        shortened = F.concat(F.substring(label, 1, width - 3), F.lit("..."))
+        return F.when(F.size(every) > 1, F.aggregate(every, start, step, two_lines)).otherwise(shortened)
+
+    # The words are split once, as the bound value of a list of one.
+    long = F.transform(F.array(words(label)), broken)[0]
+    return F.when(F.length(label) <= width, label).otherwise(long)

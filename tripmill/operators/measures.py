@@ -139,10 +139,13 @@ class TripSummary:
     """The grains a report needs, staged in two steps.
 
     Trips are read in one pass that groups them by day and vehicle, by day and driver, and by site.
-    From that table the totals per day, vehicle and driver are staged once more, since most sections
+    ``is_staged`` tells sections that rollups of it need no staging of their own. From that table the
+    totals per day, vehicle and driver are staged once more, since most sections
     need nothing finer. Both tables are laid out by grain, so a rollup reads the rows of one grain.
     """
 
+    is_staged = True
+
     def __init__(self, source: MeasureSource):
         self.fine = staged(source.grains(*REPORT_GRAINS), partition_by="grain")
         totals = [self._total(*facet) for facet in FACETS]

@@ -23,9 +23,13 @@ BUCKETS = 256
 def _cut_points(keyed: DataFrame, buckets: int) -> DataFrame:
     """At most ``buckets`` evenly spaced keys of the sample with the smallest key hashes.
 
-    Taking the smallest hashes is a uniform sample of fixed size that any re-run draws again.
+    Taking small hashes is a uniform sample of bounded size that any re-run draws again.
     """
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE)
+    hashed = F.shiftrightunsigned(F.xxhash64("_key"), 1).cast("double") / float(1 << 63)
+    total = keyed.agg(F.count(F.lit(1))).scalar()
+    # About twice as many as needed have so small a hash; only they meet to be sorted.
+    few = keyed.where(hashed * total <= 2.0 * SAMPLE).select("_key")
+    sample = few.orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE)
     ordered = sample.agg(F.sort_array(F.collect_list("_key")).alias("keys"))
     stride = F.ceil(F.size("keys") / F.lit(buckets))
     return ordered.select(F.filter("keys", lambda _, i: (i + 1) % stride == 0).alias("cuts"))
@@ -94,6 +98,13 @@ def with_pages(
     )
 
 
-def paginate(rows: DataFrame, order: Sequence[Column], page_size: int) -> DataFrame:
-    """Stage ``rows`` and split them into pages."""
-    return with_pages(staged(rows), order, page_size)
+def paginate(
+    rows: DataFrame, order: Sequence[Column], page_size: int, buckets: int = BUCKETS
+) -> DataFrame:
+    """Stage ``rows`` and split them into pages; ``buckets`` bounds the parallel tasks."""
+    return with_pages(staged(rows), order, page_size, buckets)
+
+
+def ranking(rollup: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Stage a rollup and add ``rank`` by unrounded total, largest first, equal totals by key."""
+    return ranked(staged(rollup), [-F.col("volume"), F.col(key)], buckets)

@@ -33,7 +33,8 @@ def vehicle_list(name: Column) -> Column:
 def daily_rollup(source: MeasureSource) -> DataFrame:
     """One row per day: trips, total, mean over all trips, vehicles seen, first and last trip.
 
-    Rows without a time are left out; a volume that is no number counts as a trip of zero. Rows are
+    The list holds every vehicle of a day in one text; :func:`daily_vehicles` has them as rows, for
+    sources with more vehicles than a text should name. Rows without a time are left out; a volume that is no number counts as a trip of zero. Rows are
     combined per (day, vehicle) first, so the list of a day is collected from one row per vehicle.
     """
     per_vehicle = source.measures("day", "vehicle").filter(F.col("day").isNotNull())
@@ -44,6 +45,13 @@ def daily_rollup(source: MeasureSource) -> DataFrame:
     return days.select("*", *_rounded("n_trips"))
 
 
+def daily_vehicles(source: MeasureSource) -> DataFrame:
+    """One row per day and vehicle seen, with the trips: the daily list at any number of vehicles."""
+    per_vehicle = source.measures("day", "vehicle").filter(F.col("day").isNotNull())
+    named = per_vehicle.withColumn("vehicle", strip(F.col("vehicle"))).filter(F.col("vehicle") != "")
+    return named.groupBy("day", "vehicle").agg(F.sum("n_trips").alias("n_trips"))
+
+
 def daily_vehicle_lists(source: MeasureSource) -> DataFrame:
     """The vehicles seen on each day."""
     return daily_rollup(source).select("day", "vehicles")

@@ -29,11 +29,11 @@ from tripmill.operators.measures import FACETS, MeasureSource, TripSummary, grai
 from tripmill.operators.pages import with_pages
 from tripmill.operators.rollups import daily_rollup, driver_rollup, vehicle_rollup
 from tripmill.operators.series import daily_points, driver_bars, vehicle_series
-from tripmill.plans.staging import staged
+from tripmill.plans.staging import staged, staging_run
 from tripmill.sources.lookup import brand, site_name
 from tripmill.sources.star import StarTables
 
-# Report texts, page sizes, and the site that carries the first brand.
+# Report texts, page sizes, the site that carries the first brand, and the output name.
 TITLE = "Relatório de Produção Mensal"
 CARD_TITLES = (
     "Produção total do período (t)",
@@ -145,9 +145,14 @@ def _titled(pages: DataFrame, rollup: DataFrame, section: str) -> DataFrame:
     return pages.withColumn("section_title", F.concat(lead, rollup.agg(span).scalar()))
 
 
+def _once(rollup: DataFrame, source: MeasureSource) -> DataFrame:
+    """A rollup that is read several times: staged, unless its source is small and staged already."""
+    return rollup if getattr(source, "is_staged", False) else staged(rollup)
+
+
 def daily_table(source: MeasureSource, page_size: int = DAILY_PAGE) -> DataFrame:
     """Display rows per day, in date order."""
-    rollup = staged(daily_rollup(source))
+    rollup = _once(daily_rollup(source), source)
     pages = with_pages(rollup, [F.col("day")], page_size)
     return _titled(pages, rollup, "daily_table").select(
         date_text(F.col("day")).alias("data"),
@@ -165,7 +170,7 @@ def daily_table(source: MeasureSource, page_size: int = DAILY_PAGE) -> DataFrame
 
 def vehicle_table(source: MeasureSource, page_size: int = VEHICLE_PAGE) -> DataFrame:
     """Display rows per vehicle, largest total first; names are shown as they are stored."""
-    rollup = staged(vehicle_rollup(source))
+    rollup = _once(vehicle_rollup(source), source)
     pages = with_pages(rollup, [-F.col("volume"), F.col("vehicle")], page_size)
     return _titled(pages, rollup, "vehicle_table").select(
         F.col("vehicle").alias("caminhao"),
@@ -180,7 +185,7 @@ def vehicle_table(source: MeasureSource, page_size: int = VEHICLE_PAGE) -> DataF
 
 def driver_table(source: MeasureSource, page_size: int = DRIVER_PAGE) -> DataFrame:
     """Display rows per driver label, largest total first."""
-    rollup = staged(driver_rollup(source))
+    rollup = _once(driver_rollup(source), source)
     pages = with_pages(rollup, [-F.col("volume"), F.col("driver")], page_size)
     return _titled(pages, rollup, "driver_table").select(
         F.col("driver").alias("motorista"),
@@ -277,7 +282,8 @@ def run_report(
     """Write the report of one site; without a period, that of the current month.
 
     ``start`` and ``end`` are ``YYYY-MM-DD HH:MM:SS`` texts. Loads are aggregated before they are
-    joined, so only the combinations of tag, reader, driver and day meet the dimensions.
+    joined, so only the combinations of tag, reader, driver and day meet the dimensions. Intermediate
+    tables are removed once the report is written.
     """
     month = default_period(instant(datetime.now()))
     first, last = (
@@ -292,5 +298,6 @@ def run_report(
         id_column=star.columns.site_id,
         name_column=star.columns.site_name,
     )
-    sections = build_report(star.cube(site, first, last), cover)
-    return write_report(sections, output or DEFAULT_OUTPUT, fmt)
+    with staging_run(star.loads.sparkSession):
+        sections = build_report(star.cube(site, first, last), cover)
+        return write_report(sections, output or DEFAULT_OUTPUT, fmt)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +28,25 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_run: ContextVar[str | None] = ContextVar("staging_run", default=None)
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[str]:
+    """Stage into one folder of its own, which is removed when the work inside has succeeded.
+
+    After a failure it stays, as whatever read from it may have to be looked at.
+    """
+    folder = fresh_folder(spark, "run")
+    outer = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(outer)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Compute ``df`` once into a table in the shared folder and read it from there.
 
@@ -32,7 +54,8 @@ def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     of the table fetch only the columns, and with ``partition_by`` the part, that they use.
     """
     spark = df.sparkSession
-    folder = fresh_folder(spark, "stage")
+    within = _run.get()
+    folder = f"{within}/stage-{uuid.uuid4().hex}" if within else fresh_folder(spark, "stage")
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder).select(*df.columns)

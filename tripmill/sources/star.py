@@ -5,8 +5,10 @@ employee), so the loads are matched three times instead of five. No side is broa
 Spark broadcasts a side whose size it knows to be under ``spark.sql.autoBroadcastJoinThreshold``,
 and otherwise shuffles; adaptive execution splits a shuffled key that is too large.
 
-:meth:`StarTables.cube` goes further. A report needs no single loads, so it aggregates the loads by
-their id columns and day before any join. Attributes are then attached to the few combinations of
+:meth:`StarTables.cube` is the other way: it aggregates the loads by their id columns and day before
+any join. That pays where the same truck, reader and driver meet often in a day, as they do in a plant,
+and where a report needs several rollups of one selection. Where nearly every load has a combination of
+its own, it shuffles the loads for nothing, and :meth:`StarTables.extract` is the better source. Attributes are then attached to the few combinations of
 tag, reader, driver and day, and a tag or driver that owns a third of all loads is one of them. A
 repeated dimension key multiplies the aggregated row just as it multiplies the loads behind it, so
 totals are those of the plain join.
@@ -17,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +30,10 @@ from tripmill.operators.measures import MEASURES, TripCube, row_measures
 from tripmill.schema import Roles
 
 
+#: Values that the second join key of rows without a driver id takes.
+NULL_SPREAD = 4096
+
+
 @dataclass(frozen=True)
 class StarColumns:
     """Column names of the six tables."""
@@ -56,12 +63,20 @@ def at_site(loads: DataFrame, site: int, plant: str = "codigo_planta") -> DataFr
 
 def within_period(
     loads: DataFrame,
-    start: str | datetime | Column,
-    end: str | datetime | Column,
+    start: str | datetime | Column | None = None,
+    end: str | datetime | Column | None = None,
     time: str = "time",
 ) -> DataFrame:
-    """Loads between two instants, both included."""
-    return loads.filter(F.col(time).between(instant(start), instant(end)))
+    """Loads from ``start`` and until ``end``, both included; each bound holds on its own.
+
+    A time that cannot be read as one is in no period.
+    """
+    value = time_or_null(loads, time)
+    if start is not None:
+        loads = loads.filter(value >= instant(start))
+    if end is not None:
+        loads = loads.filter(value <= instant(end))
+    return loads
 
 
 @dataclass(frozen=True)
@@ -69,7 +84,8 @@ class StarTables:
     """The load facts and their dimensions.
 
     ``unique_drivers`` states that driver and employee ids are primary keys. The left join then
-    neither drops nor repeats loads, and is skipped where no driver is asked for.
+    neither drops nor repeats loads, and is skipped where no driver is asked for. It is taken on
+    trust; :meth:`key_check` tells whether it holds.
     """
 
     loads: DataFrame
@@ -103,7 +119,11 @@ class StarTables:
         return rows.join(located, F.col(c.reader) == F.col("_reader")).drop("_reader")
 
     def with_driver(self, rows: DataFrame) -> DataFrame:
-        """Add ``driver``, null where no entry or no employee matches."""
+        """Add ``driver``, null where no entry or no employee matches.
+
+        Rows without a driver id match nothing. A second join key, 0 for all others and for all
+        entries with an id, spreads them evenly in place of hashing all of them to one partition.
+        """
         c = self.columns
         names = self.employees.select(
             F.col(c.employee_id).alias("_employee"), F.col(c.employee_name).alias("driver")
@@ -112,8 +132,36 @@ class StarTables:
             F.col(c.driver_id).alias("_entry"), F.col(c.driver_employee).alias("_of")
         )
         named = entries.join(names, F.col("_of") == F.col("_employee"), "left")
-        named = named.select("_entry", "driver")
-        return rows.join(named, F.col(c.driver) == F.col("_entry"), "left").drop("_entry")
+        named = named.select("_entry", F.col("_entry").isNull().cast("int").alias("_zero"), "driver")
+        others = [F.col(n) for n, kind in rows.dtypes if n != c.driver and "map<" not in kind]
+        spread = F.pmod(F.xxhash64(*others), F.lit(NULL_SPREAD)).cast("int")
+        salted = rows.withColumn("_salt", F.when(F.col(c.driver).isNull(), spread).otherwise(0))
+        matched = (F.col(c.driver) == F.col("_entry")) & (F.col("_salt") == F.col("_zero"))
+        return salted.join(named, matched, "left").drop("_entry", "_zero", "_salt")
+
+    def key_check(self) -> DataFrame:
+        """Rows, distinct keys and repeated keys of each dimension, null keys not counted."""
+        c = self.columns
+        dimensions = {
+            "vehicles": (self.vehicles, c.vehicle_tag),
+            "readers": (self.readers, c.reader_id),
+            "sites": (self.sites, c.site_id),
+            "drivers": (self.drivers, c.driver_id),
+            "employees": (self.employees, c.employee_id),
+        }
+        checks = [
+            rows.where(F.col(key).isNotNull())
+            .groupBy(F.col(key).cast("string"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(
+                F.lit(name).alias("dimension"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                F.count(F.lit(1)).alias("n_keys"),
+                F.count(F.when(F.col("n") > 1, 1)).alias("n_repeated"),
+            )
+            for name, (rows, key) in dimensions.items()
+        ]
+        return reduce(DataFrame.unionByName, checks)
 
     def selected_loads(
         self,
@@ -126,9 +174,7 @@ class StarTables:
         rows = self.loads
         if site is not None:
             rows = at_site(rows, site, c.plant)
-        if start is not None and end is not None:
-            rows = within_period(rows, start, end, c.time)
-        return rows
+        return within_period(rows, start, end, c.time)
 
     def extract(
         self,
