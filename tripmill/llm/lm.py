@@ -33,6 +33,8 @@ from tripmill.plans.staging import staged
 MOST = 0.4
 HALF = 20.0
 DISCOUNT = 0.75
+#: Bytes of text in a batch; the larger it is, the fewer words and pairs are asked for twice.
+BATCH_BYTES = 12 << 20
 #: Codes of a probability per power of ten; 0 means not in the trie.
 CODES = 4096
 #: Text end, which also comes before the first word. No word has this hash but by chance.
@@ -51,7 +53,7 @@ def encoded(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in tokens.slices(batch, 2):
+            for part in tokens.slices(batch, 2, BATCH_BYTES):
                 number += 1
                 words = tokens.words(part.column(2))
                 lengths = np.diff(words.bounds) + 1

@@ -10,6 +10,7 @@ the middle of another sentence.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,13 +65,17 @@ def span_hashes(texts: list[list[str]]) -> tuple[np.ndarray, ...]:
     From every sentence, the run is the shortest that has RUN sentences and LEAST_WORDS words; near the
     end of a text there may be none. The kind and amount of white space does not count.
     """
-    worded = [part.split() for parts in texts for part in parts]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(" ".join(w)) for w in worded), np.uint64, len(worded))
-    upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, worded), np.int64, len(worded)))])
+    hashes = np.zeros(int(sizes.sum()), dtype=np.uint64)
+    counts = np.zeros(len(hashes), dtype=np.int64)
+    for i, part in enumerate(chain.from_iterable(texts)):
+        words = part.split()
+        counts[i] = len(words)
+        hashes[i] = xxhash.xxh3_64_intdigest(" ".join(words))
+    upto = np.concatenate([[0], np.cumsum(counts)])
     text = np.repeat(np.arange(len(texts)), sizes)
     stop = np.cumsum(sizes)[text]
-    starts = np.arange(len(worded))
+    starts = np.arange(len(hashes))
     ends = np.maximum(np.searchsorted(upto, upto[:-1] + LEAST_WORDS, "left"), starts + RUN)
     real = ends <= stop
     text, starts, lengths = text[real], starts[real], (ends - starts)[real]

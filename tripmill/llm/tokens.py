@@ -12,7 +12,7 @@ import xxhash
 import zstandard
 
 #: UTF-8 bytes of text that a task works on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
 
 _GOLDEN = 0x9E3779B97F4A7C15
 

@@ -86,7 +86,7 @@ class Model:
         if known is None:
             known = tuple(f for f in features_of(word) if f in self.weights)
             if len(word) <= 64:
-                if len(self._cache) > 300_000:
+                if len(self._cache) > 100_000:
                     self._cache.clear()
                 self._cache[word] = known
         return known
