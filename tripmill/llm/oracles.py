@@ -93,5 +93,35 @@ def mixed_sources() -> str:
     """
 
 
+def ngram_jaccard() -> str:
+    """All pairs that share a shingle, and the smallest id that links reach."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+    WITH RECURSIVE worded AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+                                        '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), sets AS (
+      SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS shingles
+      FROM worded
+    ), members AS (
+      SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+    ), links AS (
+      SELECT a.doc_id AS u, b.doc_id AS v
+      FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), reached AS (
+      SELECT doc_id, doc_id AS other FROM sets
+      UNION SELECT r.doc_id, l.v FROM reached r JOIN links l ON l.u = r.other
+    )
+    SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, min(other) AS component_id
+    FROM sets s JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id, shingles
+    """
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_feistel_shards": feistel(), "op2_mix_sources": mixed_sources()}
+    return {
+        "op1_feistel_shards": feistel(),
+        "op2_mix_sources": mixed_sources(),
+        "op8_ngram_jaccard": ngram_jaccard(),
+    }
