@@ -37,6 +37,14 @@ def test_trie(n, words):
     assert found.tolist() == [known.get((int(a), int(b)), 0) for a, b in asked]
 
 
+def test_trie_of_a_file(tmp_path):
+    pairs = np.array([[1, 2], [1, 5], [4, 1]], dtype=np.uint64)
+    (tmp_path / "part").write_bytes(PairTrie.levels(pairs[:, 0], pairs[:, 1], np.array([7, 8, 9])))
+    trie = PairTrie.from_file(str(tmp_path / "part"))
+    asked = np.array([2, 5, 1, 9], dtype=np.uint64)
+    assert trie.lookup(np.array([1, 4], dtype=np.uint64), np.array([0, 0, 1, 1]), asked).tolist() == [7, 8, 9, 0]
+
+
 def brute(rows, held_out):
     """Counts, base score and model score of each row by dictionaries."""
     tokens = [(t or "").encode().translate(LOWER).split() + [b"\n"] for _, t in rows]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import mmap
-import tempfile
 
 import numpy as np
 
@@ -134,10 +133,15 @@ class PairTrie:
 
     @classmethod
     def mapped(cls, levels: bytes) -> PairTrie:
-        """The trie in a memory-mapped file that has no name and goes with the last use."""
-        with tempfile.TemporaryFile() as file:
-            file.write(levels)
-            file.flush()
+        """The trie in a memory map of its own, which belongs to no file and goes with the last use."""
+        area = mmap.mmap(-1, len(levels))
+        area.write(levels)
+        return cls(area)
+
+    @classmethod
+    def from_file(cls, path: str) -> PairTrie:
+        """The trie of a stored part, mapped from its file."""
+        with open(path, "rb") as file:
             return cls(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
 
     def lookup(self, context: np.ndarray, of_context: np.ndarray, successor: np.ndarray) -> np.ndarray:
@@ -158,7 +162,8 @@ class PairTrie:
         again = np.flatnonzero(equal & ~hit & (at < start[of]))
         if again.size:
             moved = start[of[again]]
-            same = (moved < stop[of[again]]) & (self.successors.access(np.minimum(moved, self.successors.n - 1)) == successor[asked[again]] + base[of[again]])
+            there = self.successors.access(np.minimum(moved, self.successors.n - 1))
+            same = (moved < stop[of[again]]) & (there == successor[asked[again]] + base[of[again]])
             at[again[same]] = moved[same]
             hit[again[same]] = True
         found[asked[hit]] = self.codes[at[hit]]

@@ -15,7 +15,7 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,20 +133,25 @@ def in_descending_order(docs: DataFrame, id_col: str, text_col: str) -> DataFram
             found[real] = np.searchsorted(cuts, values[real].to_numpy().astype(cuts.dtype), side="right")
         return pd.Series(found)
 
-    bucketed = ids.select("id", bucket_of("id").alias("bucket"))
-    tops = sorted((r["bucket"], r["top"]) for r in bucketed.groupBy("bucket").agg(F.max("id").alias("top")).collect())
-    above = {b: tops[i + 1][0] if i + 1 < len(tops) else None for i, (b, _) in enumerate(tops)}
-    first = tops[-1][1] if tops else None
-    row = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    placed = row.withColumn("bucket", bucket_of("id"))
-    # A map from each bucket to its largest id and the bucket above.
-    by_bucket = F.create_map(*[x for b, top in tops for x in (F.lit(b), F.struct(F.lit(top).alias("top"), F.lit(above[b]).cast("int").alias("up")))]) if tops else None
-    places = [F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("copy"))]
-    if by_bucket is not None:
-        mine = by_bucket[F.col("bucket")]
-        places.append(F.when(F.col("id").eqNullSafe(mine["top"]) & mine["up"].isNotNull(), F.struct(mine["up"].alias("bucket"), F.lit(1).alias("copy"))))
-        places.append(F.when(F.col("id").eqNullSafe(F.lit(first)), F.struct(F.lit(tops[0][0]).alias("bucket"), F.lit(2).alias("copy"))))
-    dealt = placed.select("id", "text", F.explode(F.array_compact(F.array(*places))).alias("p")).select("p.bucket", "p.copy", "id", "text")
+    largest = staged(ids.select("id", bucket_of("id").alias("bucket")).groupBy("bucket").agg(F.max("id").alias("top")))
+    ends = largest.orderBy(F.col("bucket").desc()).limit(1).select("top").collect()
+    lowest = largest.agg(F.min("bucket")).first()[0]
+    # One row per bucket: its largest id, and the bucket above it.
+    tops = F.broadcast(largest.withColumn("up", F.lead("bucket").over(Window.orderBy("bucket"))))
+    placed = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).withColumn(
+        "bucket", bucket_of("id")
+    )
+    is_top, is_first = F.col("id").eqNullSafe(F.col("top")), F.col("id").eqNullSafe(F.lit(ends[0]["top"] if ends else None))
+    places = F.array(
+        F.struct("bucket", F.lit(0).alias("copy")),
+        F.when(is_top & F.col("up").isNotNull(), F.struct(F.col("up").alias("bucket"), F.lit(1).alias("copy"))),
+        F.when(is_first, F.struct(F.lit(lowest).cast("int").alias("bucket"), F.lit(2).alias("copy"))),
+    )
+    dealt = (
+        placed.join(tops, "bucket", "left")
+        .select("id", "text", F.explode(F.array_compact(places)).alias("p"))
+        .select("p.bucket", "p.copy", "id", "text")
+    )
     return dealt.repartition(buckets, "bucket").sortWithinPartitions(
         "bucket", "copy", F.col("id").desc_nulls_last(), F.xxhash64("text")
     )

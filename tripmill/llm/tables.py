@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import io
-import os
-import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -21,8 +20,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def ship_code(spark: SparkSession) -> None:
     """Give the executors this package, once per application.
 
-    Spark serves the archive from the driver, so the executors need neither an installed copy nor
-    a path that they share with the driver.
+    Spark serves the archive from its folder of files on the driver, so the executors need neither an
+    installed copy nor a path that they share with the driver.
     """
     application = spark.sparkContext.applicationId
     if application in _shipped:
@@ -31,7 +30,8 @@ def ship_code(spark: SparkSession) -> None:
     with zipfile.ZipFile(content, "w") as archive:
         for source in sorted(PACKAGE.rglob("*.py")):
             archive.write(source, source.relative_to(PACKAGE.parent))
-    path = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{PACKAGE.name}.zip")
-    Path(path).write_bytes(content.getvalue())
-    spark.sparkContext.addPyFile(path)
+    path = Path(SparkFiles.getRootDirectory()) / "code" / f"{PACKAGE.name}.zip"
+    path.parent.mkdir(exist_ok=True)
+    path.write_bytes(content.getvalue())
+    spark.sparkContext.addPyFile(str(path))
     _shipped.add(application)
