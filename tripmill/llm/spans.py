@@ -15,6 +15,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,25 +158,53 @@ def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
-def _spans(ids: pa.Array, text: np.ndarray, place: np.ndarray, length: np.ndarray) -> list[pa.Array]:
-    """One row for each text: its id, and the first and last sentences of its spans, merged where they meet."""
+_LISTS = "bucket int, ids array<{kind}>, covered array<array<struct<first: int, last: int>>>"
+
+
+def _merged(text: np.ndarray, place: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """Texts that have spans, and the first and last sentences of theirs, merged where they meet."""
+    if not len(text):
+        pair = pa.struct([("first", pa.int32()), ("last", pa.int32())])
+        return text, pa.array([], pa.list_(pair))
     order = np.lexsort((place, text))
     text, place, length = text[order], place[order], length[order]
     # No span of a text reaches the places of the next one.
-    offset = text * (int((place + length).max(initial=0)) + 1)
-    reach = np.maximum.accumulate(offset + place + length) if len(text) else place
-    fresh = np.ones(len(text), dtype=bool)
-    fresh[1:] = offset[1:] + place[1:] > reach[:-1]
-    start = np.flatnonzero(fresh)
+    offset = text * (int((place + length).max()) + 1)
+    reach = np.maximum.accumulate(offset + place + length)
+    start = np.flatnonzero(np.concatenate([[True], (offset + place)[1:] > reach[:-1]]))
     end = np.append(start[1:], len(text)) - 1
-    owner = text[start]
-    mine, counts = np.unique(owner, return_counts=True)
+    mine, counts = np.unique(text[start], return_counts=True)
+    last = reach[end] - offset[start] - 1
     pair = pa.StructArray.from_arrays(
-        [pa.array(place[start].astype(np.int32)), pa.array((reach[end] - offset[start] - 1).astype(np.int32) if len(text) else place.astype(np.int32))],
-        names=["first", "last"],
+        [pa.array(place[start].astype(np.int32)), pa.array(last.astype(np.int32))], names=["first", "last"]
     )
-    bounds = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-    return [ids.take(pa.array(mine)), pa.ListArray.from_arrays(bounds, pair)]
+    return mine, pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pair)
+
+
+def _by_bucket(ids: pa.Array, covered: pa.ListArray, buckets: int) -> list[pa.Array]:
+    """Texts and their spans in one row for each bucket of ids."""
+    bucket = hash_array(ids.to_numpy(zero_copy_only=False)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+    full = np.flatnonzero(np.diff(cuts))
+    bounds = pa.array(np.append(cuts[full], len(order)).astype(np.int32))
+    taken = pa.array(order)
+    return [
+        pa.array(full.astype(np.int32)),
+        pa.ListArray.from_arrays(bounds, ids.take(taken)),
+        pa.ListArray.from_arrays(bounds, covered.take(taken)),
+    ]
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """One row for each id of a bucket, with its spans from everywhere."""
+    ids = table["ids"].combine_chunks().flatten()
+    lists = table["covered"].combine_chunks().flatten()
+    _, first, owner = np.unique(ids.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+    of_span = np.repeat(owner, lists.value_lengths().to_numpy(zero_copy_only=False))
+    spans = lists.flatten().take(pa.array(np.argsort(of_span, kind="stable")))
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(of_span, minlength=len(first)))])
+    return pa.table([ids.take(pa.array(first)), pa.ListArray.from_arrays(bounds.astype(np.int32), spans)], names=["id", "covered"])
 
 
 def repeats(coded: DataFrame, shards: int) -> DataFrame:
@@ -217,9 +246,9 @@ def repeats(coded: DataFrame, shards: int) -> DataFrame:
                 mine = np.flatnonzero(_is_in(run, known.value))
                 later = [i for i in mine if again[i] or firsts.value[int(run[i])] != row["ids"][text[i]]]
                 taken = np.array(later, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    _spans(ids.values, text[taken], place[taken], length[taken]), names=["id", "covered"]
-                )
+                mine, covered = _merged(text[taken], place[taken], length[taken])
+                found = _by_bucket(ids.values.take(pa.array(mine)), covered, shards)
+                yield pa.RecordBatch.from_arrays(found, names=["bucket", "ids", "covered"])
 
     def deal(batches):
         for batch in batches:
@@ -258,16 +287,17 @@ def repeats(coded: DataFrame, shards: int) -> DataFrame:
         start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
         first = np.repeat(np.minimum.reduceat(rank[text], start), np.diff(np.append(start, len(run))))
         later = np.flatnonzero(again | (rank[text] != first))
-        return pa.table(_spans(ids, text[later], place[later], length[later]), names=["id", "covered"])
+        mine, covered = _merged(text[later], place[later], length[later])
+        return pa.table(_by_bucket(ids.take(pa.array(mine)), covered, shards), names=["bucket", "ids", "covered"])
 
-    spans = f"id {kind}, covered array<struct<first: int, last: int>>"
+    lists = _LISTS.format(kind=kind)
     dealt = coded.mapInArrow(
         deal, f"shard int, ids array<{kind}>, runs binary, rows binary, places binary, lengths binary, again binary"
     )
-    later = dealt.groupBy("shard").applyInArrow(settle, spans)
+    later = dealt.groupBy("shard").applyInArrow(settle, lists)
     if len(frequent):
-        later = later.union(coded.mapInArrow(settle_frequent, spans))
-    return later.groupBy("id").agg(F.flatten(F.collect_list("covered")).alias("covered"))
+        later = later.union(coded.mapInArrow(settle_frequent, lists))
+    return later.groupBy("bucket").applyInArrow(_gathered, f"id {kind}, covered array<struct<first: int, last: int>>")
 
 
 def without(text: str, spans) -> tuple[str, int, int]:
