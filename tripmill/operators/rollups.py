@@ -34,8 +34,9 @@ def daily_rollup(source: MeasureSource) -> DataFrame:
     """One row per day: trips, total, mean over all trips, vehicles seen, first and last trip.
 
     The list holds every vehicle of a day in one text; :func:`daily_vehicles` has them as rows, for
-    sources with more vehicles than a text should name. Rows without a time are left out; a volume that is no number counts as a trip of zero. Rows are
-    combined per (day, vehicle) first, so the list of a day is collected from one row per vehicle.
+    sources with more vehicles than a text should name. Rows without a time are left out; a volume that
+    is no number counts as a trip of zero. Rows are combined per (day, vehicle) first, so the list of a
+    day is collected from one row per vehicle.
     """
     per_vehicle = source.measures("day", "vehicle").filter(F.col("day").isNotNull())
     stripped = per_vehicle.withColumn("vehicle", strip(F.col("vehicle")))

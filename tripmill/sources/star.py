@@ -8,10 +8,11 @@ and otherwise shuffles; adaptive execution splits a shuffled key that is too lar
 :meth:`StarTables.cube` is the other way: it aggregates the loads by their id columns and day before
 any join. That pays where the same truck, reader and driver meet often in a day, as they do in a plant,
 and where a report needs several rollups of one selection. Where nearly every load has a combination of
-its own, it shuffles the loads for nothing, and :meth:`StarTables.extract` is the better source. Attributes are then attached to the few combinations of
-tag, reader, driver and day, and a tag or driver that owns a third of all loads is one of them. A
-repeated dimension key multiplies the aggregated row just as it multiplies the loads behind it, so
-totals are those of the plain join.
+its own, it shuffles the loads for nothing, and :meth:`StarTables.extract` is the better source.
+
+With the cube, attributes are attached to the few combinations of tag, reader, driver and day, and a
+tag or driver that owns a third of all loads is one of them. A repeated dimension key multiplies the
+aggregated row just as it multiplies the loads behind it, so totals are those of the plain join.
 """
 
 from __future__ import annotations
