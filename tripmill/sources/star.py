@@ -134,8 +134,9 @@ class StarTables:
         )
         named = entries.join(names, F.col("_of") == F.col("_employee"), "left")
         named = named.select("_entry", F.col("_entry").isNull().cast("int").alias("_zero"), "driver")
-        others = [F.col(n) for n, kind in rows.dtypes if n != c.driver and "map<" not in kind]
-        spread = F.pmod(F.xxhash64(*others), F.lit(NULL_SPREAD)).cast("int")
+        # Columns that a report reads anyway; others would have to be scanned for the hash alone.
+        used = [n for n in (c.tag, c.reader, c.time, c.volume, "day", "volume") if n in rows.columns]
+        spread = F.pmod(F.xxhash64(*used, F.lit(0)), F.lit(NULL_SPREAD)).cast("int")
         salted = rows.withColumn("_salt", F.when(F.col(c.driver).isNull(), spread).otherwise(0))
         matched = (F.col(c.driver) == F.col("_entry")) & (F.col("_salt") == F.col("_zero"))
         return salted.join(named, matched, "left").drop("_entry", "_zero", "_salt")
