@@ -69,3 +69,20 @@ def test_hashes_do_not_depend_on_order_or_repeats():
     assert imatch.likeness(d[None], d[None])[0] == 1
     sizes = [m.mean() for m in maker.members]
     assert all(abs(s - r) < 0.15 for s, r in zip(sizes, imatch.SUBSETS, strict=True))
+
+
+def test_copies_do_not_push_their_terms_out_of_the_lexicon(spark):
+    own = " ".join(f"copied{i}" for i in range(300))
+    texts = ["common " + " ".join(f"t{(7 * i + j) % 50 + 50 * (j % 20)}" for j in range(100)) for i in range(100)]
+    rows = list(enumerate(texts + texts[:5] + [own] * 70 + [None, "", ""]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    different = {t or "" for _, t in rows}
+    counts = Counter(w for t in different for w in words(t))
+    band = {w for w, n in counts.items() if len(different) * math.exp(-imatch.IDF_BAND[1]) <= n <= len(different) / 5}
+    assert words(own) <= band and len(band) < len(counts)
+    known = imatch.tokens.words(pa.array([b" ".join(sorted(band)).decode()])).distinct_hashes
+    assert imatch.lexicon(docs).tolist() == np.sort(known).tolist()
+    found = {r["doc_id"]: r for r in imatch.fingerprints(docs).collect()}
+    copies = [found[i] for i, t in rows if t == own]
+    assert len({r["fingerprint"] for r in copies}) == 1
+    assert copies[0]["fingerprint"] != found[len(rows) - 1]["fingerprint"]

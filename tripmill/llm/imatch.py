@@ -23,38 +23,92 @@ from tripmill.llm import tokens
 from tripmill.llm.numbering import numbered
 from tripmill.plans.staging import staged
 
-#: Band of the natural logarithm of rows / document frequency: terms of 0.2 % to 20 % of all rows.
+#: Band of the natural logarithm of distinct texts / document frequency: terms of 0.2 % to 20 % of them.
 IDF_BAND = (math.log(5), math.log(500))
 #: Chance of a term to be in a subset, for each subset.
 SUBSETS = (2 / 3,) * 4 + (1 / 16,) * 12 + (1 / 64,) * 16 + (1 / 256,) * 32
-#: A larger lexicon is refused. There are at most (mean distinct terms of a row) * exp(upper idf) terms.
+#: A larger lexicon is refused. There are at most (mean distinct terms of a text) * exp(upper idf) terms.
 MAX_LEXICON = 8_000_000
+#: Texts with copies are marked in a map of 2 ** PLACE_BITS bits; a task remembers so many of them at most.
+PLACE_BITS = 26
+MOST_SEEN = 500_000
+
+
+def repeated_places(hashes: DataFrame) -> np.ndarray:
+    """Bit map of 2 ** PLACE_BITS places; a hash that stands in several rows has the bit of its place.
+
+    However many hashes repeat, the map is as large; a full one only sends more texts to be compared.
+    """
+    place = F.shiftrightunsigned("hash", 64 - PLACE_BITS)
+    bits = F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits")
+    words = hashes.where("n > 1").select(place.alias("place")).groupBy(F.expr("place >> 6").alias("word")).agg(bits).toPandas()
+    found = np.zeros(1 << (PLACE_BITS - 6), dtype=np.int64)
+    found[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return found
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = IDF_BAND) -> np.ndarray:
-    """Sorted hashes of the terms in the band, from the document frequencies of all rows.
+    """Sorted hashes of the terms in the band, from the document frequencies of all distinct texts.
 
-    A term of the band stands in exp(-upper idf) of all rows at least, which bounds the number of terms
-    by the mean number of distinct terms of a row, however many rows there are.
+    A term of the band stands in exp(-upper idf) of the distinct texts at least, which bounds the number
+    of terms by the mean number of distinct terms of a text, however many there are. Texts that may have
+    copies are brought together by hash, one per task, and counted once; all others are counted where
+    they are read. Null texts count as empty, which is one text.
     """
-    texts = docs.select(F.lit(0).alias("_"), F.col(f"`{text_col}`").alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    texts = docs.select(F.xxhash64(text).alias("hash"), text.alias("text"))
+    hashes = staged(texts.groupBy("hash").agg(F.count(F.lit(1)).alias("n")))
+    known = docs.sparkSession.sparkContext.broadcast(repeated_places(hashes))
 
-    def count(batches):
+    def repeats(batch: pa.RecordBatch) -> np.ndarray:
+        place = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - PLACE_BITS)
+        word = known.value[(place >> np.uint64(6)).astype(np.int64)].view(np.uint64)
+        return (word >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+    def count(batch: pa.RecordBatch):
+        for part in tokens.slices(batch, 1):
+            words = tokens.words(part.column(1))
+            row = np.repeat(np.arange(len(part)), np.diff(words.bounds))
+            pairs = np.unique(row * np.int64(max(1, len(words.distinct))) + words.codes)
+            found = np.bincount(pairs % max(1, len(words.distinct)), minlength=len(words.distinct))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.distinct_hashes.view(np.int64)), pa.array(found[: len(words.distinct)].astype(np.int64))],
+                names=["term", "n"],
+            )
+
+    def count_others(batches):
         for batch in batches:
-            for part in tokens.slices(batch, 1):
-                words = tokens.words(part.column(1))
-                row = np.repeat(np.arange(len(part)), np.diff(words.bounds))
-                pairs = np.unique(row * np.int64(max(1, len(words.distinct))) + words.codes)
-                found = np.bincount(pairs % max(1, len(words.distinct)), minlength=len(words.distinct))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.distinct_hashes.view(np.int64)), pa.array(found[: len(words.distinct)].astype(np.int64))],
-                    names=["term", "n"],
-                )
+            yield from count(batch.filter(pa.array(~repeats(batch))))
+
+    def repeated(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            fresh = repeats(batch)
+            for i in np.flatnonzero(fresh):
+                value = batch.column(0)[int(i)].as_py()
+                fresh[i] = value not in seen
+                if len(seen) >= MOST_SEEN:
+                    seen.clear()
+                seen.add(value)
+            yield batch.filter(pa.array(fresh))
+
+    def count_first(batches):
+        last = None
+        for batch in batches:
+            values = batch.column(0).to_numpy()
+            if not len(values):
+                continue
+            fresh = np.append(last is None or values[0] != last, values[1:] != values[:-1])
+            last = values[-1]
+            yield from count(batch.filter(pa.array(fresh)))
 
-    rows = texts.count()
+    schema = "term bigint, n bigint"
+    together = texts.mapInArrow(repeated, texts.schema).repartition("hash").sortWithinPartitions("hash")
+    counts = texts.mapInArrow(count_others, schema).unionAll(together.mapInArrow(count_first, schema))
+    rows = hashes.count()
     low, high = rows * math.exp(-band[1]), rows * math.exp(-band[0])
-    counts = texts.mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    terms = staged(counts.where((F.col("n") >= low) & (F.col("n") <= high)).select("term"))
+    summed = counts.groupBy("term").agg(F.sum("n").alias("n"))
+    terms = staged(summed.where((F.col("n") >= low) & (F.col("n") <= high)).select("term"))
     if (size := terms.count()) > MAX_LEXICON:
         raise ValueError(f"{size} terms are in the band; lower its upper idf")
     return np.sort(terms.toPandas()["term"].to_numpy(dtype=np.int64).view(np.uint64))
@@ -164,7 +218,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     replaces the last third of the text by the beginning of the next one in descending order of ids,
     the first one after the last. ``near_edited`` is the likeness to the edited text, ``near_next`` to
     the next one. Null texts count as empty; without terms of the band all hashes are 0. Repeated rows
-    are separate documents; equal texts have equal fingerprints. An empty table gives an empty result.
+    are separate documents, but count once for the band; equal texts have equal fingerprints. An empty table gives an empty result.
     """
     known = docs.sparkSession.sparkContext.broadcast(lexicon(docs, text_col, band))
     ordered = in_descending_order(docs, id_col, text_col)
