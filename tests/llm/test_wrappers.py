@@ -75,3 +75,20 @@ def test_empty_table_and_clashing_columns(spark):
     rows = [(1, "http://a.example/", "<p>x</p>", "h", 1, "t")] * 2 + [(None, None, None, None, None, None)]
     found = wrappers.extract(spark.createDataFrame(rows, schema)).collect()
     assert sorted(r["text"] for r in found) == ["", "x", "x"]
+
+
+def test_the_template_decides_before_articles(spark):
+    def body(i, card):
+        return f"<div class=card><article><p>{card}</p></article></div><div class=story><p>Story number {i} is its own.</p><p>All rights.</p></div>"
+
+    rows = [(i, f"http://fixed.example/{i}", page(i, body(i, "Our app is out now."))) for i in range(12)]
+    rows += [(100 + i, f"http://varied.example/{i}", page(i, body(i, f"Read on in part {i}."))) for i in range(12)]
+    odd = "<article><p>The whole of the article.</p></article><div class=date><p>May {i}</p></div>"
+    rows += [(200, "http://few.example/0", page(1, odd)), (201, "http://few.example/1", page(1, body(1, "Card.")))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    found = {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()}
+    assert all(found[i] == f"Story number {i} is its own." for i in range(12))
+    assert all(found[100 + i] == f"Read on in part {i}.\n\nStory number {i} is its own." for i in range(12))
+    # No template: the article breaks the tie if it is the longer part, and loses nothing if not.
+    assert found[200] == "The whole of the article."
+    assert found[201] == "Card.\n\nStory number 1 is its own.\n\nAll rights."

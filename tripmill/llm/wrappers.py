@@ -3,8 +3,9 @@
 The block elements of a page form a tree in which siblings of one label are folded into one repeating
 node. Every host gets a reference tree, the commonest one among its pages, and the trees of all its
 pages are aligned with it by simple tree matching. Text that stands in the same node on most pages is
-template, text that varies is content. Elements whose tag, role or class names them as navigation,
-advert, form and the like are never content.
+template, text that varies is content. An ``article`` or ``main`` element decides only on text that the
+template leaves open. Elements whose tag, role or class names them as navigation, advert, form and the
+like are never content.
 """
 
 from __future__ import annotations
@@ -182,8 +183,6 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
         stack.append((tag, node, out, inside or (tag in _ARTICLE and not out)))
     text.append(source[at:])
     flush()
-    if any(inside for _, _, inside in blocks):
-        blocks = [b for b in blocks if b[2]]
     return root, blocks
 
 
@@ -248,12 +247,31 @@ def text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
-def located(source: str, reference: str | None) -> tuple[list[str], list[int]]:
-    """Text blocks of a page and the node of the reference tree that each stands in, or -1."""
+def located(source: str, reference: str | None) -> tuple[list[str], list[int], list[bool]]:
+    """Text blocks of a page, the node of the reference tree that each stands in, or -1, and whether in an article."""
     root, blocks = parse(source)
     shape = shape_of(root)
     to = align(shape, reference) if reference is not None else {}
-    return [text for _, text, _ in blocks], [to.get(node.number, -1) for node, _, _ in blocks]
+    places = [to.get(node.number, -1) for node, _, _ in blocks]
+    return [text for _, text, _ in blocks], places, [inside for _, _, inside in blocks]
+
+
+def content(
+    texts: list[str], places: list[int], inside: list[bool], template: set[tuple[int, int]], judged: set[int]
+) -> list[str]:
+    """The blocks that are content: all that are not template, but for a tie that an article breaks.
+
+    The template decides on blocks in the nodes that it has ``judged``. Blocks in other nodes are left
+    out if they stand outside an article and the article text of the page is at least as long as they are.
+    """
+    found = [
+        (text, place in judged, within)
+        for text, place, within in zip(texts, places, inside, strict=True)
+        if not template or place < 0 or (place, text_hash(text)) not in template
+    ]
+    article = sum(len(text) for text, _, within in found if within)
+    rest = sum(len(text) for text, known, within in found if not known and not within)
+    return [text for text, known, within in found if known or within or rest > article]
 
 
 def host(url: Column) -> Column:
@@ -277,16 +295,17 @@ def references(pages: DataFrame) -> DataFrame:
 
 
 def wrappers(pages: DataFrame, shapes: DataFrame) -> DataFrame:
-    """``host, shape, nodes, texts``: reference tree and its template, as nodes and text hashes.
+    """``host, shape, nodes, texts, judged``: reference tree and its template, as nodes and text hashes.
 
-    Pages of equal text count as one, so that an article copied over and over is not template.
+    ``judged`` are the nodes that enough pages have for the template to tell. Pages of equal text count
+    as one, so that an article copied over and over is not template.
     """
 
     def run(batches):
         for batch in batches:
             contents, entries = [], []
             for source, shape in zip(batch.column(1), batch.column(2), strict=True):
-                texts, nodes = located(source.as_py() or "", shape.as_py())
+                texts, nodes, _ = located(source.as_py() or "", shape.as_py())
                 hashes = [text_hash(t) for t in texts]
                 contents.append(xxhash.xxh3_64_intdigest(str(hashes)) - (1 << 63))
                 placed = {(n, h) for n, h in zip(nodes, hashes, strict=True) if n >= 0}
@@ -305,18 +324,18 @@ def wrappers(pages: DataFrame, shapes: DataFrame) -> DataFrame:
     schema = "host string, content bigint, entries array<struct<node: int, text: bigint>>"
     entries = joined.mapInArrow(run, schema).select("host", "content", F.explode("entries").alias("e"))
     different = entries.select("host", "content", "e.node", "e.text").dropDuplicates()
-    counts = different.groupBy("host", "node", "text").count()
+    counts = staged(different.groupBy("host", "node", "text").count().where(F.col("count") >= LEAST_PAGES))
     # A host's counts of one node: the row without text counts the pages that have the node.
     totals = counts.where("text is null").select("host", "node", F.col("count").alias("pages"))
     template = (
         counts.where("text is not null")
-        .where(F.col("count") >= LEAST_PAGES)
         .join(totals, ["host", "node"])
         .where(F.col("count") >= TEMPLATE_SHARE * F.col("pages"))
     )
     listed = template.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "text"))).alias("t"))
-    return shapes.join(listed, "host", "left").select(
-        "host", "shape", F.col("t.node").alias("nodes"), F.col("t.text").alias("texts")
+    judged = totals.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("judged"))
+    return shapes.join(listed, "host", "left").join(judged, "host", "left").select(
+        "host", "shape", F.col("t.node").alias("nodes"), F.col("t.text").alias("texts"), "judged"
     )
 
 
@@ -329,7 +348,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Null html counts as empty and gives an empty text. A null or odd URL has no host, so no wrapper;
     the other rules hold. Repeated rows are extracted one by one. An empty table gives an empty
-    result. If any text stands in an ``article`` or ``main`` element, only such text is content.
+    result. ``article`` and ``main`` elements only break ties, see ``content``.
     """
     kept = pages.select(
         F.col(f"`{id_col}`").alias("page_id"),
@@ -338,7 +357,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.col(f"`{html_col}`").alias("html"),
     )
     induced = staged(wrappers(kept, staged(references(kept))))
-    joined = kept.join(induced, "host", "left").select("page_id", "url", "html", "shape", "nodes", "texts")
+    joined = kept.join(induced, "host", "left").select("page_id", "url", "html", "shape", "nodes", "texts", "judged")
     schema = T.StructType(
         [*joined.schema.fields[:2], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
     )
@@ -346,13 +365,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def run(batches):
         for batch in batches:
             found = []
-            for source, shape, nodes, texts in zip(*batch.columns[2:], strict=True):
+            for source, shape, nodes, texts, judged in zip(*batch.columns[2:], strict=True):
                 template = set(zip(nodes.as_py() or (), texts.as_py() or (), strict=True))
-                blocks, places = located(source.as_py() or "", shape.as_py())
-                if template:
-                    blocks = [
-                        b for b, n in zip(blocks, places, strict=True) if n < 0 or (n, text_hash(b)) not in template
-                    ]
+                blocks = content(*located(source.as_py() or "", shape.as_py()), template, set(judged.as_py() or ()))
                 found.append("\n\n".join(blocks))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
