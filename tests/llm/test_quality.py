@@ -73,3 +73,21 @@ def test_odd_rows(odd, empty):
         assert not (r["kept"] and r["base_failed"])
         assert r["kept"] is not None
     assert quality.quality(empty, *PATHS).count() == 0
+
+
+def measured_rows(spark, lang, chars, first):
+    rows = [(first + i, lang, first + i, 600, 3000, 0, 0, 0, 600, c, c, 0.0, 0.8) for i, c in enumerate(chars)]
+    return spark.createDataFrame(rows, quality.T.StructType([quality.T.StructField("doc_id", quality.T.LongType()), quality.T.StructField("lang", quality.T.StringType()), *quality.FEATURES]))
+
+
+def test_small_languages_have_bands_of_their_own(spark):
+    large = measured_rows(spark, "en", [4.0 + 0.001 * (i % 200) for i in range(1000)], 0)
+    kept = {}
+    for n in (41, 99, 100, 400):
+        # Far from the large language, with one text far from the others.
+        texts = [1.5 + 0.01 * (i % 20) for i in range(n - 1)] + [4.0]
+        judged = quality.judge(quality.staged(large.unionAll(measured_rows(spark, "zh", texts, 10_000))))
+        kept[n] = [r["kept"] for r in judged.where("lang = 'zh'").orderBy("doc_id").collect()]
+    assert all(found == [True] * (n - 1) + [False] for n, found in kept.items())
+    one = quality.judge(quality.staged(large.unionAll(measured_rows(spark, "ja", [1.5], 20_000))))
+    assert one.where("lang = 'ja'").first()["kept"]

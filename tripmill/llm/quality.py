@@ -3,7 +3,8 @@
 Public vocabularies measure every text: characters per token of a byte-level and of a byte-fallback
 vocabulary, the share of byte-fallback tokens, and the entropy of its tokens relative to the largest
 that its length allows. Ordinary prose of a language lies in a narrow band of each; symbol noise,
-capitals, word lists and endless repeats lie outside. The bands come from all texts of the language.
+capitals, word lists and endless repeats lie outside. The bands come from all texts of the language, and
+of no other; the fewer they are, the wider is the band.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ BAND_RANGES = 3.0
 #: Least range of each metric; the fallback tokens of a text are few, so their share scatters.
 LEAST_RANGE = {"byte_chars": 0.04, "piece_chars": 0.04, "fallback_share": 0.01, "entropy": 0.05}
 REFERENCE_TOKENS = 600
-#: A language with fewer distinct texts uses the bands of all languages together.
-LEAST_TEXTS = 100
+#: Quartiles of n texts scatter with 1 / sqrt(n): bands are wider by so many times that share. So few
+#: ordinary texts lie outside (0.5 % at most of normal values), however few there are.
+SCATTER = 2.0
 #: Bins of the histograms that quartiles are read from, per unit of a metric.
 BINS = 500
 METRICS = ("byte_chars", "piece_chars", "fallback_share", "entropy")
@@ -143,15 +145,12 @@ def base_failed() -> Column:
 def quartiles(measured: DataFrame) -> DataFrame:
     """``key, metric, texts, q1, q3`` over the distinct texts of a language that pass the base rules.
 
-    Each distinct text counts once, so a text copied over and over does not narrow the bands. The key
-    is the language, and ``*`` for all together. Quartiles are exact for binned values: counts of bins
-    add up in any order, so reruns agree.
+    Each distinct text counts once, so a text copied over and over does not narrow the bands. Quartiles
+    are exact for binned values: counts of bins add up in any order, so reruns agree.
     """
     texts = measured.where(~base_failed()).select("key", "text_hash", "n_tokens", *METRICS).dropDuplicates()
     bins = [F.struct(F.lit(m).alias("metric"), F.floor(F.col(m) * BINS).alias("bin")) for m in METRICS]
-    binned = texts.select("key", F.explode(F.array(*bins)).alias("m")).select(
-        F.explode(F.array("key", F.lit("*"))).alias("key"), "m.metric", "m.bin"
-    )
+    binned = texts.select("key", F.explode(F.array(*bins)).alias("m")).select("key", "m.metric", "m.bin")
     counts = binned.groupBy("key", "metric", "bin").agg(F.count(F.lit(1)).alias("n"))
     one = Window.partitionBy("key", "metric")
     running = counts.withColumn("upto", F.sum("n").over(one.orderBy("bin"))).withColumn("texts", F.sum("n").over(one))
@@ -172,27 +171,25 @@ def language_key(lang: Column) -> Column:
 def judge(measured: DataFrame) -> DataFrame:
     """Add ``base_failed`` and ``kept`` to staged ``features``.
 
-    A text that passes the base rules is kept if every metric lies in the band of its language. A
-    null language is a language of its own. Texts without tokens fail the base rules. With no text
-    to take bands from, nothing passes the base rules, and nothing is kept.
+    A text that passes the base rules is kept if every metric lies in the band of its language, at any
+    number of texts; the only text of a language is always kept. A null language is a language of its
+    own. Texts without tokens fail the base rules. With no text to take bands from, nothing passes the
+    base rules, and nothing is kept.
     """
     keyed = measured.withColumn("key", language_key(F.col("lang")))
-    bands = staged(quartiles(keyed))
-    pooled = {r["metric"]: r for r in bands.where("key = '*'").collect()}
-    own = (
-        bands.where((F.col("key") != "*") & (F.col("texts") >= LEAST_TEXTS))
+    bands = (
+        staged(quartiles(keyed))
         .groupBy("key")
         .pivot("metric", list(METRICS))
-        .agg(F.first(F.struct("q1", "q3")))
+        .agg(F.first(F.struct("q1", "q3", "texts")))
     )
-    joined = keyed.join(own.select("key", *[F.col(m).alias(f"band_{m}") for m in METRICS]), "key", "left")
+    joined = keyed.join(bands.select("key", *[F.col(m).alias(f"band_{m}") for m in METRICS]), "key", "left")
     inside = F.lit(True)
     noise = F.greatest(F.lit(1.0), F.sqrt(F.lit(float(REFERENCE_TOKENS)) / F.greatest("n_tokens", F.lit(1))))
     for m in METRICS:
-        if m not in pooled:
-            continue
-        q1, q3 = (F.coalesce(F.col(f"band_{m}.{q}"), F.lit(pooled[m][q])) for q in ("q1", "q3"))
-        reach = F.lit(BAND_RANGES) * noise * F.greatest(q3 - q1, F.lit(LEAST_RANGE[m]))
+        q1, q3, texts = (F.col(f"band_{m}.{c}") for c in ("q1", "q3", "texts"))
+        few = F.lit(1.0) + F.lit(SCATTER) / F.sqrt(texts)
+        reach = F.lit(BAND_RANGES) * noise * few * F.greatest(q3 - q1, F.lit(LEAST_RANGE[m]))
         inside = inside & (F.col(m) >= q1 - reach) & (F.col(m) <= q3 + reach)
     return joined.select(*measured.columns, base_failed().alias("base_failed"), (~base_failed() & inside).alias("kept"))
 
