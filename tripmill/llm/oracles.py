@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import queries, sharding
+from tripmill.llm import queries, sharding, warc
 
 CRC_POLYNOMIAL = 0xEDB88320
 
@@ -119,9 +119,25 @@ def ngram_jaccard() -> str:
     """
 
 
+def warc_records() -> str:
+    return f"""
+    WITH sized AS (
+      SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ), firsts AS (
+      SELECT payload_digest, min(page_id) AS first_id FROM sized
+      WHERE payload_bytes >= {warc.LEAST_PAYLOAD} GROUP BY payload_digest HAVING count(*) > 1
+    )
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+           CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM sized LEFT JOIN firsts USING (payload_digest)
+    """
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_feistel_shards": feistel(),
         "op2_mix_sources": mixed_sources(),
         "op8_ngram_jaccard": ngram_jaccard(),
+        "op13_warc": warc_records(),
     }

@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, imatch, jaccard, lm, mixing, quality, sharding, spans, toxicity, wrappers
+from tripmill.llm import bpe, imatch, jaccard, lm, mixing, quality, sharding, spans, toxicity, warc, wrappers
 from tripmill.llm.tables import ship_code, table
-from tripmill.plans.staging import staged
+from tripmill.plans.staging import fresh_folder, staged
 
 SHARDS = 16
 SEED = 20240
@@ -104,6 +104,19 @@ def op10_imatch(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.fingerprints(table(spark, folder, "documents"))
 
 
+def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages, archives = table(spark, folder, "pages"), fresh_folder(spark, "warc")
+    read = warc.read_archives(warc.write_archives(pages, archives), archives, with_payload=False)
+    kind = pages.schema["page_id"].dataType
+    return read.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_feistel_shards": op1_feistel_shards,
     "op2_mix_sources": op2_mix_sources,
@@ -115,6 +128,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_imatch": op10_imatch,
+    "op13_warc": op13_warc,
 }
 
 
