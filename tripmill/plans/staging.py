@@ -47,14 +47,15 @@ def staging_run(spark: SparkSession) -> Iterator[str]:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def staged(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+def staged(df: DataFrame, partition_by: str | None = None, outlives: bool = False) -> DataFrame:
     """Compute ``df`` once into a table in the shared folder and read it from there.
 
     This cuts the lineage: whatever executors are lost later, the facts are not read again. Readers
-    of the table fetch only the columns, and with ``partition_by`` the part, that they use.
+    of the table fetch only the columns, and with ``partition_by`` the part, that they use. A table that
+    ``outlives`` its :func:`staging_run`, as the result of the work inside, is not removed with it.
     """
     spark = df.sparkSession
-    within = _run.get()
+    within = None if outlives else _run.get()
     folder = f"{within}/stage-{uuid.uuid4().hex}" if within else fresh_folder(spark, "stage")
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(folder)
