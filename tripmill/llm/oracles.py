@@ -119,6 +119,43 @@ def ngram_jaccard() -> str:
     """
 
 
+def clusters() -> str:
+    """Every distance of every round; centroids are lists of integers."""
+    k, rounds, seed, width = (queries.CLUSTERING[n] for n in ("k", "rounds", "seed", "width"))
+
+    def assigned(i: int) -> str:
+        apart = f"list_sum(list_transform(range(1, {width + 1}), lambda d: (v[d] - p[d]) * (v[d] - p[d])))::BIGINT"
+        return f"""assigned{i} AS MATERIALIZED (
+      SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, arg_min(c, (apart, c)) AS c, min(apart) AS distance
+      FROM (SELECT rid, vec_id, v, c, {apart} AS apart FROM vectors, centroids{i}) GROUP BY rid
+    )"""
+
+    def centroids(i: int) -> str:
+        return f"""centroids{i} AS MATERIALIZED (
+      SELECT c, coalesce(moved.p, centroids{i - 1}.p) AS p
+      FROM centroids{i - 1} LEFT JOIN (
+        SELECT c, list(whole ORDER BY d) AS p FROM (
+          SELECT c, d, ((s - ((s % n) + n) % n) // n)::BIGINT AS whole FROM (
+            SELECT c, d, sum(v[d])::BIGINT AS s, count(*) AS n FROM assigned{i - 1}, range(1, {width + 1}) AS r(d) GROUP BY c, d)
+        ) GROUP BY c) AS moved USING (c)
+    )"""
+
+    steps = ",".join(step for i in range(1, rounds + 1) for step in (centroids(i), assigned(i)))
+    return f"""
+    WITH vectors AS MATERIALIZED (
+      SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}
+    ), centroids0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY h, v)::INTEGER - 1 AS c, v AS p
+      FROM (SELECT sha256('{seed}:' || vec_id) AS h, v FROM vectors ORDER BY h, v LIMIT {k})
+    ), {assigned(0)}, {steps}
+    SELECT vec_id, c::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+    FROM assigned{rounds} JOIN centroids{rounds} USING (c)
+    """
+
+
 def warc_records() -> str:
     return f"""
     WITH sized AS (
@@ -139,5 +176,6 @@ def llm_oracles() -> dict[str, str]:
         "op1_feistel_shards": feistel(),
         "op2_mix_sources": mixed_sources(),
         "op8_ngram_jaccard": ngram_jaccard(),
+        "op11_va_clusters": clusters(),
         "op13_warc": warc_records(),
     }

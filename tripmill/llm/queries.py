@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, imatch, jaccard, lm, mixing, quality, sharding, spans, toxicity, warc, wrappers
+from tripmill.llm import bpe, imatch, jaccard, lm, mixing, quality, sharding, spans, toxicity, vafile, warc, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import fresh_folder, staged
 
 SHARDS = 16
 SEED = 20240
 SOURCE_WEIGHTS = (5, 2, 1)
+CLUSTERING = {"k": 8, "rounds": 10, "seed": 3, "width": 64}
 
 
 def op1_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,6 +105,10 @@ def op10_imatch(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.fingerprints(table(spark, folder, "documents"))
 
 
+def op11_va_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return vafile.cluster(table(spark, folder, "embeddings"), **CLUSTERING)
+
+
 def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages, archives = table(spark, folder, "pages"), fresh_folder(spark, "warc")
     read = warc.read_archives(warc.write_archives(pages, archives), archives, with_payload=False)
@@ -128,6 +133,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_sentence_spans": op9_sentence_spans,
     "op10_imatch": op10_imatch,
+    "op11_va_clusters": op11_va_clusters,
     "op13_warc": op13_warc,
 }
 
