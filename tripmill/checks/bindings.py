@@ -93,6 +93,27 @@ def anonymous_star(spark: SparkSession, folder: str) -> StarTables:
     )
 
 
+def crowded_star(spark: SparkSession, folder: str) -> StarTables:
+    """The star tables with a third of the loads on one tag, a third on one reader and a third on one driver."""
+    star = star_tables(spark, folder)
+    line = F.col("l_orderkey") + F.col("l_linenumber")
+
+    def crowded(column: str, rest: int) -> Column:
+        return F.when(line % 3 == rest, 1).otherwise(F.col(column)).cast("bigint")
+
+    loads = star.loads.select(
+        "l_linenumber",
+        "l_shipdate",
+        "l_quantity",
+        F.col("l_orderkey").alias("load_order"),
+        crowded("l_partkey", 0).alias("tag"),
+        crowded("l_suppkey", 1).alias("reader"),
+        crowded("l_orderkey", 2).alias("entry"),
+    )
+    columns = replace(STAR_COLUMNS, tag="tag", reader="reader", driver="entry")
+    return replace(star, loads=loads, columns=columns)
+
+
 def clean_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("ts").alias("time"),

@@ -488,6 +488,16 @@ def all_oracles() -> dict[str, str]:
             CASE WHEN l_orderkey % 3 <> 0 THEN c_name END AS driver FROM lineitem
             LEFT JOIN orders ON o_orderkey = l_orderkey
             LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON c_custkey = o_custkey""",
+        "join_heavy_keys": """
+            WITH loads AS (
+              SELECT l_orderkey AS load_order, l_linenumber, (l_orderkey + l_linenumber) % 3 AS rest,
+                     l_partkey, l_suppkey, l_orderkey FROM lineitem)
+            SELECT load_order, l_linenumber, p_brand AS vehicle, n_name AS site, c_name AS driver FROM loads
+            JOIN part ON p_partkey = CASE WHEN rest = 0 THEN 1 ELSE l_partkey END
+            JOIN supplier ON s_suppkey = CASE WHEN rest = 1 THEN 1 ELSE l_suppkey END
+            JOIN nation ON n_nationkey = s_nationkey
+            LEFT JOIN orders ON o_orderkey = CASE WHEN rest = 2 THEN 1 ELSE l_orderkey END
+            LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) c ON c_custkey = o_custkey""",
         "active_days": trips(CLEAN, "SELECT count(DISTINCT day) AS active_days FROM t"),
         "active_days_dirty": trips(DIRTY, "SELECT count(DISTINCT day) AS active_days FROM t"),
         "daily_production": daily(CLEAN),

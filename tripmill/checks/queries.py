@@ -12,6 +12,7 @@ from tripmill.checks.bindings import (
     anonymous_star,
     clean_rows,
     clean_trips,
+    crowded_star,
     dirty_rows,
     dirty_trips,
     star_tables,
@@ -244,6 +245,13 @@ def join_driver_left(spark: SparkSession, folder: str) -> DataFrame:
     return star.with_driver(star.loads).select("l_orderkey", "l_linenumber", "driver")
 
 
+def join_heavy_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """All three joins where one tag, one reader and one driver have a third of the loads each."""
+    star = crowded_star(spark, folder).balanced()
+    rows = star.with_driver(star.with_site(star.with_vehicle(star.loads)))
+    return rows.select("load_order", "l_linenumber", "vehicle", "site", "driver")
+
+
 # Scalars
 
 
@@ -354,6 +362,7 @@ def all_queries() -> dict[str, Query]:
         "join_reader_site": join_reader_site,
         "join_driver_left": join_driver_left,
         "join_driver_nulls": join_driver_nulls,
+        "join_heavy_keys": join_heavy_keys,
         "active_days": _over(clean, kpis.active_days),
         "active_days_dirty": _over(dirty, kpis.active_days),
         "daily_production": _over(clean, rollups.daily_rollup, *DAILY),
