@@ -156,6 +156,52 @@ def clusters() -> str:
     """
 
 
+def prefix_trie() -> str:
+    """Every prefix as a list of turns, and every pair of a prefix and one that starts with it."""
+    return f"""
+    WITH bits AS (
+      SELECT list(b8 ORDER BY i) AS crc_table FROM (
+        SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda c, s: CASE WHEN c & 1 = 1 THEN xor({CRC_POLYNOMIAL}, c >> 1) ELSE c >> 1 END) AS b8
+        FROM range(256) AS r(i))
+    ), own AS (
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS d,
+             {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+      SELECT DISTINCT conv_id, xor(4294967295, list_reduce(
+               list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'),
+                 lambda h: ('0x' || h)::BIGINT)),
+               lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1]))) % {queries.SHARED_TURNS + 1} AS h
+      FROM own, bits
+    ), rebuilt AS (
+      SELECT c.conv_id, o.d, o.said FROM convs c
+      JOIN own o ON o.conv_id = c.conv_id - c.conv_id % {queries.CONVERSATION_GROUP} AND o.d <= h
+      UNION ALL
+      SELECT c.conv_id, o.d, o.said FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.d > h
+    ), paths AS (
+      SELECT conv_id, coalesce(list(said ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS path
+      FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+    ), members AS (
+      SELECT conv_id, d, path[1:d] AS prefix, len(path) = d AS ends FROM paths, unnest(range(len(path) + 1)) AS r(d)
+    ), nodes AS (
+      SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+             CASE WHEN d > 0 THEN (count(*) - 1) * length(prefix[d].text) ELSE 0 END AS saved
+      FROM members GROUP BY prefix, d
+    ), childless AS (
+      SELECT n.*, c.n_children FROM nodes n LEFT JOIN (
+        SELECT prefix[1:d - 1] AS prefix, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1) c USING (prefix)
+    ), subtrees AS (
+      SELECT prefix[1:up] AS prefix, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+      FROM childless, unnest(range(d + 1)) AS r(up) GROUP BY 1
+    )
+    SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n.n_children, 0)::BIGINT AS n_children,
+           n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+    FROM childless n JOIN subtrees USING (prefix) LEFT JOIN nodes p ON n.d > 0 AND p.prefix = n.prefix[1:n.d - 1]
+    """
+
+
 def warc_records() -> str:
     return f"""
     WITH sized AS (
@@ -177,5 +223,6 @@ def llm_oracles() -> dict[str, str]:
         "op2_mix_sources": mixed_sources(),
         "op8_ngram_jaccard": ngram_jaccard(),
         "op11_va_clusters": clusters(),
+        "op12_zfast_trie": prefix_trie(),
         "op13_warc": warc_records(),
     }

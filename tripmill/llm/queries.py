@@ -9,13 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, imatch, jaccard, lm, mixing, quality, sharding, spans, toxicity, vafile, warc, wrappers
+from tripmill.llm import bpe, imatch, jaccard, lm, mixing, prefixes, quality, sharding, spans, toxicity, vafile, warc, wrappers
 from tripmill.llm.tables import ship_code, table
 from tripmill.plans.staging import fresh_folder, staged
 
 SHARDS = 16
 SEED = 20240
 SOURCE_WEIGHTS = (5, 2, 1)
+SHARED_TURNS, CONVERSATION_GROUP = 5, 100
 CLUSTERING = {"k": 8, "rounds": 10, "seed": 3, "width": 64}
 
 
@@ -109,6 +110,12 @@ def op11_va_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return vafile.cluster(table(spark, folder, "embeddings"), **CLUSTERING)
 
 
+def op12_zfast_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefixes.turns_in_order(table(spark, folder, "conversations"))
+    rebuilt = prefixes.with_shared_starts(staged(turns), SHARED_TURNS, CONVERSATION_GROUP)
+    return prefixes.trie_nodes(prefixes.sequences(*rebuilt))
+
+
 def op13_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages, archives = table(spark, folder, "pages"), fresh_folder(spark, "warc")
     read = warc.read_archives(warc.write_archives(pages, archives), archives, with_payload=False)
@@ -134,6 +141,7 @@ QUERIES = {
     "op9_sentence_spans": op9_sentence_spans,
     "op10_imatch": op10_imatch,
     "op11_va_clusters": op11_va_clusters,
+    "op12_zfast_trie": op12_zfast_trie,
     "op13_warc": op13_warc,
 }
 
