@@ -109,7 +109,8 @@ def test_intervals_hold_every_distance():
     packed = pa.array(cells.packed(codes), pa.binary())
     assert len(packed[0].as_py()) == 8
     assert (cells.unpacked(packed, 16) == codes).all()
-    exact = ((full[:, None, :] - centroids[None]) ** 2).sum(2)
+    middle = centroids.sum(0) // len(centroids)
+    exact = ((full[:, None, :] - centroids[None]) ** 2).sum(2) - ((full - middle) ** 2).sum(1)[:, None]
     low = sum(least[d][codes[:, d]] for d in range(16))
     high = sum(most[d][codes[:, d]] for d in range(16))
     assert (low <= exact).all() and (exact <= high).all()
