@@ -444,6 +444,8 @@ def on_documents(expression: str, name: str) -> str:
 def all_oracles() -> dict[str, str]:
     net = "l_extendedprice * (1 - l_discount)"
     day_total = "SELECT day, v AS total FROM day_totals"
+    in_event_period = f"""SELECT event_id, ts, event_type FROM events
+        WHERE ts BETWEEN TIMESTAMP '{EVENT_PERIOD[0]}' AND TIMESTAMP '{EVENT_PERIOD[1]}'"""
     return {
         "src_param_sql": STAR_SELECTED,
         "trip_extract": STAR_SELECTED,
@@ -459,8 +461,11 @@ def all_oracles() -> dict[str, str]:
         "run_report": written_report(STAR_SELECTED),
         "filter_site": f"""SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem
                            WHERE l_linenumber = {SITE}""",
-        "filter_period": f"""SELECT event_id, ts, event_type FROM events
-            WHERE ts BETWEEN TIMESTAMP '{EVENT_PERIOD[0]}' AND TIMESTAMP '{EVENT_PERIOD[1]}'""",
+        "filter_period": in_event_period,
+        "filter_period_by_day": in_event_period,
+        "filter_period_by_instant": in_event_period,
+        "filter_period_by_text": in_event_period,
+        "extract_by_month": STAR_SELECTED,
         "parse_period": f"""SELECT event_id, CASE WHEN event_type IN ('error', 'click')
             THEN TIMESTAMP '{DEFAULT_INSTANT}' ELSE date_trunc('second', ts) END AS instant FROM events""",
         "default_period": """SELECT event_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS period_start,

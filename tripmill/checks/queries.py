@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,7 @@ from tripmill.plans import report
 from tripmill.plans.staging import fresh_folder, staging_run
 from tripmill.schema import Roles, ensure_columns, table_defaults
 from tripmill.sources.lookup import site_name
+from tripmill.sources.partitions import DayPartitions, write_by_date
 from tripmill.sources.sqltext import load_dataframe
 from tripmill.sources.star import at_site, within_period
 
@@ -176,6 +178,34 @@ def filter_period(spark: SparkSession, folder: str) -> DataFrame:
     return trips.select("event_id", "ts", "event_type")
 
 
+def by_date(rows: DataFrame, partitions: DayPartitions, time: str) -> DataFrame:
+    """A copy of ``rows`` in folders by date."""
+    spark = rows.sparkSession
+    return spark.read.parquet(write_by_date(rows, fresh_folder(spark, "by-date"), partitions, time))
+
+
+def filter_partitions(partitions: DayPartitions, kind: str) -> Query:
+    """The period of the events, from a copy partitioned by date whose times are of another type."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        events = table(spark, folder, "events")
+        copy = by_date(events.withColumn("moment", F.col("ts").cast(kind)), partitions, "moment")
+        trips = within_period(copy, *EVENT_PERIOD, time="moment", partitions=partitions)
+        return trips.select("event_id", "ts", "event_type")
+
+    return query
+
+
+def extract_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """The extract of a site and period from loads partitioned by month."""
+    star = star_tables(spark, folder)
+    months = DayPartitions(("ship_month",), "month")
+    star = replace(
+        star, loads=by_date(star.loads, months, "l_shipdate"), columns=replace(star.columns, partitions=months)
+    )
+    return star.extract(SITE, *PERIOD, names=Roles.plain(), ordered=False)
+
+
 def parse_period(spark: SparkSession, folder: str) -> DataFrame:
     ts, kind = F.col("ts"), F.col("event_type")
     day = F.concat_ws("-", F.year(ts), F.month(ts), F.day(ts))
@@ -341,6 +371,10 @@ def all_queries() -> dict[str, Query]:
         "run_report": run_report,
         "filter_site": filter_site,
         "filter_period": filter_period,
+        "filter_period_by_day": filter_partitions(DayPartitions(("day",)), "timestamp_ntz"),
+        "filter_period_by_instant": filter_partitions(DayPartitions(("day",)), "timestamp"),
+        "filter_period_by_text": filter_partitions(DayPartitions(("year", "month")), "string"),
+        "extract_by_month": extract_partitions,
         "parse_period": parse_period,
         "default_period": default_period,
         "ensure_columns": add_columns,

@@ -32,7 +32,7 @@ from tripmill.functions.numbers import number_or_null
 from tripmill.operators.heavy import HeavyKeys, heavy_keys, spread_join
 from tripmill.operators.measures import MEASURES, TripCube, row_measures
 from tripmill.schema import Roles
-
+from tripmill.sources.partitions import DayPartitions
 
 #: Values that the second join key of rows without a driver id takes.
 NULL_SPREAD = 4096
@@ -40,7 +40,7 @@ NULL_SPREAD = 4096
 
 @dataclass(frozen=True)
 class StarColumns:
-    """Column names of the six tables."""
+    """Column names of the six tables, and how the loads are partitioned by date, if they are."""
 
     time: str = "time"
     volume: str = "volume_descarregado"
@@ -58,6 +58,7 @@ class StarColumns:
     driver_employee: str = "id_motorista"
     employee_id: str = "id"
     employee_name: str = "nome"
+    partitions: DayPartitions | None = None
 
 
 def at_site(loads: DataFrame, site: int, plant: str = "codigo_planta") -> DataFrame:
@@ -70,12 +71,16 @@ def within_period(
     start: str | datetime | Column | None = None,
     end: str | datetime | Column | None = None,
     time: str = "time",
+    partitions: DayPartitions | None = None,
 ) -> DataFrame:
     """Loads from ``start`` and until ``end``, both included; each bound holds on its own.
 
-    A time that cannot be read as one is in no period.
+    A time that cannot be read as one is in no period. Of a table partitioned by date, ``partitions``
+    keeps the scan to the dates of the period.
     """
     value = time_or_null(loads, time)
+    if partitions is not None:
+        loads = partitions.within(loads, start, end, time)
     if start is not None:
         loads = loads.filter(value >= instant(start))
     if end is not None:
@@ -206,7 +211,7 @@ class StarTables:
         rows = self.loads
         if site is not None:
             rows = at_site(rows, site, c.plant)
-        return within_period(rows, start, end, c.time)
+        return within_period(rows, start, end, c.time, c.partitions)
 
     def extract(
         self,
