@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmill.operators.measures import Trips
+from tripmill.operators.measures import TripCube, Trips
 from tripmill.schema import Roles
 from tripmill.sources.star import StarColumns, StarTables
 
@@ -114,6 +114,28 @@ def crowded_star(spark: SparkSession, folder: str) -> StarTables:
     return replace(star, loads=loads, columns=columns)
 
 
+def fractional_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as trips whose volumes use all digits of a double; a few are negative."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount")) / 7
+    return table(spark, folder, "lineitem").select(
+        F.col("l_shipdate").alias("time"),
+        F.concat(F.lit("T"), (F.col("l_partkey") % 97).cast("string")).alias("vehicle"),
+        F.concat(F.lit("driver "), (F.col("l_suppkey") % 31).cast("string")).alias("driver"),
+        F.when(F.col("l_linenumber") == 7, -net).otherwise(net).alias("volume"),
+        F.col("l_returnflag").alias("site"),
+    )
+
+
+def fractional_trips(spark: SparkSession, folder: str) -> Trips:
+    return Trips(fractional_rows(spark, folder), Roles.plain())
+
+
+def fractional_cube(spark: SparkSession, folder: str) -> TripCube:
+    """The same trips, merged in two steps."""
+    fine = fractional_trips(spark, folder).measures("day", "vehicle", "driver", "site")
+    return TripCube(fine)
+
+
 def clean_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("ts").alias("time"),

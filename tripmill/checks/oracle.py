@@ -150,6 +150,64 @@ def wrap(text: str) -> str:
            ELSE substring({text}, 1, {width - 3}) || '...' END"""
 
 
+# Exact sums, from the same integer parts of every volume
+
+FRACTIONAL = """
+SELECT l_shipdate AS time, CAST(l_shipdate AS DATE) AS day, concat('T', l_partkey % 97) AS vehicle,
+       concat('driver ', l_suppkey % 31) AS driver,
+       CASE WHEN l_linenumber = 7 THEN -net ELSE net END AS volume
+FROM (SELECT *, l_extendedprice * (1 - l_discount) / 7 AS net FROM lineitem)
+"""
+PART = 4194304
+
+
+def exact_totals(key: str | None) -> str:
+    """Count and exact volume by ``key``: whole tons and three fractions of 22 bits, summed as integers."""
+    carried = "{0} - (({0} % {1}) + {1}) % {1}"
+    steps = [f"SELECT *, CASE WHEN volume < 0 THEN -1 ELSE 1 END AS sgn, abs(volume) AS left0 FROM ({FRACTIONAL})"]
+    for i in range(4):
+        steps.append(
+            f"SELECT *, CAST(sgn * floor(left{i}) AS HUGEINT) AS part{i}, (left{i} - floor(left{i})) * {PART}.0 AS left{i + 1} FROM ({{}})"
+        )
+    group = key or "1"
+    steps.append(
+        f"SELECT {group} AS key, count(*) AS n_loads, "
+        + ", ".join(f"sum(part{i}) AS s{i}" for i in range(4))
+        + f" FROM ({{}}) GROUP BY {group}"
+    )
+    for i in (3, 2, 1):
+        up = carried.format(f"s{i}", PART)
+        others = ", ".join(f"s{j}" for j in range(i - 1))
+        steps.append(
+            f"SELECT key, n_loads, {others + ', ' if others else ''}s{i - 1} + ({up}) // {PART} AS s{i - 1}, "
+            f"CAST(s{i} - ({up}) AS DOUBLE) AS d{i}"
+            + "".join(f", d{j}" for j in range(i + 1, 4))
+            + " FROM ({})"
+        )
+    steps.append(
+        "SELECT key, n_loads, 0.0::DOUBLE + d3 * pow(2.0, -66) + d2 * pow(2.0, -44) + d1 * pow(2.0, -22)"
+        " + CAST(s0 AS DOUBLE) AS volume FROM ({})"
+    )
+    sql = steps[0]
+    for step in steps[1:]:
+        sql = step.format(sql)
+    return sql
+
+
+def exact_kpis() -> str:
+    return f"""
+    WITH days AS ({exact_totals("day")}), vehicles AS ({exact_totals("vehicle")}), drivers AS ({exact_totals("driver")})
+    SELECT volume AS total, n_loads AS n_trips,
+           (SELECT key FROM vehicles ORDER BY volume DESC, key LIMIT 1) AS top_vehicle,
+           (SELECT 'D' || key[2:] FROM drivers ORDER BY volume DESC, key LIMIT 1) AS top_driver,
+           volume / (SELECT count(*) FROM days) AS mean_per_day,
+           (SELECT key FROM days ORDER BY volume DESC, key LIMIT 1) AS best_day,
+           (SELECT key FROM days WHERE volume > 0 ORDER BY volume, key LIMIT 1) AS worst_day,
+           (SELECT count(*) FROM days) AS active_days
+    FROM ({exact_totals(None)})
+    """
+
+
 # Queries over a trip relation
 
 
@@ -550,6 +608,13 @@ def all_oracles() -> dict[str, str]:
         "first_site_cube": trips(
             STAR, "SELECT site FROM t WHERE time IS NOT NULL ORDER BY time, site NULLS FIRST LIMIT 1"
         ),
+        "exact_kpis": exact_kpis(),
+        "exact_kpis_cube": exact_kpis(),
+        "exact_daily_totals": f"SELECT key AS day, volume AS total FROM ({exact_totals('day')})",
+        "exact_vehicle_totals": f"SELECT key AS vehicle, volume AS total FROM ({exact_totals('vehicle')})",
+        "exact_driver_ranking": f"""SELECT 'D' || key[2:] AS driver, volume,
+            {r2("volume / n_loads")} AS mean_load, row_number() OVER (ORDER BY volume DESC, key) AS rank
+            FROM ({exact_totals('driver')})""",
         "kpi_summary": kpis(STAR),
         "kpi_summary_dirty": kpis(DIRTY),
         "paginate_daily": paged(STAR, DAYS, "day", "day", DAILY_PAGE),

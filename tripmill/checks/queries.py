@@ -16,6 +16,8 @@ from tripmill.checks.bindings import (
     crowded_star,
     dirty_rows,
     dirty_trips,
+    fractional_cube,
+    fractional_trips,
     star_tables,
     star_trips,
     star_trips_without_driver,
@@ -346,6 +348,13 @@ def ranked_by_total(
     )
 
 
+def exact_ranking(binding: Binding) -> Query:
+    """Drivers by unrounded total, to the last bit."""
+    return lambda spark, folder: ranking(rollups.driver_rollup(binding(spark, folder)), "driver").select(
+        "driver", "volume", "mean_load", F.col("rank").cast("bigint").alias("rank")
+    )
+
+
 def paged(
     binding: Binding, rollup: Callable[[MeasureSource], DataFrame], key: str, size: int, by_total: bool
 ) -> Query:
@@ -420,6 +429,11 @@ def all_queries() -> dict[str, Query]:
         "daily_series": _over(dirty, series.daily_series),
         "vehicle_series": _over(dirty, series.vehicle_series),
         "driver_series": _over(dirty, series.driver_series),
+        "exact_kpis": _over(fractional_trips, kpis.kpi_summary),
+        "exact_kpis_cube": _over(fractional_cube, kpis.kpi_summary),
+        "exact_daily_totals": _over(fractional_trips, series.daily_series),
+        "exact_vehicle_totals": _over(fractional_cube, series.vehicle_series),
+        "exact_driver_ranking": exact_ranking(fractional_trips),
         "observed_period": _over(dirty, kpis.observed_period),
         "days_positive": _over(dirty, kpis.days_positive),
         "top_vehicle": _over(dirty, kpis.top_vehicle),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.numbers import safe_divide
 from tripmill.functions.text import fill_text, titlecase_card
+from tripmill.operators import exact
 from tripmill.operators.measures import FACETS, MeasureSource, grain_is
 
 
@@ -28,6 +29,11 @@ def _over(value: str, among: Column) -> Column:
     return F.coalesce(F.sum(F.when(among, F.col(value))), F.lit(0))
 
 
+def _volume_over(among: Column) -> Column:
+    parts = [F.col(c) for c in exact.LIMBS]
+    return exact.total(exact.summed_limbs(parts, lambda part: F.when(among, part)))
+
+
 def kpi_summary(source: MeasureSource) -> DataFrame:
     """All eight indicators in one row.
 
@@ -36,7 +42,7 @@ def kpi_summary(source: MeasureSource) -> DataFrame:
     """
     on_day, on_vehicle, on_driver = (grain_is(*facet) for facet in FACETS)
     found = source.grains(*FACETS).agg(
-        _over("volume", on_day).alias("total"),
+        _volume_over(on_day).alias("total"),
         _over("n_trips", on_day).alias("n_trips"),
         _largest("vehicle", on_vehicle).alias("vehicle"),
         _largest("driver", on_driver).alias("driver"),

@@ -1,7 +1,7 @@
 """The additive measures every rollup is built from, and the things that supply them.
 
-A measure frame holds some attributes (``day``, ``vehicle``, ``driver``, ``site``) and six measures
-that can be merged to any coarser grain. :class:`Trips` computes them from trip rows,
+A measure frame holds some attributes (``day``, ``vehicle``, ``driver``, ``site``) and measures that can
+be merged to any coarser grain; the volume carries the integer parts of its exact sum with it. :class:`Trips` computes them from trip rows,
 :class:`TripCube` from rows already aggregated to a finer grain, :class:`TripSummary` from a staged
 table that holds the few grains a report needs. All aggregate buffers are fixed-width, so they run
 as hash aggregates with map-side combine: a key that holds a third of all rows arrives at the
@@ -20,15 +20,22 @@ from pyspark.sql import functions as F
 from tripmill.functions.dates import time_or_null
 from tripmill.functions.numbers import number_or_null
 from tripmill.functions.text import fill_text
+from tripmill.operators import exact
 from tripmill.plans.staging import staged
 from tripmill.schema import Roles, ensure_columns
 
 COUNTS = ("n_trips", "n_loads", "n_positive")
-MEASURES = (*COUNTS, "volume", "first_time", "last_time")
+MEASURES = (*COUNTS, "volume", *exact.LIMBS, "first_time", "last_time")
 FACETS = (("day",), ("vehicle",), ("driver",))
 REPORT_GRAINS = (("day", "vehicle"), ("day", "driver"), ("site",))
 
 
+def _volume(limbs: Sequence[Column]) -> list[Column]:
+    """The summed volume and the integer sums it is made of."""
+    sums = exact.summed_limbs(limbs)
+    return [exact.total(sums).alias("volume"), *[s.alias(n) for s, n in zip(sums, exact.LIMBS, strict=True)]]
+
+
 def row_measures() -> list[Column]:
     """Measures of trip rows: all trips, trips with a numeric volume, trips with a volume above
     zero, summed volume and the time span."""
@@ -37,7 +44,7 @@ def row_measures() -> list[Column]:
         F.count(F.lit(1)).alias("n_trips"),
         F.count(volume).alias("n_loads"),
         F.count(F.when(volume > 0, 1)).alias("n_positive"),
-        F.coalesce(F.sum(volume), F.lit(0.0)).alias("volume"),
+        *_volume(exact.limbs(volume)),
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
     ]
@@ -47,7 +54,7 @@ def merged_measures() -> list[Column]:
     """The same measures, from rows that already hold them."""
     return [
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS],
-        F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume"),
+        *_volume([F.col(c) for c in exact.LIMBS]),
         F.min("first_time").alias("first_time"),
         F.max("last_time").alias("last_time"),
     ]
