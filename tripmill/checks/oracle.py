@@ -26,6 +26,37 @@ SECTION_TITLES = {
     "driver_series": "Produção por Motorista",
     "driver_table": "Produção por motorista",
 }
+PAGE_TITLES = {
+    "kpi_cards": "Geral",
+    "daily_series": "Produção diária",
+    "vehicle_series": "Caminhões",
+    "driver_series": "Motoristas",
+}
+MEAN_LOAD = "Peso Médio (t/viagem)"
+COLUMN_TITLES = {
+    "daily_table": (
+        ("data", "Data"),
+        ("caminhoes", "Caminhões"),
+        ("n_viagens", "Nº Viagens"),
+        ("total", "Total (t)"),
+        ("t_viagem", "t/Viagen"),
+        ("primeira", "Primeira viagem"),
+        ("ultima", "Última viagem"),
+    ),
+    "vehicle_table": (
+        ("caminhao", "Caminhão"),
+        ("n_viagens", "N° de Viagens"),
+        ("total", "Total (t)"),
+        ("peso_medio", MEAN_LOAD),
+    ),
+    "driver_table": (
+        ("motorista", "Motorista"),
+        ("n_viagens", "N° de Viagens"),
+        ("total", "Total (t)"),
+        ("peso_medio", MEAN_LOAD),
+        ("media_dia", "Média (t/dia)"),
+    ),
+}
 NO_ROWS = "Sem registros no período."
 NO_POINTS = "Sem dados no período"
 DAILY_PAGE, VEHICLE_PAGE, DRIVER_PAGE = 48, 38, 38
@@ -404,6 +435,15 @@ def status(rows: str) -> str:
     )
 
 
+def headings() -> str:
+    pages = [(section, 0, "", title) for section, title in PAGE_TITLES.items()]
+    columns = [(s, i, c, t) for s, titles in COLUMN_TITLES.items() for i, (c, t) in enumerate(titles, start=1)]
+    return " UNION ALL ".join(
+        f"SELECT 'headings' AS section, CAST(0 AS BIGINT) AS page, CAST(0 AS BIGINT) AS row, '{'|'.join(map(str, entry))}' AS texts"
+        for entry in pages + columns
+    )
+
+
 def written_report(rows: str) -> str:
     """All rows of a report in long form: section, page, row in the page, and joined texts."""
 
@@ -517,6 +557,7 @@ def all_oracles() -> dict[str, str]:
         "key_check": key_checks(),
         "sink_roundtrip": written_report(STAR_SELECTED),
         "run_report": written_report(STAR_SELECTED),
+        "published_report": f"{written_report(STAR_SELECTED)} UNION ALL {headings()}",
         "filter_site": f"""SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem
                            WHERE l_linenumber = {SITE}""",
         "filter_period": in_event_period,

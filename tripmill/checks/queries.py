@@ -28,6 +28,7 @@ from tripmill.operators import kpis, rollups, series
 from tripmill.operators.measures import MeasureSource, Trips
 from tripmill.operators.pages import paginate, ranking
 from tripmill.plans import report
+from tripmill.plans.publish import publish_report, read_section
 from tripmill.plans.staging import fresh_folder, staging_run
 from tripmill.schema import Roles, ensure_columns, table_defaults
 from tripmill.sources.lookup import site_name
@@ -40,6 +41,7 @@ Binding = Callable[[SparkSession, str], MeasureSource]
 
 SITE = 3
 PERIOD = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
+OTHER_PERIOD = ("1995-01-01 00:00:00", "1995-01-31 23:59:59")
 EVENT_PERIOD = ("2024-01-05 06:00:00", "2024-01-12 18:30:00")
 DEFAULT_INSTANT = "2024-01-01 00:00:00"
 
@@ -132,9 +134,13 @@ SECTION_TEXTS = {
 
 def read_back(spark: SparkSession, written: str) -> DataFrame:
     """Every row of a written report as section, page, row in the page and text."""
+    return long_form(lambda section: spark.read.parquet(f"{written}/{section}"), SECTION_TEXTS)
+
+
+def long_form(read: Callable[[str], DataFrame], texts_of: dict[str, tuple[str, ...]]) -> DataFrame:
     parts = []
-    for section, columns in SECTION_TEXTS.items():
-        rows = spark.read.parquet(f"{written}/{section}")
+    for section, columns in texts_of.items():
+        rows = read(section)
         numeric = {n for n, kind in rows.dtypes if kind == "double"}
         texts = [numbers.number_text(F.col(c)) if c in numeric else F.col(c).cast("string") for c in columns]
         paged_rows = "page_no" in rows.columns
@@ -167,6 +173,16 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(spark, report.run_report(star_tables(spark, folder), SITE, *PERIOD, written))
 
 
+def published_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report read through its manifest, where it replaced one of another period."""
+    output, star = fresh_folder(spark, "published"), star_tables(spark, folder)
+    other = star.cube(SITE, *OTHER_PERIOD, keys=("day", "vehicle", "driver"))
+    publish_report({"kpi_cards": report.kpi_cards(other)}, output)
+    report.run_report(star, SITE, *PERIOD, output)
+    texts = SECTION_TEXTS | {"headings": ("section", "position", "column", "heading")}
+    return long_form(lambda section: read_section(spark, output, section), texts)
+
+
 # Filters and cleaning
 
 
@@ -378,6 +394,7 @@ def all_queries() -> dict[str, Query]:
         "site_name_lookup": site_name_lookup,
         "sink_roundtrip": sink_roundtrip,
         "run_report": run_report,
+        "published_report": published_report,
         "filter_site": filter_site,
         "filter_period": filter_period,
         "filter_period_by_day": filter_partitions(DayPartitions(("day",)), "timestamp_ntz"),

@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.dates import (
@@ -29,11 +29,13 @@ from tripmill.operators.measures import FACETS, MeasureSource, TripSummary, grai
 from tripmill.operators.pages import with_pages
 from tripmill.operators.rollups import daily_rollup, driver_rollup, vehicle_rollup
 from tripmill.operators.series import daily_points, driver_bars, vehicle_series
+from tripmill.plans.publish import publish_report
 from tripmill.plans.staging import staged, staging_run
+from tripmill.plans.writing import DEFAULT_OUTPUT, write_report
 from tripmill.sources.lookup import brand, site_name
 from tripmill.sources.star import StarTables
 
-# Report texts, page sizes, the site that carries the first brand, and the output name.
+# Report texts, page sizes, and the site that carries the first brand.
 TITLE = "Relatório de Produção Mensal"
 CARD_TITLES = (
     "Produção total do período (t)",
@@ -51,13 +53,42 @@ SECTION_TITLES = {
     "driver_series": "Produção por Motorista",
     "driver_table": "Produção por motorista",
 }
+PAGE_TITLES = {
+    "kpi_cards": "Geral",
+    "daily_series": "Produção diária",
+    "vehicle_series": "Caminhões",
+    "driver_series": "Motoristas",
+}
+COLUMN_TITLES = {
+    "daily_table": {
+        "data": "Data",
+        "caminhoes": "Caminhões",
+        "n_viagens": "Nº Viagens",
+        "total": "Total (t)",
+        "t_viagem": "t/Viagen",
+        "primeira": "Primeira viagem",
+        "ultima": "Última viagem",
+    },
+    "vehicle_table": {
+        "caminhao": "Caminhão",
+        "n_viagens": "N° de Viagens",
+        "total": "Total (t)",
+        "peso_medio": "Peso Médio (t/viagem)",
+    },
+    "driver_table": {
+        "motorista": "Motorista",
+        "n_viagens": "N° de Viagens",
+        "total": "Total (t)",
+        "peso_medio": "Peso Médio (t/viagem)",
+        "media_dia": "Média (t/dia)",
+    },
+}
 NO_ROWS = "Sem registros no período."
 NO_POINTS = "Sem dados no período"
 DAILY_PAGE = 48
 VEHICLE_PAGE = 38
 DRIVER_PAGE = 38
 PRIMARY_SITES = ("SÃO JOÃO",)
-DEFAULT_OUTPUT = "producaoPrimaria"
 
 
 def kpi_cards(source: MeasureSource) -> DataFrame:
@@ -91,6 +122,17 @@ def section_captions(source: MeasureSource) -> DataFrame:
     return observed_period(source).select(F.inline(F.array(*captions)))
 
 
+def headings(spark: SparkSession) -> DataFrame:
+    """Headings as data: of the pages (position 0, no column), and of the columns of each display table."""
+    pages = [(section, 0, None, title) for section, title in PAGE_TITLES.items()]
+    columns = [
+        (section, i, column, title)
+        for section, titles in COLUMN_TITLES.items()
+        for i, (column, title) in enumerate(titles.items(), start=1)
+    ]
+    return spark.createDataFrame(pages + columns, "section string, position int, column string, heading string")
+
+
 def section_status(source: MeasureSource) -> DataFrame:
     """Rows of each section, and the notice shown in place of a section without data.
 
@@ -259,18 +301,10 @@ def build_report(source: MeasureSource, cover: Cover) -> dict[str, DataFrame]:
         "driver_table": driver_table(summary),
         "captions": section_captions(summary),
         "status": section_status(summary),
+        "headings": headings(summary.fine.sparkSession),
     }
 
 
-def write_report(
-    sections: Mapping[str, DataFrame], output: str = DEFAULT_OUTPUT, fmt: str = "parquet"
-) -> str:
-    """Write every section to its own folder under ``output`` and return that path."""
-    for name, section in sections.items():
-        section.write.mode("overwrite").format(fmt).save(f"{output}/{name}")
-    return output
-
-
 def run_report(
     star: StarTables,
     site: int,
@@ -283,7 +317,8 @@ def run_report(
 
     ``start`` and ``end`` are ``YYYY-MM-DD HH:MM:SS`` texts. Loads are aggregated before they are
     joined, so only the combinations of tag, reader, driver and day meet the dimensions. Intermediate
-    tables are removed once the report is written.
+    tables are removed once the report is written. The report replaces that in ``output`` when it is
+    complete; the folder of this version is returned, and ``publish.read_section`` finds the latest.
     """
     month = default_period(instant(datetime.now()))
     first, last = (
@@ -300,4 +335,4 @@ def run_report(
     )
     with staging_run(star.loads.sparkSession):
         sections = build_report(star.cube(site, first, last), cover)
-        return write_report(sections, output or DEFAULT_OUTPUT, fmt)
+        return publish_report(sections, output or DEFAULT_OUTPUT, fmt)
