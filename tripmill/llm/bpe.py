@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 #: The vocabulary goes to every executor; a larger file is refused.
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pre-tokens whose ids a Python worker remembers, and the longest remembered one.
-REMEMBERED = 200_000
+#: Pre-tokens that a Python worker remembers in each of two generations, and the longest remembered one.
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 #: A text of more characters is cut into pre-tokens piecewise, so that they are never all in memory.
 STREAM_CHARS = 2_000_000
@@ -144,32 +144,45 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Ids by pre-token; what is not remembered is looked up in the two tiers."""
+    """What becomes of each pre-token: its ids, their decimals joined by commas, and the bytes they decode to.
+
+    What is not remembered is looked up in the two tiers, and decoded from its ids. When a generation of
+    remembered pre-tokens is full, it becomes the older one; what is still in use moves on from there.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
         self.pattern = regex.compile(vocabulary.pattern)
-        self.decimal = {rank: str(rank) for rank in vocabulary.tokens}
-
-    def __missing__(self, pretoken: str) -> tuple[int, ...]:
-        data = pretoken.encode()
-        rank = self.vocabulary.whole(data)
-        ids = (rank,) if rank is not None else tuple(self.vocabulary.merged(data))
+        self.older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+
+    def __missing__(self, pretoken: str) -> tuple[tuple[int, ...], str, bytes]:
+        found = self.older.get(pretoken)
+        if found is None:
+            data = pretoken.encode()
+            rank = self.vocabulary.whole(data)
+            ids = (rank,) if rank is not None else tuple(self.vocabulary.merged(data))
+            found = ids, ",".join(map(str, ids)), self.decode(ids)
         if len(pretoken) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
-            self[pretoken] = ids
-        return ids
+            self[pretoken] = found
+        return found
 
-    def encode(self, text: str) -> Iterator[list[int]]:
-        """Ids of ``text`` in runs; a text of ordinary length is one run."""
+    def runs(self, text: str) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        """The pre-tokens of ``text`` in runs; a text of ordinary length is one run."""
         if len(text) <= STREAM_CHARS:
-            yield list(chain.from_iterable(map(self.__getitem__, self.pattern.findall(text))))
+            yield list(map(self.__getitem__, self.pattern.findall(text)))
             return
         matches = (m.group() for m in self.pattern.finditer(text))
         while piece := list(islice(matches, 100_000)):
-            yield list(chain.from_iterable(map(self.__getitem__, piece)))
+            yield list(map(self.__getitem__, piece))
+
+    def encode(self, text: str) -> Iterator[list[int]]:
+        """Ids of ``text`` in runs."""
+        for run in self.runs(text):
+            yield list(chain.from_iterable([ids for ids, _, _ in run]))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -239,14 +252,17 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
 
     def row(encoder: Encoder, text: str | None):
         n, listed, decoded, kept = 0, sha256(), sha256(), []
-        for run in encoder.encode(text or ""):
-            if with_ids:
-                kept.append(np.array(run, dtype=np.int32))
-            if n and run:
+        for run in encoder.runs(text or ""):
+            if not run:
+                continue
+            if n:
                 listed.update(b",")
-            n += len(run)
-            listed.update(",".join(map(encoder.decimal.__getitem__, run)).encode())
-            decoded.update(encoder.decode(run))
+            decimals = ",".join([d for _, d, _ in run])
+            n += decimals.count(",") + 1
+            listed.update(decimals.encode())
+            decoded.update(b"".join([data for _, _, data in run]))
+            if with_ids:
+                kept.append(np.fromiter(chain.from_iterable([ids for ids, _, _ in run]), dtype=np.int32))
         found = n, listed.hexdigest(), decoded.hexdigest()
         return (*found, np.concatenate(kept or [np.zeros(0, np.int32)])) if with_ids else found
 
