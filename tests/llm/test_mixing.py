@@ -85,3 +85,38 @@ def test_blocks_are_disjoint_and_documents_keep_their_columns(odd):
     result = mixing.mixed_documents(odd, (5, 2, 1), 3)
     assert result.columns == odd.columns
     assert result.count() == len(taken)
+
+
+def test_the_tree_decides_what_goes_where(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = staged(mixing.rows_to_mix(docs))
+    wanted = staged(mixing.targets(rows.groupBy("key", "source").agg(F.sum("size").alias("source_size")), (5, 2, 1)))
+    taken = staged(mixing.copies(rows, wanted, 3))
+
+    def shards(seed):
+        return {r["row_id"]: (r["taken"], r["shards"]) for r in mixing.shards_of(mixing.deal(taken, seed=seed)).collect()}
+
+    one, again, other = shards(1), shards(1), shards(2)
+    assert one == again and one != other
+    assert {k: t for k, (t, _) in one.items()} == {k: t for k, (t, _) in other.items()}
+    for taken_words, text in one.values():
+        assert sum(int(part.split(":")[1]) for part in text.split()) == taken_words
+
+
+def test_many_sources_are_split_in_buckets(spark):
+    quotas = spark.range(500).select(F.concat(F.lit("+s"), "id").alias("key"), (F.col("id") % 7).alias("n"))
+    shares = mixing.split_quotas(quotas, 3, seed=4).collect()
+    by_shard, by_key = Counter(), Counter()
+    for r in shares:
+        by_shard[r["shard"]] += r["n"]
+        by_key[r["key"]] += r["n"]
+    assert all(by_key[f"+s{i}"] == i % 7 for i in range(500))
+    assert max(by_shard.values()) - min(by_shard.values()) <= 1 and len(by_shard) == 8
+
+
+def test_word_counts(spark):
+    import re
+
+    texts = ["", " ", "a", " a b\tc\n\nd\r\x0b\fe ", "\x1c\x85x y", "x" * 10_000, "$1 \\x $0", "é 漢字　z", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.word_count(F.col("t"))).collect()
+    assert [r[0] for r in found] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]

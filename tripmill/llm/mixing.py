@@ -3,14 +3,17 @@
 1. Every source gets a target of words: its share by weight, at most a number of passes over it.
 2. Its documents are put in a random order and the mix takes whole passes and a part of one more.
 3. The taken words of a source are cut into blocks, and a tree that halves the set of shards splits
-   the block quotas of all sources: at every node the left half draws as many blocks as it holds
-   without replacement (multivariate hypergeometric), source by source.
+   the block quotas of all sources: at every node the left half draws half of the blocks without
+   replacement (multivariate hypergeometric), first from buckets of sources and then from the sources
+   of each bucket.
 4. A shard takes as many of a source's blocks as it drew, from the source's permuted blocks, and
-   orders its documents by a hash.
+   orders its documents by a hash. What it takes is the mix: the words taken from a document are those
+   of the blocks that shards drew.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,13 +23,16 @@ from tripmill.llm.numbering import numbered
 from tripmill.plans.staging import staged
 
 WORDS = r"[^\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\f\r"
 PASSES = 3
 LEVELS = 4
 BLOCKS_PER_SHARD = 256
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("bigint")
+    """Number of words, without a list of them: each becomes one letter, and blanks go."""
+    letters = F.translate(F.regexp_replace(text, WORDS, "x"), BLANKS, "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("bigint")
 
 
 def source_key(source: Column) -> Column:
@@ -72,7 +78,7 @@ def _in_order(rows: DataFrame) -> DataFrame:
     a bucket has rows; rows are summed within a bucket and buckets within a source.
     """
     bits = max(1, rows.count().bit_length() // 2)
-    high = F.conv(F.substring("order", 1, 8), 16, 10).cast("bigint")
+    high = F.conv(F.hex(F.substring("order", 1, 4)), 16, 10).cast("bigint")
     bucketed = rows.withColumn("bucket", F.shiftright(high, 32 - min(bits, 31)))
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -101,7 +107,7 @@ def copies(rows: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     copy. Documents without words are not taken.
     """
     ordered = rows.withColumn(
-        "order", F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+        "order", F.unhex(_digest(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
     )
     placed = staged(_in_order(ordered))
     plan = wanted.where("source_size > 0").select(
@@ -142,75 +148,76 @@ def copies(rows: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _digest(seed: int, *parts: Column | str) -> Column:
+    """A hash that SQL engines agree on."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(p) if isinstance(p, str) else p for p in parts]))
+
+
 def _drawn(quotas: Column, node: Column, take: Column, total: Column, seed: int) -> Column:
     """Blocks of each source that ``take`` draws without replacement get out of ``total``.
 
-    Selection sampling over the blocks in order: a block is drawn with the chance (draws still to
-    make) / (blocks still to see), which draws exactly ``take`` blocks and gives the multivariate
-    hypergeometric law.
+    The blocks with the smallest hashes are drawn: exactly ``take``, all sets of as many alike, so the
+    numbers by source follow the multivariate hypergeometric law.
     """
-
-    def block(state: Column, i: Column, key: Column) -> Column:
-        chance = F.pmod(F.xxhash64(F.lit(seed), node, key, i), state["unseen"])
-        hit = F.when(chance < state["need"], F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-        return F.struct(
-            (state["need"] - hit).alias("need"),
-            (state["unseen"] - 1).alias("unseen"),
-            (state["hits"] + hit).alias("hits"),
+    none = F.array().cast("array<struct<hash:string,key:string>>")
+
+    def blocks(quota: Column) -> Column:
+        numbers = F.sequence(F.lit(1).cast("bigint"), F.greatest(quota["n"], F.lit(1)))
+        named = F.transform(
+            numbers,
+            lambda i: F.struct(
+                _digest(seed, node.cast("string"), quota["key"], i.cast("string")).alias("hash"), quota["key"].alias("key")
+            ),
         )
+        return F.when(quota["n"] > 0, named).otherwise(none)
 
-    def source(state: Column, quota: Column) -> Column:
-        blocks = F.when(quota["n"] > 0, F.sequence(F.lit(1).cast("bigint"), quota["n"])).otherwise(
-            F.array().cast("array<bigint>")
-        )
-        start = F.struct(
-            state["need"].alias("need"), state["unseen"].alias("unseen"), F.lit(0).cast("bigint").alias("hits")
-        )
-        after = F.aggregate(blocks, start, lambda s, i: block(s, i, quota["key"]))
-        drawn = F.struct(quota["key"].alias("key"), after["hits"].alias("n"))
-        return F.struct(
-            after["need"].alias("need"),
-            after["unseen"].alias("unseen"),
-            F.array_append(state["drawn"], drawn).alias("drawn"),
-        )
+    chosen = F.slice(F.array_sort(F.flatten(F.transform(quotas, blocks))), F.lit(1), take.cast("int"))
+
+    def hits(quota: Column) -> Column:
+        n = F.size(F.filter(chosen, lambda b: b["key"] == quota["key"])).cast("bigint")
+        return F.struct(quota["key"].alias("key"), F.when(take >= total, quota["n"]).otherwise(n).alias("n"))
 
-    empty = F.array().cast("array<struct<key:string,n:bigint>>")
-    begin = F.struct(take.alias("need"), total.alias("unseen"), empty.alias("drawn"))
-    return F.aggregate(quotas, begin, source)["drawn"]
+    return F.transform(quotas, hits)
+
+
+def _sum(quotas: str) -> Column:
+    return F.aggregate(quotas, F.lit(0).cast("bigint"), lambda s, q: s + q["n"])
 
 
 def split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     """Blocks that every shard gets of every source: ``shard, key, n``.
 
-    A node of the tree is one row that holds the quota of each source: as long as the list of
-    sources, whatever the number of documents, and drawing costs one step per block of the mix.
-    Shards get equal numbers of blocks, to within one.
+    Sources lie in buckets, about as many as each has sources, and a row holds the quotas of a node and
+    bucket. At each level a node draws its left half from the totals of the buckets, and every bucket
+    then draws what fell to it from its sources. No row holds more than about the square root of the
+    number of sources. Shards get equal numbers of blocks, to within one.
     """
-    total = F.aggregate("quotas", F.lit(0).cast("bigint"), lambda s, q: s + q["n"])
-    nodes = quotas.agg(
-        F.sort_array(F.collect_list(F.struct("key", F.col("n").cast("bigint").alias("n")))).alias("quotas")
-    ).withColumn("node", F.lit(1).cast("bigint"))
+    buckets = math.isqrt(max(0, quotas.count() - 1)) + 1
+    code = F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("bigint") % buckets
+    entry = F.struct("key", F.col("n").cast("bigint").alias("n"))
+    nodes = (
+        quotas.groupBy(code.cast("string").alias("bucket"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("quotas"))
+        .select(F.lit(1).cast("bigint").alias("node"), "bucket", "quotas", _sum("quotas").alias("n"))
+    )
     for _ in range(levels):
-        sized = nodes.withColumn("total", total)
-        drawn = sized.withColumn(
-            "left", _drawn(F.col("quotas"), F.col("node"), F.expr("total div 2"), F.col("total"), seed)
+        sums = nodes.groupBy("node").agg(
+            F.sort_array(F.collect_list(F.struct(F.col("bucket").alias("key"), "n"))).alias("buckets"),
+            F.sum("n").alias("total"),
         )
-        rest = F.zip_with(
-            "quotas", "left", lambda q, d: F.struct(q["key"].alias("key"), (q["n"] - d["n"]).alias("n"))
+        left = _drawn(F.col("buckets"), F.col("node"), F.expr("total div 2"), F.col("total"), seed)
+        shares = sums.select("node", F.inline(left)).select("node", F.col("key").alias("bucket"), F.col("n").alias("take"))
+        drawn = nodes.join(shares, ["node", "bucket"]).withColumn(
+            "left", _drawn(F.col("quotas"), F.col("node"), F.col("take"), F.col("n"), seed)
         )
-        nodes = staged(
-            drawn.select(
-                F.explode(
-                    F.array(
-                        F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("quotas")),
-                        F.struct((F.col("node") * 2 + 1).alias("node"), rest.alias("quotas")),
-                    )
-                ).alias("half")
-            ).select("half.node", "half.quotas")
+        rest = F.zip_with("quotas", "left", lambda q, d: F.struct(q["key"].alias("key"), (q["n"] - d["n"]).alias("n")))
+        halves = F.array(
+            F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("quotas"), F.col("take").alias("n")),
+            F.struct((F.col("node") * 2 + 1).alias("node"), rest.alias("quotas"), (F.col("n") - F.col("take")).alias("n")),
         )
-    return nodes.select((F.col("node") - (1 << levels)).alias("shard"), F.explode("quotas").alias("q")).select(
-        "shard", "q.key", "q.n"
-    )
+        halved = drawn.select("bucket", F.explode(halves).alias("half")).select("half.node", "bucket", "half.quotas", "half.n")
+        nodes = staged(halved)
+    return nodes.select((F.col("node") - (1 << levels)).alias("shard"), F.inline("quotas"))
 
 
 def deal(taken: DataFrame, levels: int = LEVELS, blocks_per_shard: int = BLOCKS_PER_SHARD, seed: int = 1) -> DataFrame:
@@ -229,7 +236,7 @@ def deal(taken: DataFrame, levels: int = LEVELS, blocks_per_shard: int = BLOCKS_
     places = shares.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select(
         "key", "shard", F.explode(F.expr("sequence(start, start + n - 1)")).alias("place")
     )
-    shuffled = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(seed), "key", "block"), "block")
+    shuffled = Window.partitionBy("key").orderBy(_digest(seed, "key", F.col("block").cast("string")), "block")
     permuted = blocks.withColumn("place", (F.row_number().over(shuffled) - 1).cast("bigint"))
     owners = permuted.join(places, ["key", "place"]).select("key", "block", "shard")
     return blocked.join(owners, ["key", "block"]).withColumn(
@@ -264,10 +271,18 @@ def mix(rows: DataFrame, weights: Sequence[int], seed: int = 1, levels: int = LE
     return deal(taken, levels, seed=seed), wanted
 
 
+def shards_of(taken: DataFrame) -> DataFrame:
+    """``row_id, taken, shards``: words that the shards drew of a document, and ``shard:words`` by copy."""
+    copy = F.struct("copy", F.concat_ws(":", F.col("shard").cast("string"), F.col("size").cast("string")).alias("text"))
+    texts = F.transform(F.sort_array(F.collect_list(copy)), lambda c: c["text"])
+    return taken.groupBy("row_id").agg(F.sum("size").alias("taken"), F.array_join(texts, " ").alias("shards"))
+
+
 def mixed_documents(docs: DataFrame, weights: Sequence[int], seed: int = 1) -> DataFrame:
     """Rows of ``docs`` in the mix, as often as they are taken, with all their columns.
 
-    The documents are written once with a row id, so that copies find their row whatever its id.
+    They come shard by shard, each in its local order, cut into ranges of even size. The documents are
+    written once with a row id, so that copies find their row whatever its id.
     """
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc")
@@ -283,4 +298,6 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int], seed: int = 1) -> D
         )
     )
     taken, _ = mix(rows, weights, seed)
-    return kept.join(taken.select("row_id"), "row_id").select("doc.*")
+    place = staged(taken.select("row_id", "shard", "local_order", "copy"))
+    ordered = kept.join(place, "row_id").repartitionByRange("shard", "local_order", "row_id", "copy")
+    return ordered.sortWithinPartitions("shard", "local_order", "row_id", "copy").select("doc.*")

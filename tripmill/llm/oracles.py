@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import queries, sharding, warc
+from tripmill.llm import mixing, queries, sharding, warc
 
 CRC_POLYNOMIAL = 0xEDB88320
 
@@ -48,6 +48,55 @@ def feistel() -> str:
     """
 
 
+def splitting_tree() -> str:
+    """Blocks of taken words, and the shard that draws each: per level, buckets of sources and then sources
+    give the blocks with the smallest hashes to the left half."""
+    seed, levels, per_shard = queries.SEED, mixing.LEVELS, mixing.BLOCKS_PER_SHARD
+    # The operator's own seed of the tree is that of the mix.
+    steps = []
+    for i in range(levels):
+        steps.append(f"""
+    bucket_left{i} AS (
+      SELECT node, bucket, count(*) FILTER (WHERE place <= total // 2) AS take FROM (
+        SELECT node, bucket, sum(1) OVER (PARTITION BY node) AS total,
+               row_number() OVER (PARTITION BY node ORDER BY md5('{seed}|' || node || '|' || bucket || '|' || i), bucket) AS place
+        FROM (SELECT node, bucket, unnest(range(1, sum(n)::BIGINT + 1)) AS i FROM nodes{i} GROUP BY node, bucket)
+      ) GROUP BY node, bucket
+    ), key_left{i} AS (
+      SELECT node, key, count(*) FILTER (WHERE place <= take) AS n FROM (
+        SELECT u.node, key, take,
+               row_number() OVER (PARTITION BY u.node, u.bucket ORDER BY md5('{seed}|' || u.node || '|' || key || '|' || i), key) AS place
+        FROM (SELECT node, bucket, key, unnest(range(1, n + 1)) AS i FROM nodes{i}) u
+        JOIN bucket_left{i} b ON b.node = u.node AND b.bucket = u.bucket
+      ) GROUP BY node, key
+    ), nodes{i + 1} AS (
+      SELECT 2 * s.node + side AS node, bucket, s.key, CASE WHEN side = 0 THEN coalesce(l.n, 0) ELSE s.n - coalesce(l.n, 0) END AS n
+      FROM nodes{i} s LEFT JOIN key_left{i} l ON l.node = s.node AND l.key = s.key, range(2) AS r(side)
+    )""")
+    return rf"""
+    whole_mix AS (
+      SELECT greatest(1, (sum(size)::BIGINT + {(per_shard << levels) - 1}) // {per_shard << levels}) AS width FROM copies
+    ), blocked AS (
+      SELECT c.*, start_at // width AS block FROM copies c, whole_mix
+    ), blocks AS (
+      SELECT key, block, row_number() OVER (PARTITION BY key ORDER BY md5('{seed}|' || key || '|' || block), block) - 1 AS place
+      FROM (SELECT DISTINCT key, block FROM blocked)
+    ), quotas AS (
+      SELECT key, count(*) AS n, (SELECT count(DISTINCT key) FROM blocks) AS sources FROM blocks GROUP BY key
+    ), nodes0 AS (
+      SELECT 1 AS node, ('0x' || md5(key)[1:8])::BIGINT % (floor(sqrt(sources - 1))::BIGINT + 1) AS bucket, key, n FROM quotas
+    ), {",".join(steps)}, shares AS (
+      SELECT node - {1 << levels} AS shard, key, n,
+             coalesce(sum(n) OVER (PARTITION BY key ORDER BY node ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+      FROM nodes{levels}
+    ), dealt AS (
+      SELECT doc_id, string_agg(shard || ':' || size, ' ' ORDER BY copy) AS shards
+      FROM blocked c JOIN blocks b ON b.key = c.key AND b.block = c.block
+      JOIN shares s ON s.key = b.key AND b.place >= s.first AND b.place < s.first + s.n
+      GROUP BY doc_id
+    )"""
+
+
 def mixed_sources() -> str:
     return rf"""
     WITH RECURSIVE docs AS (
@@ -84,12 +133,22 @@ def mixed_sources() -> str:
       SELECT arg_min(doc_id, (abs(size - gap), pick)) AS extra
       FROM placed p JOIN gaps g ON p.source IS NOT DISTINCT FROM g.source
       WHERE after_it > rest AND abs(size - gap) < gap GROUP BY p.source
-    )
+    ), keyed AS (
+      SELECT p.*, coalesce('+' || p.source, '-') AS key, source_size FROM placed p
+      JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
+    ), copies AS (
+      SELECT doc_id, key, size, c AS copy, c * source_size + after_it - size AS start_at FROM keyed, unnest(range(passes)) AS r(c)
+      UNION ALL
+      SELECT doc_id, key, size, passes, passes * source_size + after_it - size FROM keyed WHERE after_it <= rest
+      UNION ALL
+      SELECT doc_id, key, size, passes, passes * source_size + (rest - gap)::BIGINT
+      FROM keyed k JOIN gaps g ON k.source IS NOT DISTINCT FROM g.source WHERE doc_id IN (SELECT extra FROM extras)
+    ), {splitting_tree()}
     SELECT d.doc_id, d.size::BIGINT AS size, source_size, target,
            coalesce(d.size * (passes + (after_it <= rest)::BIGINT
-             + (d.doc_id IN (SELECT extra FROM extras))::BIGINT), 0)::BIGINT AS taken
+             + (d.doc_id IN (SELECT extra FROM extras))::BIGINT), 0)::BIGINT AS taken, coalesce(shards, '') AS shards
     FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
-    LEFT JOIN placed p ON p.doc_id = d.doc_id
+    LEFT JOIN placed p ON p.doc_id = d.doc_id LEFT JOIN dealt t ON t.doc_id = d.doc_id
     """
 
 

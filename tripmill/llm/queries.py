@@ -36,12 +36,16 @@ def op1_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = staged(mixing.rows_to_mix(table(spark, folder, "documents")))
     taken, wanted = mixing.mix(rows, SOURCE_WEIGHTS, SEED)
-    words = taken.groupBy("row_id").agg(F.sum("size").alias("taken"))
     return (
-        rows.join(words, "row_id", "left")
+        rows.join(mixing.shards_of(taken), "row_id", "left")
         .join(wanted.select("key", "source_size", "target"), "key")
         .select(
-            "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            F.coalesce("taken", F.lit(0)).alias("taken"),
+            F.coalesce("shards", F.lit("")).alias("shards"),
         )
     )
 
