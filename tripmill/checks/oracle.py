@@ -621,6 +621,7 @@ def all_oracles() -> dict[str, str]:
         "driver_production_cube": driver(STAR),
         "driver_ranking": ranked_by_total(STAR, DRIVERS, "driver"),
         "driver_production_dirty": driver(DIRTY),
+        "driver_half_periods": driver(DIRTY),
         "driver_active_days": trips(
             DIRTY, "SELECT driver, active_days FROM drivers WHERE n_positive > 0", DRIVERS
         ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 from dataclasses import replace
 from functools import reduce
 
@@ -25,11 +26,11 @@ from tripmill.checks.bindings import (
 )
 from tripmill.functions import dates, numbers, text
 from tripmill.operators import kpis, rollups, series
-from tripmill.operators.measures import MeasureSource, Trips
+from tripmill.operators.measures import MeasureSource, TripCube, Trips
 from tripmill.operators.pages import paginate, ranking
 from tripmill.plans import report
 from tripmill.plans.publish import publish_report, read_section
-from tripmill.plans.staging import fresh_folder, staging_run
+from tripmill.plans.staging import fresh_folder, staged, staging_run
 from tripmill.schema import Roles, ensure_columns, table_defaults
 from tripmill.sources.lookup import site_name
 from tripmill.sources.partitions import DayPartitions, write_by_date
@@ -41,6 +42,7 @@ Binding = Callable[[SparkSession, str], MeasureSource]
 
 SITE = 3
 PERIOD = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
+HALF_TIME = "2024-01-16 12:00:00"
 OTHER_PERIOD = ("1995-01-01 00:00:00", "1995-01-31 23:59:59")
 EVENT_PERIOD = ("2024-01-05 06:00:00", "2024-01-12 18:30:00")
 DEFAULT_INSTANT = "2024-01-01 00:00:00"
@@ -371,6 +373,22 @@ def exact_ranking(binding: Binding) -> Query:
     )
 
 
+def merged_halves(binding: Binding) -> Query:
+    """The driver rollup from stored totals of two periods that meet in the middle of a month."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        trips = binding(spark, folder)
+        late = F.coalesce(F.col("time") >= dates.instant(HALF_TIME), F.lit(False))
+        halves = []
+        for half in (late, ~late):
+            trips_of_half = copy(trips)
+            trips_of_half.rows = trips.rows.filter(half)
+            halves.append(staged(rollups.driver_months(trips_of_half)))
+        return rollups.driver_rollup(TripCube(halves[0].unionByName(halves[1]))).select(*DRIVER)
+
+    return query
+
+
 def paged(
     binding: Binding, rollup: Callable[[MeasureSource], DataFrame], key: str, size: int, by_total: bool
 ) -> Query:
@@ -442,6 +460,7 @@ def all_queries() -> dict[str, Query]:
         ),
         "driver_ranking": ranked_by_total(star, rollups.driver_rollup, "driver"),
         "driver_production_dirty": _over(dirty, rollups.driver_rollup, *DRIVER),
+        "driver_half_periods": merged_halves(dirty),
         "driver_active_days": _over(dirty, rollups.driver_active_days),
         "daily_series": _over(dirty, series.daily_series),
         "vehicle_series": _over(dirty, series.vehicle_series),

@@ -72,15 +72,37 @@ def grain_is(*keys: str) -> Column:
 class MeasureSource(Protocol):
     """Anything rollups can be computed from."""
 
-    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
+    def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
         """Measures grouped by ``keys``. Null keys form a group, or with ``blank`` join the group of
-        the empty text."""
+        the empty text. With ``days``, which needs the key ``month``, also the set of days with a load
+        above zero."""
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
         """Measures grouped by several key sets, each told by ``grain``, in one pass if the source
         has to be read whole."""
 
 
+#: Days of a month with a load above zero, one bit each; sets of one month merge by ``bit_or``.
+DAY_SET = "positive_days"
+
+
+def _day_columns(positive: Column) -> dict[str, Column]:
+    """The month of ``day``, and the set that holds the day alone, null where nothing was loaded."""
+    return {"month": F.trunc("day", "month"), DAY_SET: F.when(positive, F.expr("shiftleft(1, dayofmonth(day) - 1)"))}
+
+
+def n_days(sets: Column) -> Column:
+    return F.coalesce(F.bit_count(sets), F.lit(0))
+
+
+def _with_days(aggregates: list[Column], keys: Sequence[str], days: bool) -> list[Column]:
+    if not days:
+        return aggregates
+    if "month" not in keys:
+        raise ValueError("a set of days belongs to a month")
+    return [*aggregates, F.bit_or(DAY_SET).alias(DAY_SET)]
+
+
 def _group(rows: DataFrame, keys: Sequence[str], blank: bool, aggregates: list[Column]) -> DataFrame:
     by = [fill_text(F.col(k)).alias(k) if blank else F.col(k) for k in keys]
     return rows.groupBy(*by).agg(*aggregates)
@@ -122,21 +144,26 @@ class Trips:
             F.col(roles.site).cast("string").alias("site"),
         )
 
-    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
-        return _group(self.rows, keys, blank, row_measures())
+    def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
+        rows = self.rows.withColumns(_day_columns(F.col("volume") > 0)) if "month" in keys else self.rows
+        return _group(rows, keys, blank, _with_days(row_measures(), keys, days))
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
         return _group_sets(self.rows, sets, row_measures())
 
 
 class TripCube:
-    """Measures at a fine grain, with the attributes that later rollups need."""
+    """Measures at a fine grain, with the attributes that later rollups need.
+
+    Rows by day have sets of days too; rows by month have those they were stored with.
+    """
 
     def __init__(self, rows: DataFrame):
-        self.rows = rows
+        by_month = "month" in rows.columns or "day" not in rows.columns
+        self.rows = rows if by_month else rows.withColumns(_day_columns(F.col("n_positive") > 0))
 
-    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
-        return _group(self.rows, keys, blank, merged_measures())
+    def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
+        return _group(self.rows, keys, blank, _with_days(merged_measures(), keys, days))
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
         return _group_sets(self.rows, sets, merged_measures())
@@ -173,7 +200,10 @@ class TripSummary:
         ]
         return grouped.select(F.lit(key).alias("grain"), *columns, *MEASURES)
 
-    def measures(self, *keys: str, blank: bool = False) -> DataFrame:
+    def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
+        if "month" in keys:
+            by_day = [k for k in keys if k != "month"] + ["day"]
+            return TripCube(self._fine_rows(by_day)).measures(*keys, blank=blank, days=days)
         facet = keys or FACETS[0]
         whole = facet in FACETS
         rows = self.totals.filter(grain_is(*facet)) if whole else self._fine_rows(keys)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.numbers import round2, safe_divide
 from tripmill.functions.text import driver_label_table, strip
-from tripmill.operators.measures import MeasureSource, merged_measures
+from tripmill.operators.measures import DAY_SET, MeasureSource, merged_measures, n_days
 
 
 def _rounded(count: str) -> list[Column]:
@@ -67,20 +67,27 @@ def vehicle_rollup(source: MeasureSource) -> DataFrame:
     return vehicles.select("*", *_rounded("n_loads"))
 
 
+def driver_months(source: MeasureSource) -> DataFrame:
+    """Totals per raw driver name and month, with the set of days that have a load above zero.
+
+    They can be stored and added up later: ``driver_rollup(TripCube(...))`` over the union of several
+    periods, whole months or parts of them, is the rollup of all their trips.
+    """
+    return source.measures("driver", "month", days=True)
+
+
 def driver_rollup(source: MeasureSource) -> DataFrame:
     """One row per driver label, with the days on which the driver had a load above zero.
 
-    Rows are combined per raw name and day first; casing the label is the costly part and runs on
-    that smaller frame. Names that share a label are merged per day before days are counted, which
-    keeps the count of days exact without a distinct aggregate.
+    Rows are combined per raw name and month first, days as bits of one number; casing the label is the
+    costly part and runs on that smaller frame. Names that share a label are brought together once, and
+    their sets of days are merged before they are counted, so no day counts twice.
     """
-    raw = source.measures("driver", "day")
-    labelled = raw.withColumn("driver", driver_label_table(F.col("driver")))
-    per_day = labelled.groupBy("driver", "day").agg(*merged_measures())
-    drivers = per_day.groupBy("driver").agg(
-        *merged_measures(),
-        F.count(F.when(F.col("n_positive") > 0, F.col("day"))).alias("active_days"),
-    )
+    labelled = driver_months(source).withColumn("driver", driver_label_table(F.col("driver")))
+    # Both groupings below find their rows together already.
+    per_month = labelled.repartition("driver").groupBy("driver", "month")
+    merged = per_month.agg(*merged_measures(), F.bit_or(DAY_SET).alias(DAY_SET))
+    drivers = merged.groupBy("driver").agg(*merged_measures(), F.sum(n_days(F.col(DAY_SET))).alias("active_days"))
     # The mean per day divides the rounded total, and is rounded again.
     mean_per_day = round2(safe_divide(F.col("total"), F.col("active_days")))
     return drivers.select("*", *_rounded("n_loads")).withColumn("mean_per_day", mean_per_day)
