@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 #: The vocabulary goes to every executor; a larger file is refused.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pre-tokens that a Python worker remembers in each of two generations, and the longest remembered one.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 LONGEST_REMEMBERED = 64
 #: A text of more characters is cut into pre-tokens piecewise, so that they are never all in memory.
 STREAM_CHARS = 2_000_000
