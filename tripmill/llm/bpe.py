@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 
 #: The vocabulary goes to every executor; a larger file is refused.
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pre-tokens that a Python worker remembers in each of two generations, and the longest remembered one.
-REMEMBERED = 100_000
+#: Pre-tokens that a Python worker remembers in each of two generations (about 270 bytes each), and the
+#: longest remembered one. Fewer take less memory and more time, and change no result.
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 #: A text of more characters is cut into pre-tokens piecewise, so that they are never all in memory.
 STREAM_CHARS = 2_000_000
@@ -144,45 +145,50 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """What becomes of each pre-token: its ids, their decimals joined by commas, and the bytes they decode to.
+    """What becomes of each pre-token: the decimals of its ids joined by commas, and the bytes they decode to.
 
     What is not remembered is looked up in the two tiers, and decoded from its ids. When a generation of
     remembered pre-tokens is full, it becomes the older one; what is still in use moves on from there.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int | None = None):
         super().__init__()
         self.vocabulary = vocabulary
+        self.remembered = remembered
         self.pattern = regex.compile(vocabulary.pattern)
-        self.older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.decimal = {rank: str(rank) for rank in vocabulary.tokens}
+        self.older: dict[str, tuple[str, bytes]] = {}
 
-    def __missing__(self, pretoken: str) -> tuple[tuple[int, ...], str, bytes]:
+    def __missing__(self, pretoken: str) -> tuple[str, bytes]:
         found = self.older.get(pretoken)
         if found is None:
             data = pretoken.encode()
             rank = self.vocabulary.whole(data)
-            ids = (rank,) if rank is not None else tuple(self.vocabulary.merged(data))
-            found = ids, ",".join(map(str, ids)), self.decode(ids)
+            ids = (rank,) if rank is not None else self.vocabulary.merged(data)
+            found = ",".join(map(self.decimal.__getitem__, ids)), self.decode(ids)
         if len(pretoken) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= (self.remembered or REMEMBERED):
                 self.older = dict(self)
                 self.clear()
             self[pretoken] = found
         return found
 
-    def runs(self, text: str) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
-        """The pre-tokens of ``text`` in runs; a text of ordinary length is one run."""
+    def runs(self, text: str) -> Iterator[tuple[str, bytes]]:
+        """Decimal ids and decoded bytes of ``text`` in runs; a text of ordinary length is one run."""
         if len(text) <= STREAM_CHARS:
-            yield list(map(self.__getitem__, self.pattern.findall(text)))
-            return
-        matches = (m.group() for m in self.pattern.finditer(text))
-        while piece := list(islice(matches, 100_000)):
-            yield list(map(self.__getitem__, piece))
+            pieces = iter([self.pattern.findall(text)])
+        else:
+            matches = (m.group() for m in self.pattern.finditer(text))
+            pieces = iter(lambda: list(islice(matches, 100_000)), [])
+        for piece in pieces:
+            if piece:
+                run = list(map(self.__getitem__, piece))
+                yield ",".join([d for d, _ in run]), b"".join([b for _, b in run])
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of ``text`` in runs."""
-        for run in self.runs(text):
-            yield list(chain.from_iterable([ids for ids, _, _ in run]))
+        for decimals, _ in self.runs(text):
+            yield list(map(int, decimals.split(",")))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -191,22 +197,25 @@ class Encoder(dict):
 _encoders: dict[int, Encoder] = {}
 
 
-def _encoder(shared) -> Encoder:
+def _encoder(shared, remembered: int | None) -> Encoder:
     """The encoder of this worker for a broadcast vocabulary."""
     vocabulary = shared.value
     if id(vocabulary) not in _encoders:
         _encoders.clear()
         _encoders[id(vocabulary)] = Encoder(vocabulary)
+    _encoders[id(vocabulary)].remembered = remembered
     return _encoders[id(vocabulary)]
 
 
-def _mapped(docs: DataFrame, columns: list[str], shared, row, added: list[T.StructField]) -> DataFrame:
+def _mapped(
+    docs: DataFrame, columns: list[str], shared, row, added: list[T.StructField], remembered: int | None = None
+) -> DataFrame:
     """Apply ``row(encoder, value)`` to the last of ``columns``; the others are kept."""
     kept = docs.select(*[F.col(f"`{c}`") for c in columns])
     schema = T.StructType([*kept.schema.fields[:-1], *added])
 
     def run(batches):
-        encoder = _encoder(shared)
+        encoder = _encoder(shared, remembered)
         for batch in batches:
             results = [row(encoder, value.as_py()) for value in batch.column(batch.num_columns - 1)]
             new = [pa.array([r[i] for r in results], arrow_types[i]) for i in range(len(added))]
@@ -239,30 +248,34 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", id
     return _mapped(tokens, [id_col, ids_col], shared, row, [T.StructField("data", T.BinaryType())])
 
 
-def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
-            with_ids: bool = False) -> DataFrame:
+def digests(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+    remembered: int | None = None,
+) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` of every whole text, and ``ids`` if asked for.
 
     The first hash is over the decimal ids joined by commas, the second over the bytes the ids
     decode to. Encoding, decoding and hashing go run by run, so a long text needs little memory. A
-    null text counts as empty: no ids, hashes of nothing. Repeated rows and null ids are rows like
+    null text counts as empty: no ids, hashes of nothing. ``remembered`` sets how many pre-tokens a worker
+    remembers where executors have little memory to spare. Repeated rows and null ids are rows like
     any other; an empty table gives an empty result; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def row(encoder: Encoder, text: str | None):
         n, listed, decoded, kept = 0, sha256(), sha256(), []
-        for run in encoder.runs(text or ""):
-            if not run:
-                continue
+        for decimals, data in encoder.runs(text or ""):
             if n:
                 listed.update(b",")
-            decimals = ",".join([d for _, d, _ in run])
             n += decimals.count(",") + 1
             listed.update(decimals.encode())
-            decoded.update(b"".join([data for _, _, data in run]))
+            decoded.update(data)
             if with_ids:
-                kept.append(np.fromiter(chain.from_iterable([ids for ids, _, _ in run]), dtype=np.int32))
+                kept.append(np.fromstring(decimals, dtype=np.int32, sep=","))
         found = n, listed.hexdigest(), decoded.hexdigest()
         return (*found, np.concatenate(kept or [np.zeros(0, np.int32)])) if with_ids else found
 
@@ -273,4 +286,4 @@ def digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
     ]
     if with_ids:
         added.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
-    return _mapped(docs, [id_col, text_col], shared, row, added)
+    return _mapped(docs, [id_col, text_col], shared, row, added, remembered)
