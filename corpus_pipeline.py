@@ -14,6 +14,10 @@ from tripmill.llm.tables import ship_code
 from tripmill.plans.staging import staged
 
 
+#: Pre-tokens that a worker remembers: fewer than the query alone, as executors hold what earlier stages left.
+REMEMBERED = 100_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     ship_code(spark)
@@ -44,7 +48,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the hashes of ids and decoded bytes."""
     ship_code(spark)
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
-    return bpe.digests(docs, vocabulary, with_ids=True)
+    return bpe.digests(docs, vocabulary, with_ids=True, remembered=REMEMBERED)
 
 
 STAGES = [
