@@ -92,3 +92,60 @@ def test_the_template_decides_before_articles(spark):
     # No template: the article breaks the tie if it is the longer part, and loses nothing if not.
     assert found[200] == "The whole of the article."
     assert found[201] == "Card.\n\nStory number 1 is its own.\n\nAll rights."
+
+
+ARTICLE = """<article><h1>Title</h1><p>One.</p><h2 id="related-work">Related work</h2><p>Two.</p>
+<section id="social-impact"><h3>Social impact</h3><p>Three.</p></section><p class="ad-hoc-note">Four.</p>
+<div class="share-price">Five.</div><p class="share">Six.</p><div class="share-buttons">Tweet</div>
+<div class="ad ad-300x250">Buy</div></article>"""
+
+
+def test_slugs_and_chance_names_cost_no_text():
+    kept = ["Title", "One.", "Related work", "Two.", "Social impact", "Three.", "Four.", "Five.", "Six."]
+    assert text_of(page(1, ARTICLE)).split("\n\n") == kept
+    outside = ARTICLE.replace("article", "div").replace('<p class="share">Six.</p>', "")
+    assert text_of(page(1, outside)).split("\n\n") == kept[:-1]
+    named = '<div id="sidebar">x</div><div id="site-header">x</div><ul class="related-posts"><li>x</ul><h2 id="comments">Kept</h2>'
+    assert text_of(page(1, named)) == "Kept"
+
+
+def test_a_menu_without_a_telling_name_is_template(spark):
+    menu = "<div class=x1><div>Home</div><div>World</div><div>Contact us</div></div>"
+    rows = [(i, f"http://plain.example/{i}", f"<body>{menu}<div class=x2><p>Story {i}.</p><p>More of {i}.</p></div></body>") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(pages).collect()} == {i: f"Story {i}.\n\nMore of {i}." for i in range(8)}
+
+
+def random_tree(rng, depth):
+    node = wrappers.Node("")
+    for _ in range(rng.randint(0, 4) if depth else 0):
+        label = rng.choice("abcdef")
+        if label not in node.children:
+            child = random_tree(rng, depth - 1)
+            child.label = label
+            node.children[label] = child
+    return node
+
+
+def largest(a, b):
+    """Nodes in the largest match of two trees with equal roots, by plain recursion over all choices."""
+
+    def pairs(left, right):
+        if not left or not right:
+            return 0
+        skip = max(pairs(left[1:], right), pairs(left, right[1:]))
+        return max(skip, pairs(left[1:], right[1:]) + largest(left[0], right[0])) if left[0].label == right[0].label else skip
+
+    return 1 + pairs(list(a.children.values()), list(b.children.values()))
+
+
+def test_matches_are_the_largest():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = random_tree(rng, 3), random_tree(rng, 3)
+        shapes = wrappers.shape_of(a), wrappers.shape_of(b)
+        matched = wrappers.align(*shapes)
+        assert len(matched) == largest(a, b)
+        assert len(set(matched.values())) == len(matched)

@@ -5,7 +5,8 @@ node. Every host gets a reference tree, the commonest one among its pages, and t
 pages are aligned with it by simple tree matching. Text that stands in the same node on most pages is
 template, text that varies is content. An ``article`` or ``main`` element decides only on text that the
 template leaves open. Elements whose tag, role or class names them as navigation, advert, form and the
-like are never content.
+like are never content; a class does so only if all its parts are such names or say nothing, and ids,
+which are often made from headings, only outside articles and not on headings and paragraphs.
 """
 
 from __future__ import annotations
@@ -65,7 +66,15 @@ _NAMES = set(
     "newsletter notice notices pager pagination popup promo promoted promotion recommended related replies reply "
     "respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar tooltip widget widgets".split()
 )
+# Parts of a class name that say nothing about what an element holds.
+_NEUTRAL = set(
+    "area articles bar block bottom box button buttons center column container content footer global group header "
+    "icons inner item items left link links list main mobile module outer page panel post posts primary region right "
+    "row secondary section site slot sticky stories the top wrap wrapper".split()
+)
 _HEADER = {"header", "topbar"}
+#: Elements that are text themselves. Inside an article no class rules them out, and an id never does.
+_TEXTUAL = set("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 _ARTICLE = {"article", "main"}
 
 
@@ -86,25 +95,36 @@ class Node:
         return self.children[label]
 
 
-def _attributes(source: str) -> tuple[str, bool]:
+def _named(word: str, names: set[str]) -> bool:
+    """Whether ``word`` (as ``share-buttons``) is made of ``names`` and parts that say nothing."""
+    parts = [p for p in re.split(r"[-_]+", word) if p and not re.fullmatch(r"[0-9]+(x[0-9]+)?", p)]
+    return any(p in names for p in parts) and all(p in names or p in _NEUTRAL for p in parts)
+
+
+def _attributes(source: str, tag: str, inside: bool) -> tuple[str, bool]:
     """Label suffix of an element, and whether its attributes rule it out as content."""
-    names: list[str] = []
+    classes: list[str] = []
+    ids: list[str] = []
     out = False
     for name, a, b, c in _ATTRIBUTE.findall(source):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id"):
-            names += value.split()
+        if name == "class":
+            classes += value.split()
+        elif name == "id":
+            ids += value.split()
         elif name == "role":
             out = out or value.strip() in _ROLES
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             out = True
         elif name == "style":
             out = out or "display:none" in value.replace(" ", "")
-    parts = {part for n in names for part in re.split(r"[-_]", n)}
-    suffix = "." + re.sub(r"[^\w-]", "", names[0]) if names else ""
-    if parts & _NAMES:
-        out = True
-    if parts & _HEADER and not parts & {"article", "entry", "post", "content", "title"}:
+    label = classes or ids
+    suffix = "." + re.sub(r"[^\w-]", "", label[0]) if label else ""
+    textual = tag in _TEXTUAL
+    judged = ([] if textual and inside else classes) + ([] if textual or inside else ids)
+    out = out or any(_named(word, _NAMES) for word in judged)
+    parts = {part for word in judged if _named(word, _HEADER) for part in re.split(r"[-_]", word)}
+    if parts and not parts & {"content", "post"}:
         suffix += "^"  # a page header unless it stands in an article
     return suffix, out
 
@@ -174,8 +194,9 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
         if tag in _IMPLIED:
             close(*_IMPLIED[tag])
         attributes = match.group(3) or match.group(6) or ""
-        suffix, out = _attributes(attributes) if "=" in attributes or "hidden" in attributes else ("", False)
         _, parent, parent_out, inside = stack[-1]
+        stated = "=" in attributes or "hidden" in attributes
+        suffix, out = _attributes(attributes, tag, inside) if stated else ("", False)
         out = out and tag not in ("html", "body")
         header = tag == "header" or suffix.endswith("^")
         out = parent_out or out or tag in _NEVER or (header and not inside)
