@@ -4,6 +4,7 @@ from __future__ import annotations
 
 # Fixed values, stated here again so that a wrong one in the library is found.
 SITE = 3
+PLANTS = range(1, 8)
 PERIOD = ("1996-01-01 00:00:00", "1996-12-31 23:59:59")
 EVENT_PERIOD = ("2024-01-05 06:00:00", "2024-01-12 18:30:00")
 DEFAULT_INSTANT = "2024-01-01 00:00:00"
@@ -72,9 +73,15 @@ JOIN nation n ON n.n_nationkey = sr.s_nationkey
 LEFT JOIN orders mr ON mr.o_orderkey = l.l_orderkey
 LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) f ON f.c_custkey = mr.o_custkey
 """
-STAR_SELECTED = f"""{STAR}
-WHERE l.l_linenumber = {SITE} AND l.l_shipdate BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'
+
+
+def star_selected(site: int) -> str:
+    return f"""{STAR}
+WHERE l.l_linenumber = {site} AND l.l_shipdate BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'
 """
+
+
+STAR_SELECTED = star_selected(SITE)
 CLEAN = """
 SELECT event_id, ts AS time, event_type AS vehicle, concat('user ', user_id) AS driver,
        CAST(floor(value) AS DOUBLE) AS volume, 'A' AS site
@@ -444,7 +451,7 @@ def headings() -> str:
     )
 
 
-def written_report(rows: str) -> str:
+def written_report(rows: str, site: int = SITE) -> str:
     """All rows of a report in long form: section, page, row in the page, and joined texts."""
 
     def part(section: str, sql: str, columns: str, paged_rows: bool = False) -> str:
@@ -459,7 +466,7 @@ def written_report(rows: str) -> str:
     heading_of = "section_title"
     return " UNION ALL ".join(
         [
-            part("header", header(), "title; company; period; brand; generated_by; console_line"),
+            part("header", header(rows, site), "title; company; period; brand; generated_by; console_line"),
             part("kpi_cards", cards(rows), "position; title; value"),
             part("daily_series", trips(rows, points, DAY_TOTALS), f"{day_label}; label; {total}"),
             part(
@@ -521,12 +528,12 @@ def captions(rows: str) -> str:
     )
 
 
-def header() -> str:
+def header(rows: str, plant: int) -> str:
     start, end = (f"TIMESTAMP '{p}'" for p in PERIOD)
-    company = f"coalesce((SELECT max(n_name) FROM nation WHERE n_nationkey = {SITE}), 'Obra {SITE}')"
+    company = f"coalesce((SELECT max(n_name) FROM nation WHERE n_nationkey = {plant}), 'Obra {plant}')"
     site = "(SELECT site FROM t WHERE time IS NOT NULL ORDER BY time, site NULLS FIRST LIMIT 1)"
     return trips(
-        STAR_SELECTED,
+        rows,
         f"""SELECT '{TITLE}' AS title, {company} AS company,
                    'De ' || {dmy(start)} || ' a ' || {dmy(end)} AS period,
                    CASE WHEN {site} = '{PRIMARY_SITE}' THEN 'A' ELSE 'B' END AS brand,
@@ -557,6 +564,9 @@ def all_oracles() -> dict[str, str]:
         "key_check": key_checks(),
         "sink_roundtrip": written_report(STAR_SELECTED),
         "run_report": written_report(STAR_SELECTED),
+        "plant_reports": " UNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS plant, * FROM ({written_report(star_selected(i), i)})" for i in PLANTS
+        ),
         "published_report": f"{written_report(STAR_SELECTED)} UNION ALL {headings()}",
         "filter_site": f"""SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem
                            WHERE l_linenumber = {SITE}""",
@@ -671,7 +681,7 @@ def all_oracles() -> dict[str, str]:
         "format_dates": f"""SELECT event_id, {dmy("ts")} AS date_text, strftime(ts, '%H:%M') AS clock_text,
             strftime(ts, '%Y-%m-%d') AS iso_text FROM events""",
         "section_caption": captions(DIRTY),
-        "report_header": header(),
+        "report_header": header(STAR_SELECTED, SITE),
         "kpi_cards": cards(DIRTY),
         "report_daily_series": trips(
             DIRTY,

@@ -139,7 +139,9 @@ def read_back(spark: SparkSession, written: str) -> DataFrame:
     return long_form(lambda section: spark.read.parquet(f"{written}/{section}"), SECTION_TEXTS)
 
 
-def long_form(read: Callable[[str], DataFrame], texts_of: dict[str, tuple[str, ...]]) -> DataFrame:
+def long_form(
+    read: Callable[[str], DataFrame], texts_of: dict[str, tuple[str, ...]], scope: tuple[str, ...] = ()
+) -> DataFrame:
     parts = []
     for section, columns in texts_of.items():
         rows = read(section)
@@ -148,6 +150,7 @@ def long_form(read: Callable[[str], DataFrame], texts_of: dict[str, tuple[str, .
         paged_rows = "page_no" in rows.columns
         parts.append(
             rows.select(
+                *scope,
                 F.lit(section).alias("section"),
                 (F.col("page_no") if paged_rows else F.lit(0)).cast("bigint").alias("page"),
                 (F.col("row_in_page") if paged_rows else F.lit(0)).cast("bigint").alias("row"),
@@ -185,6 +188,13 @@ def published_report(spark: SparkSession, folder: str) -> DataFrame:
     return long_form(lambda section: read_section(spark, output, section), texts)
 
 
+def plant_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The reports of all plants from one pass, told by plant."""
+    output = fresh_folder(spark, "plants")
+    report.run_plant_reports(star_tables(spark, folder), *PERIOD, output)
+    return long_form(lambda section: read_section(spark, output, section), SECTION_TEXTS, ("plant",))
+
+
 # Filters and cleaning
 
 
@@ -413,6 +423,7 @@ def all_queries() -> dict[str, Query]:
         "sink_roundtrip": sink_roundtrip,
         "run_report": run_report,
         "published_report": published_report,
+        "plant_reports": plant_reports,
         "filter_site": filter_site,
         "filter_period": filter_period,
         "filter_period_by_day": filter_partitions(DayPartitions(("day",)), "timestamp_ntz"),

@@ -1,7 +1,8 @@
 """Headline indicators.
 
 A winner is the smallest ``(-total, key)``: equal totals always give the smallest key, whatever
-order rows arrive in, which ``max_by`` does not promise.
+order rows arrive in, which ``max_by`` does not promise. Each indicator is one row, or one per value of
+the source's scope.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def kpi_summary(source: MeasureSource) -> DataFrame:
     reduced once more. Totals include trips without a time; active days do not.
     """
     on_day, on_vehicle, on_driver = (grain_is(*facet) for facet in FACETS)
-    found = source.grains(*FACETS).agg(
+    found = source.grains(*FACETS).groupBy(*source.scope).agg(
         _volume_over(on_day).alias("total"),
         _over("n_trips", on_day).alias("n_trips"),
         _largest("vehicle", on_vehicle).alias("vehicle"),
@@ -51,6 +52,7 @@ def kpi_summary(source: MeasureSource) -> DataFrame:
         F.count(F.when(on_day, F.col("day"))).alias("active_days"),
     )
     return found.select(
+        *source.scope,
         "total",
         "n_trips",
         titlecase_card(F.col("vehicle")).alias("top_vehicle"),
@@ -63,12 +65,13 @@ def kpi_summary(source: MeasureSource) -> DataFrame:
 
 
 def _top(source: MeasureSource, key: str) -> DataFrame:
-    return source.measures(key).agg(_largest(key, F.lit(True)).alias(key))
+    return source.measures(key).groupBy(*source.scope).agg(_largest(key, F.lit(True)).alias(key))
 
 
 def top_vehicle(source: MeasureSource) -> DataFrame:
     """The vehicle with the largest total, cased for the card; blank if no vehicle is named."""
     return _top(source, "vehicle").select(
+        *source.scope,
         fill_text(F.col("vehicle")).alias("vehicle"),
         titlecase_card(F.col("vehicle")).alias("top_vehicle"),
     )
@@ -77,6 +80,7 @@ def top_vehicle(source: MeasureSource) -> DataFrame:
 def top_driver(source: MeasureSource) -> DataFrame:
     """The raw driver name with the largest total, cased for the card."""
     return _top(source, "driver").select(
+        *source.scope,
         fill_text(F.col("driver")).alias("driver"),
         titlecase_card(F.col("driver")).alias("top_driver"),
     )
@@ -84,33 +88,33 @@ def top_driver(source: MeasureSource) -> DataFrame:
 
 def best_day(source: MeasureSource) -> DataFrame:
     """The day with the largest total, the earliest of equals; null without days."""
-    return _top(source, "day").select(F.col("day").alias("best_day"))
+    return _top(source, "day").select(*source.scope, F.col("day").alias("best_day"))
 
 
 def worst_positive_day(source: MeasureSource) -> DataFrame:
     """The day with the smallest total above zero, the earliest of equals."""
     found = _smallest_positive("day", F.lit(True))
-    return source.measures("day").agg(found.alias("worst_day"))
+    return source.measures("day").groupBy(*source.scope).agg(found.alias("worst_day"))
 
 
 def days_positive(source: MeasureSource) -> DataFrame:
     """Days whose total is above zero."""
     days = source.measures("day").filter(F.col("day").isNotNull() & (F.col("volume") > 0))
-    return days.select("day", F.col("volume").alias("total"))
+    return days.select(*source.scope, "day", F.col("volume").alias("total"))
 
 
 def active_days(source: MeasureSource) -> DataFrame:
     """Number of distinct days with any trip."""
-    return source.measures("day").agg(F.count("day").alias("active_days"))
+    return source.measures("day").groupBy(*source.scope).agg(F.count("day").alias("active_days"))
 
 
 def observed_period(source: MeasureSource) -> DataFrame:
     """Earliest and latest trip time in the data."""
-    return source.measures().select("first_time", "last_time")
+    return source.measures().select(*source.scope, "first_time", "last_time")
 
 
 def first_site(source: MeasureSource) -> DataFrame:
     """Site of the earliest trip; null without trips."""
     entry = F.struct(F.col("first_time").alias("time"), F.col("site").alias("site"))
     timed = F.when(F.col("first_time").isNotNull(), entry)
-    return source.measures("site").agg(F.min(timed)["site"].alias("site"))
+    return source.measures("site").groupBy(*source.scope).agg(F.min(timed)["site"].alias("site"))

@@ -70,7 +70,13 @@ def grain_is(*keys: str) -> Column:
 
 
 class MeasureSource(Protocol):
-    """Anything rollups can be computed from."""
+    """Anything rollups can be computed from.
+
+    ``scope`` names columns that every result is grouped by besides its keys, and carries: with a plant
+    as scope, each rollup, indicator and page number is that of one plant.
+    """
+
+    scope: tuple[str, ...]
 
     def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
         """Measures grouped by ``keys``. Null keys form a group, or with ``blank`` join the group of
@@ -103,22 +109,24 @@ def _with_days(aggregates: list[Column], keys: Sequence[str], days: bool) -> lis
     return [*aggregates, F.bit_or(DAY_SET).alias(DAY_SET)]
 
 
-def _group(rows: DataFrame, keys: Sequence[str], blank: bool, aggregates: list[Column]) -> DataFrame:
+def _group(
+    rows: DataFrame, keys: Sequence[str], blank: bool, aggregates: list[Column], scope: Sequence[str]
+) -> DataFrame:
     by = [fill_text(F.col(k)).alias(k) if blank else F.col(k) for k in keys]
-    return rows.groupBy(*by).agg(*aggregates)
+    return rows.groupBy(*scope, *by).agg(*aggregates)
 
 
 def _group_sets(
-    rows: DataFrame, sets: Sequence[Sequence[str]], aggregates: list[Column]
+    rows: DataFrame, sets: Sequence[Sequence[str]], aggregates: list[Column], scope: Sequence[str]
 ) -> DataFrame:
-    attributes = list(dict.fromkeys(a for keys in sets for a in keys))
+    attributes = list(dict.fromkeys([*scope, *(a for keys in sets for a in keys)]))
     grouped = rows.groupingSets(
-        [[F.col(a) for a in keys] for keys in sets], *[F.col(a) for a in attributes]
+        [[F.col(a) for a in (*scope, *keys)] for keys in sets], *[F.col(a) for a in attributes]
     )
     found = grouped.agg(F.grouping_id().alias("_left_out"), *aggregates)
 
     def left_out(keys: Sequence[str]) -> int:
-        return int("".join("0" if a in keys else "1" for a in attributes), 2)
+        return int("".join("0" if a in scope or a in keys else "1" for a in attributes), 2)
 
     names = [F.when(F.col("_left_out") == left_out(s), grain_name(s)) for s in sets]
     return found.select(F.coalesce(*names).alias("grain"), *attributes, *MEASURES)
@@ -128,7 +136,8 @@ class Trips:
     """Trip rows: any table with the columns named by ``roles``; absent columns count as null
     (a wholly absent volume as zero)."""
 
-    def __init__(self, df: DataFrame, roles: Roles = Roles()):
+    def __init__(self, df: DataFrame, roles: Roles = Roles(), scope: Sequence[str] = ()):
+        self.scope = tuple(scope)
         text = (roles.vehicle, roles.driver, roles.site)
         absent = {c: F.lit(None).cast("string") for c in text}
         absent[roles.time] = F.lit(None).cast("timestamp_ntz")
@@ -142,14 +151,15 @@ class Trips:
             F.col(roles.driver).cast("string").alias("driver"),
             number_or_null(full, roles.volume).alias("volume"),
             F.col(roles.site).cast("string").alias("site"),
+            *[F.col(c) for c in self.scope],
         )
 
     def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
         rows = self.rows.withColumns(_day_columns(F.col("volume") > 0)) if "month" in keys else self.rows
-        return _group(rows, keys, blank, _with_days(row_measures(), keys, days))
+        return _group(rows, keys, blank, _with_days(row_measures(), keys, days), self.scope)
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
-        return _group_sets(self.rows, sets, row_measures())
+        return _group_sets(self.rows, sets, row_measures(), self.scope)
 
 
 class TripCube:
@@ -158,15 +168,16 @@ class TripCube:
     Rows by day have sets of days too; rows by month have those they were stored with.
     """
 
-    def __init__(self, rows: DataFrame):
+    def __init__(self, rows: DataFrame, scope: Sequence[str] = ()):
+        self.scope = tuple(scope)
         by_month = "month" in rows.columns or "day" not in rows.columns
         self.rows = rows if by_month else rows.withColumns(_day_columns(F.col("n_positive") > 0))
 
     def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
-        return _group(self.rows, keys, blank, _with_days(merged_measures(), keys, days))
+        return _group(self.rows, keys, blank, _with_days(merged_measures(), keys, days), self.scope)
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
-        return _group_sets(self.rows, sets, merged_measures())
+        return _group_sets(self.rows, sets, merged_measures(), self.scope)
 
 
 class TripSummary:
@@ -181,6 +192,7 @@ class TripSummary:
     is_staged = True
 
     def __init__(self, source: MeasureSource):
+        self.scope = source.scope
         self.fine = staged(source.grains(*REPORT_GRAINS), partition_by="grain")
         totals = [self._total(*facet) for facet in FACETS]
         self.totals = staged(reduce(DataFrame.unionByName, totals), partition_by="grain")
@@ -193,21 +205,21 @@ class TripSummary:
 
     def _total(self, key: str) -> DataFrame:
         """Totals of one facet, in columns for all of them."""
-        grouped = _group(self._fine_rows([key]), [key], False, merged_measures())
+        grouped = _group(self._fine_rows([key]), [key], False, merged_measures(), self.scope)
         kinds = {f.name: f.dataType for f in self.fine.schema}
         columns = [
             F.col(a) if a == key else F.lit(None).cast(kinds[a]).alias(a) for (a,) in FACETS
         ]
-        return grouped.select(F.lit(key).alias("grain"), *columns, *MEASURES)
+        return grouped.select(F.lit(key).alias("grain"), *self.scope, *columns, *MEASURES)
 
     def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
         if "month" in keys:
             by_day = [k for k in keys if k != "month"] + ["day"]
-            return TripCube(self._fine_rows(by_day)).measures(*keys, blank=blank, days=days)
+            return TripCube(self._fine_rows(by_day), self.scope).measures(*keys, blank=blank, days=days)
         facet = keys or FACETS[0]
         whole = facet in FACETS
         rows = self.totals.filter(grain_is(*facet)) if whole else self._fine_rows(keys)
-        return _group(rows, keys, blank, merged_measures())
+        return _group(rows, keys, blank, merged_measures(), self.scope)
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
         if not all(tuple(keys) in FACETS for keys in sets):

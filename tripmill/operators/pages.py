@@ -86,15 +86,23 @@ def ranked(rows: DataFrame, order: Sequence[Column], buckets: int = BUCKETS) ->
 
 
 def with_pages(
-    rows: DataFrame, order: Sequence[Column], page_size: int, buckets: int = BUCKETS
+    rows: DataFrame, order: Sequence[Column], page_size: int, buckets: int = BUCKETS, scope: Sequence[str] = ()
 ) -> DataFrame:
-    """Split staged rows into pages: adds ``page_no`` and ``row_in_page``, both from 1."""
+    """Split staged rows into pages: adds ``page_no`` and ``row_in_page``, both from 1.
+
+    With a ``scope``, whose columns are never null, each of its values has pages of its own: all rows are
+    ranked together by scope and ``order``, and ranks count from the first of their scope.
+    """
+    numbered = ranked(rows, [*[F.col(c) for c in scope], *order], buckets)
     zero_based = F.col("rank") - 1
+    if scope:
+        firsts = numbered.groupBy(*scope).agg(F.min("rank").alias("_first"))
+        numbered = numbered.join(firsts, list(scope))
+        zero_based = F.col("rank") - F.col("_first")
     return (
-        ranked(rows, order, buckets)
-        .withColumn("page_no", F.floor(zero_based / page_size) + 1)
+        numbered.withColumn("page_no", F.floor(zero_based / page_size) + 1)
         .withColumn("row_in_page", zero_based % page_size + 1)
-        .drop("rank")
+        .drop("rank", "_first")
     )
 
 

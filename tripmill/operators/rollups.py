@@ -40,7 +40,7 @@ def daily_rollup(source: MeasureSource) -> DataFrame:
     """
     per_vehicle = source.measures("day", "vehicle").filter(F.col("day").isNotNull())
     stripped = per_vehicle.withColumn("vehicle", strip(F.col("vehicle")))
-    days = stripped.groupBy("day").agg(
+    days = stripped.groupBy(*source.scope, "day").agg(
         *merged_measures(), vehicle_list(F.col("vehicle")).alias("vehicles")
     )
     return days.select("*", *_rounded("n_trips"))
@@ -50,12 +50,12 @@ def daily_vehicles(source: MeasureSource) -> DataFrame:
     """One row per day and vehicle seen, with the trips: the daily list at any number of vehicles."""
     per_vehicle = source.measures("day", "vehicle").filter(F.col("day").isNotNull())
     named = per_vehicle.withColumn("vehicle", strip(F.col("vehicle"))).filter(F.col("vehicle") != "")
-    return named.groupBy("day", "vehicle").agg(F.sum("n_trips").alias("n_trips"))
+    return named.groupBy(*source.scope, "day", "vehicle").agg(F.sum("n_trips").alias("n_trips"))
 
 
 def daily_vehicle_lists(source: MeasureSource) -> DataFrame:
     """The vehicles seen on each day."""
-    return daily_rollup(source).select("day", "vehicles")
+    return daily_rollup(source).select(*source.scope, "day", "vehicles")
 
 
 def vehicle_rollup(source: MeasureSource) -> DataFrame:
@@ -85,9 +85,9 @@ def driver_rollup(source: MeasureSource) -> DataFrame:
     """
     labelled = driver_months(source).withColumn("driver", driver_label_table(F.col("driver")))
     # Both groupings below find their rows together already.
-    per_month = labelled.repartition("driver").groupBy("driver", "month")
+    per_month = labelled.repartition(*source.scope, "driver").groupBy(*source.scope, "driver", "month")
     merged = per_month.agg(*merged_measures(), F.bit_or(DAY_SET).alias(DAY_SET))
-    drivers = merged.groupBy("driver").agg(*merged_measures(), F.sum(n_days(F.col(DAY_SET))).alias("active_days"))
+    drivers = merged.groupBy(*source.scope, "driver").agg(*merged_measures(), F.sum(n_days(F.col(DAY_SET))).alias("active_days"))
     # The mean per day divides the rounded total, and is rounded again.
     mean_per_day = round2(safe_divide(F.col("total"), F.col("active_days")))
     return drivers.select("*", *_rounded("n_loads")).withColumn("mean_per_day", mean_per_day)
@@ -96,7 +96,7 @@ def driver_rollup(source: MeasureSource) -> DataFrame:
 def driver_active_days(source: MeasureSource) -> DataFrame:
     """Days with a load above zero, per driver label that has such a load."""
     loaded = driver_rollup(source).filter(F.col("n_positive") > 0)
-    return loaded.select("driver", "active_days")
+    return loaded.select(*source.scope, "driver", "active_days")
 
 
 def largest_first(rollup: DataFrame, key: str) -> DataFrame:

@@ -14,12 +14,13 @@ from tripmill.operators.measures import MeasureSource
 def daily_series(source: MeasureSource) -> DataFrame:
     """Total per day in date order; days without trips are not filled in."""
     days = source.measures("day").filter(F.col("day").isNotNull())
-    return days.select("day", F.col("volume").alias("total")).orderBy("day")
+    return days.select(*source.scope, "day", F.col("volume").alias("total")).orderBy(*source.scope, "day")
 
 
 def daily_points(source: MeasureSource) -> DataFrame:
     """:func:`daily_series` with the texts shown at each point."""
     return daily_series(source).select(
+        *source.scope,
         "day",
         "total",
         point_label(F.col("total")).alias("label"),
@@ -30,8 +31,8 @@ def daily_points(source: MeasureSource) -> DataFrame:
 def vehicle_series(source: MeasureSource) -> DataFrame:
     """Total per vehicle, largest first; null vehicles are left out, blank ones are not."""
     vehicles = source.measures("vehicle").filter(F.col("vehicle").isNotNull())
-    return vehicles.select("vehicle", F.col("volume").alias("total")).orderBy(
-        F.desc("total"), "vehicle"
+    return vehicles.select(*source.scope, "vehicle", F.col("volume").alias("total")).orderBy(
+        *source.scope, F.desc("total"), "vehicle"
     )
 
 
@@ -41,8 +42,9 @@ def driver_series(source: MeasureSource) -> DataFrame:
     Spelling variants of a name therefore stay separate rows and may carry equal labels.
     """
     # Sorted before labelling: a range sort samples its input, and would compute labels twice.
-    drivers = source.measures("driver", blank=True).orderBy(F.desc("volume"), "driver")
+    drivers = source.measures("driver", blank=True).orderBy(*source.scope, F.desc("volume"), "driver")
     return drivers.select(
+        *source.scope,
         F.col("driver").alias("driver_raw"),
         driver_label_series(F.col("driver")).alias("label"),
         F.col("volume").alias("total"),
@@ -52,5 +54,6 @@ def driver_series(source: MeasureSource) -> DataFrame:
 def driver_bars(source: MeasureSource) -> DataFrame:
     """:func:`driver_series` with the label wrapped for the axis."""
     return driver_series(source).select(
+        *source.scope,
         "driver_raw", "label", wrap_label(F.col("label")).alias("label_wrapped"), "total"
     )

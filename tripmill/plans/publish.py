@@ -41,7 +41,9 @@ def version_folder(output: str, version: str) -> str:
     return f"{output}/versions/{version}"
 
 
-def publish_report(sections: Mapping[str, DataFrame], output: str, fmt: str = "parquet") -> str:
+def publish_report(
+    sections: Mapping[str, DataFrame], output: str, fmt: str = "parquet", partition_by: str | None = None
+) -> str:
     """Write all sections, then publish them together; returns the folder of this version.
 
     Where two runs publish at once, both versions are whole and the later row counts; rows of one sequence
@@ -51,7 +53,7 @@ def publish_report(sections: Mapping[str, DataFrame], output: str, fmt: str = "p
         raise ValueError("a report has at least one section")
     spark = next(iter(sections.values())).sparkSession
     version = uuid.uuid4().hex
-    folder = write_report(sections, version_folder(output, version), fmt)
+    folder = write_report(sections, version_folder(output, version), fmt, partition_by=partition_by)
     before = current(spark, output)
     row = [((before.sequence if before else 0) + 1, version, fmt, sorted(sections))]
     named = spark.createDataFrame(row, MANIFEST.rsplit(", ", 1)[0]).withColumn("published_at", F.current_timestamp())

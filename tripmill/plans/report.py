@@ -5,8 +5,8 @@ Layout and drawing are not part of this library; each section is the data behind
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +32,7 @@ from tripmill.operators.series import daily_points, driver_bars, vehicle_series
 from tripmill.plans.publish import publish_report
 from tripmill.plans.staging import staged, staging_run
 from tripmill.plans.writing import DEFAULT_OUTPUT, write_report
-from tripmill.sources.lookup import brand, site_name
+from tripmill.sources.lookup import brand, site_name, site_names
 from tripmill.sources.star import StarTables
 
 # Report texts, page sizes, and the site that carries the first brand.
@@ -107,7 +107,7 @@ def kpi_cards(source: MeasureSource) -> DataFrame:
         F.struct(F.lit(i).alias("position"), F.lit(title).alias("title"), text.alias("value"))
         for i, (title, text) in enumerate(zip(CARD_TITLES, texts, strict=True), start=1)
     ]
-    return k.select(F.inline(F.array(*cards)))
+    return k.select(*source.scope, F.inline(F.array(*cards)))
 
 
 def section_captions(source: MeasureSource) -> DataFrame:
@@ -119,7 +119,7 @@ def section_captions(source: MeasureSource) -> DataFrame:
         )
         for section, title in SECTION_TITLES.items()
     ]
-    return observed_period(source).select(F.inline(F.array(*captions)))
+    return observed_period(source).select(*source.scope, F.inline(F.array(*captions)))
 
 
 def headings(spark: SparkSession) -> DataFrame:
@@ -151,8 +151,9 @@ def section_status(source: MeasureSource) -> DataFrame:
         F.when(grain_is("driver"), F.struct(F.lit("raw_driver").alias("kind"), fill_text(driver).alias("key"))),
         F.when(grain_is("driver"), F.struct(F.lit("driver").alias("kind"), driver_label_table(driver).alias("key"))),
     )
-    shown_keys = source.grains(*FACETS).select(F.explode(F.array_compact(shown)).alias("shown"))
-    distinct = shown_keys.select("shown.kind", "shown.key").distinct()
+    scope = source.scope
+    shown_keys = source.grains(*FACETS).select(*scope, F.explode(F.array_compact(shown)).alias("shown"))
+    distinct = shown_keys.select(*scope, "shown.kind", "shown.key").distinct()
     rows = {
         "daily_series": "day",
         "daily_table": "day",
@@ -161,7 +162,7 @@ def section_status(source: MeasureSource) -> DataFrame:
         "driver_series": "raw_driver",
         "driver_table": "driver",
     }
-    counted = distinct.agg(
+    counted = distinct.groupBy(*scope).agg(
         *[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in sorted(set(rows.values()))]
     )
     emptied_by = rows | {"vehicle_series": "vehicle"}
@@ -176,15 +177,21 @@ def section_status(source: MeasureSource) -> DataFrame:
         )
         for section, kind in rows.items()
     ]
-    return counted.select(F.inline(F.array(*statuses)))
+    return counted.select(*scope, F.inline(F.array(*statuses)))
 
 
-def _titled(pages: DataFrame, rollup: DataFrame, section: str) -> DataFrame:
-    """Add the heading of each page; pages after the first are marked as continued."""
+def _paged(rollup: DataFrame, source: MeasureSource, order: list[Column], size: int, section: str) -> DataFrame:
+    """Pages of a rollup with their headings; pages after the first are marked as continued."""
     span = span_text(F.min("first_time"), F.max("last_time"), ": de")
+    pages = with_pages(rollup, order, size, scope=source.scope)
+    if source.scope:
+        spans = rollup.groupBy(*source.scope).agg(span.alias("_span"))
+        pages, shown = pages.join(spans, list(source.scope)), F.col("_span")
+    else:
+        shown = rollup.agg(span).scalar()
     title = SECTION_TITLES[section]
     lead = F.when(F.col("page_no") == 1, title).otherwise(f"{title} (continuação)")
-    return pages.withColumn("section_title", F.concat(lead, rollup.agg(span).scalar()))
+    return pages.withColumn("section_title", F.concat(lead, shown))
 
 
 def _once(rollup: DataFrame, source: MeasureSource) -> DataFrame:
@@ -195,8 +202,9 @@ def _once(rollup: DataFrame, source: MeasureSource) -> DataFrame:
 def daily_table(source: MeasureSource, page_size: int = DAILY_PAGE) -> DataFrame:
     """Display rows per day, in date order."""
     rollup = _once(daily_rollup(source), source)
-    pages = with_pages(rollup, [F.col("day")], page_size)
-    return _titled(pages, rollup, "daily_table").select(
+    pages = _paged(rollup, source, [F.col("day")], page_size, "daily_table")
+    return pages.select(
+        *source.scope,
         date_text(F.col("day")).alias("data"),
         dash_if_blank(F.col("vehicles")).alias("caminhoes"),
         F.col("n_trips").cast("string").alias("n_viagens"),
@@ -213,8 +221,9 @@ def daily_table(source: MeasureSource, page_size: int = DAILY_PAGE) -> DataFrame
 def vehicle_table(source: MeasureSource, page_size: int = VEHICLE_PAGE) -> DataFrame:
     """Display rows per vehicle, largest total first; names are shown as they are stored."""
     rollup = _once(vehicle_rollup(source), source)
-    pages = with_pages(rollup, [-F.col("volume"), F.col("vehicle")], page_size)
-    return _titled(pages, rollup, "vehicle_table").select(
+    pages = _paged(rollup, source, [-F.col("volume"), F.col("vehicle")], page_size, "vehicle_table")
+    return pages.select(
+        *source.scope,
         F.col("vehicle").alias("caminhao"),
         F.col("n_loads").cast("string").alias("n_viagens"),
         number_text(F.col("total")).alias("total"),
@@ -228,8 +237,9 @@ def vehicle_table(source: MeasureSource, page_size: int = VEHICLE_PAGE) -> DataF
 def driver_table(source: MeasureSource, page_size: int = DRIVER_PAGE) -> DataFrame:
     """Display rows per driver label, largest total first."""
     rollup = _once(driver_rollup(source), source)
-    pages = with_pages(rollup, [-F.col("volume"), F.col("driver")], page_size)
-    return _titled(pages, rollup, "driver_table").select(
+    pages = _paged(rollup, source, [-F.col("volume"), F.col("driver")], page_size, "driver_table")
+    return pages.select(
+        *source.scope,
         F.col("driver").alias("motorista"),
         F.col("n_loads").cast("string").alias("n_viagens"),
         number_text(F.col("total")).alias("total"),
@@ -246,7 +256,7 @@ class Cover:
     """What the cover states besides the trips themselves."""
 
     sites: DataFrame
-    site: int
+    site: int | None
     start: str | datetime | Column | None = None
     end: str | datetime | Column | None = None
     id_column: str = "id"
@@ -256,6 +266,12 @@ class Cover:
     primary_sites: tuple[str, ...] = field(default=PRIMARY_SITES)
 
 
+def _console_line(company: Column, start: Column, end: Column) -> Column:
+    return F.concat(
+        F.lit("Relatório: "), company, F.lit(" | Período: "), instant_text(start), F.lit(" a "), instant_text(end)
+    )
+
+
 def report_header(source: MeasureSource, cover: Cover, *, stamped: bool = True) -> DataFrame:
     """The cover in one row: title, company, period, brand, origin, console line and stamp.
 
@@ -265,14 +281,6 @@ def report_header(source: MeasureSource, cover: Cover, *, stamped: bool = True)
     company = site_name(cover.sites, cover.site, cover.id_column, cover.name_column).scalar()
     none = F.lit(None).cast("timestamp_ntz")
     start, end = (none if p is None else instant(p) for p in (cover.start, cover.end))
-    line = F.concat(
-        F.lit("Relatório: "),
-        F.col("company"),
-        F.lit(" | Período: "),
-        instant_text(start),
-        F.lit(" a "),
-        instant_text(end),
-    )
     header = first_site(source).select(
         F.lit(cover.title).alias("title"),
         company.alias("company"),
@@ -280,18 +288,34 @@ def report_header(source: MeasureSource, cover: Cover, *, stamped: bool = True)
         brand(F.col("site"), cover.primary_sites).alias("brand"),
         F.lit(cover.generated_by).alias("generated_by"),
     )
-    header = header.withColumn("console_line", line)
+    header = header.withColumn("console_line", _console_line(F.col("company"), start, end))
     return header.withColumn("generated_at", generation_stamp()) if stamped else header
 
 
-def build_report(source: MeasureSource, cover: Cover) -> dict[str, DataFrame]:
-    """All sections in report order.
+def plant_headers(source: MeasureSource, cover: Cover) -> DataFrame:
+    """The covers of all plants of a source whose scope is the plant; see :func:`report_header`."""
+    (plant,) = source.scope
+    names = site_names(cover.sites, cover.id_column, cover.name_column)
+    first = first_site(source)
+    named = first.join(names, F.col(plant) == F.col("id"), "left").withColumn(
+        "company", F.coalesce("name", F.concat(F.lit("Obra "), F.col(plant).cast("string")))
+    )
+    none = F.lit(None).cast("timestamp_ntz")
+    start, end = (none if p is None else instant(p) for p in (cover.start, cover.end))
+    return named.select(
+        plant,
+        F.lit(cover.title).alias("title"),
+        "company",
+        span_text(start, end).alias("period"),
+        brand(F.col("site"), cover.primary_sites).alias("brand"),
+        F.lit(cover.generated_by).alias("generated_by"),
+        _console_line(F.col("company"), start, end).alias("console_line"),
+        generation_stamp().alias("generated_at"),
+    )
 
-    The source is read once, into a staged summary from which every section is computed.
-    """
-    summary = TripSummary(source)
+
+def _sections(summary: TripSummary) -> dict[str, DataFrame]:
     return {
-        "header": report_header(summary, cover),
         "kpi_cards": kpi_cards(summary),
         "daily_series": daily_points(summary),
         "daily_table": daily_table(summary),
@@ -305,6 +329,29 @@ def build_report(source: MeasureSource, cover: Cover) -> dict[str, DataFrame]:
     }
 
 
+def build_report(source: MeasureSource, cover: Cover) -> dict[str, DataFrame]:
+    """All sections in report order.
+
+    The source is read once, into a staged summary from which every section is computed. If its scope is
+    the plant, each section but the headings holds the rows of all plants, told by that column; plants
+    without trips have none.
+    """
+    summary = TripSummary(source)
+    header = plant_headers if source.scope else report_header
+    return {"header": header(summary, cover), **_sections(summary)}
+
+
+def _cover(star: StarTables, site: int | None, start: str | None, end: str | None) -> Cover:
+    month = default_period(instant(datetime.now()))
+    first, last = (
+        parse_instant(F.lit(text).cast("string"), default)
+        for text, default in zip((start, end), month, strict=True)
+    )
+    return Cover(
+        star.sites, site, first, last, id_column=star.columns.site_id, name_column=star.columns.site_name
+    )
+
+
 def run_report(
     star: StarTables,
     site: int,
@@ -320,19 +367,28 @@ def run_report(
     tables are removed once the report is written. The report replaces that in ``output`` when it is
     complete; the folder of this version is returned, and ``publish.read_section`` finds the latest.
     """
-    month = default_period(instant(datetime.now()))
-    first, last = (
-        parse_instant(F.lit(text).cast("string"), default)
-        for text, default in zip((start, end), month, strict=True)
-    )
-    cover = Cover(
-        star.sites,
-        site,
-        first,
-        last,
-        id_column=star.columns.site_id,
-        name_column=star.columns.site_name,
-    )
+    cover = _cover(star, site, start, end)
     with staging_run(star.loads.sparkSession):
-        sections = build_report(star.cube(site, first, last), cover)
+        sections = build_report(star.cube(site, cover.start, cover.end), cover)
         return publish_report(sections, output or DEFAULT_OUTPUT, fmt)
+
+
+def run_plant_reports(
+    star: StarTables,
+    start: str | None = None,
+    end: str | None = None,
+    output: str | None = None,
+    fmt: str = "parquet",
+    plants: Sequence[int] | None = None,
+) -> str:
+    """Write the reports of all plants, or of ``plants``, from one pass over the loads.
+
+    Every section is partitioned by ``plant``, so the report of one plant is a folder of each; all are
+    published together. Otherwise as :func:`run_report`.
+    """
+    cover = _cover(star, None, start, end)
+    if plants is not None:
+        star = replace(star, loads=star.loads.filter(F.col(star.columns.plant).isin(*plants)))
+    with staging_run(star.loads.sparkSession):
+        sections = build_report(star.cube(None, cover.start, cover.end, by_plant=True), cover)
+        return publish_report(sections, output or DEFAULT_OUTPUT, fmt, partition_by="plant")

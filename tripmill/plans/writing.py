@@ -14,15 +14,22 @@ WRITERS = 4
 
 
 def write_report(
-    sections: Mapping[str, DataFrame], output: str = DEFAULT_OUTPUT, fmt: str = "parquet", writers: int = WRITERS
+    sections: Mapping[str, DataFrame],
+    output: str = DEFAULT_OUTPUT,
+    fmt: str = "parquet",
+    writers: int = WRITERS,
+    partition_by: str | None = None,
 ) -> str:
     """Write every section to its own folder under ``output`` and return that path.
 
-    If a section fails, those already begun are still written, and the first failure is raised.
+    Sections with the column ``partition_by`` get a folder per value of it. If a section fails, those already begun are still written, and the first failure is raised.
     """
 
     def write(name: str) -> None:
-        sections[name].write.mode("overwrite").format(fmt).save(f"{output}/{name}")
+        writer = sections[name].write.mode("overwrite").format(fmt)
+        if partition_by in sections[name].columns:
+            writer = writer.partitionBy(partition_by)
+        writer.save(f"{output}/{name}")
 
     session = next((section.sparkSession for section in sections.values()), None)
     with ThreadPoolExecutor(max_workers=max(1, writers)) as pool:

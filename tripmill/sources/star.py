@@ -256,22 +256,28 @@ class StarTables:
         end: str | datetime | Column | None = None,
         *,
         keys: Sequence[str] = ("day", "vehicle", "driver", "site"),
+        by_plant: bool = False,
     ) -> TripCube:
         """Measures of the selected loads with the attributes in ``keys``, aggregated before the
-        joins."""
+        joins. With ``by_plant`` they are kept apart by the loads' own plant code, the cube's scope;
+        loads without one are left out."""
         c = self.columns
         rows = self.selected_loads(site, start, end)
         need_driver = "driver" in keys or not self.unique_drivers
         ids = [c.tag, c.reader] + ([c.driver] if need_driver else [])
         time = time_or_null(rows, c.time)
+        scope = ("plant",) if by_plant else ()
+        if by_plant:
+            rows = rows.filter(F.col(c.plant).isNotNull())
         canonical = rows.select(
             *ids,
+            *[F.col(c.plant).alias(s) for s in scope],
             time.alias("time"),
             number_or_null(rows, c.volume).alias("volume"),
             F.to_date(time).alias("day"),
         )
-        by = [*ids, "day"] if "day" in keys else ids
+        by = [*ids, *scope, *(["day"] if "day" in keys else [])]
         cube = self.with_site(self.with_vehicle(canonical.groupBy(*by).agg(*row_measures())))
         if need_driver:
             cube = self.with_driver(cube)
-        return TripCube(cube.select(*keys, *MEASURES))
+        return TripCube(cube.select(*scope, *keys, *MEASURES), scope)
