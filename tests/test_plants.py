@@ -34,7 +34,7 @@ def test_each_plant_as_a_report_of_its_own(spark, published, tmp_path, plant):
 
 def test_sections_are_laid_out_by_plant(spark, published):
     row = current(spark, published)
-    assert set(row.sections) == {*SECTION_TEXTS, "headings"}
+    assert set(row.sections) == {*SECTION_TEXTS, "headings", "input_checks"}
     cards = read_section(spark, published, "kpi_cards").where("plant = 2")
     assert "PartitionFilters: [isnotnull(plant), (plant = 2)]" in plan(cards)
     assert cards.count() == 6
@@ -97,6 +97,8 @@ def test_every_operator_carries_the_scope(spark):
         series.daily_points,
         series.vehicle_series,
         series.driver_bars,
+        kpis.input_checks,
+        rollups.daily_vehicle_chunks,
         report.section_status,
         report.section_captions,
     ]

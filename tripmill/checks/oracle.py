@@ -516,6 +516,35 @@ def key_checks() -> str:
     )
 
 
+def input_checks() -> str:
+    counts = {
+        "trips": "true",
+        "times_unreadable": "false",
+        "times_missing": "time IS NULL",
+        "volumes_unreadable": f"volume IS NOT NULL AND ({number('volume')}) IS NULL OR lower(volume) = 'nan'",
+        "volumes_missing": "volume IS NULL",
+        "vehicles_without_name": "coalesce(trim(vehicle), '') = ''",
+        "drivers_without_name": "coalesce(trim(driver), '') = ''",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{check}' AS check, count(*) AS n FROM ({DIRTY}) WHERE {condition}" for check, condition in counts.items()
+    )
+
+
+def match_checks() -> str:
+    return """
+      SELECT 'vehicles' AS dimension, count(*) AS n_loads, CAST(0 AS BIGINT) AS n_without_id,
+             count(*) FILTER (WHERE l_partkey % 5 = 0 OR p_partkey IS NULL) AS n_unmatched
+      FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
+      UNION ALL
+      SELECT 'readers', count(*), 0, count(*) FILTER (WHERE l_suppkey % 5 = 0 OR s_suppkey IS NULL)
+      FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey
+      UNION ALL
+      SELECT 'drivers', count(*), count(*) FILTER (WHERE l_orderkey % 3 = 0),
+             count(*) FILTER (WHERE l_orderkey % 3 <> 0 AND o_orderkey IS NULL)
+      FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey"""
+
+
 def captions(rows: str) -> str:
     return trips(
         rows,
@@ -622,6 +651,15 @@ def all_oracles() -> dict[str, str]:
             """SELECT day, trim(vehicle) AS vehicle, count(*) AS n_trips FROM t
                WHERE day IS NOT NULL AND trim(vehicle) <> '' GROUP BY ALL""",
         ),
+        "input_checks": input_checks(),
+        "match_check": match_checks(),
+        "daily_vehicle_chunks": trips(
+            DIRTY,
+            """SELECT day, place // 3 + 1 AS chunk, count(*) AS n_vehicles, string_agg(name, ', ' ORDER BY place) AS vehicles
+               FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY lower(name), name) - 1 AS place
+                     FROM (SELECT DISTINCT day, trim(vehicle) AS name FROM t WHERE day IS NOT NULL AND trim(vehicle) <> ''))
+               GROUP BY ALL""",
+        ),
         "daily_vehicle_list": trips(DIRTY, "SELECT day, vehicles FROM days", DAYS),
         "vehicle_production": vehicle(STAR),
         "vehicle_production_cube": vehicle(STAR),

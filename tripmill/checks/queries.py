@@ -295,6 +295,16 @@ def key_check(spark: SparkSession, folder: str) -> DataFrame:
     return star_tables(spark, folder).key_check()
 
 
+def match_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads without a driver id, and tags and readers of which every fifth is unknown."""
+    star = anonymous_star(spark, folder)
+    return replace(
+        star,
+        vehicles=star.vehicles.filter(F.col("p_partkey") % 5 != 0),
+        readers=star.readers.filter(F.col("s_suppkey") % 5 != 0),
+    ).match_check()
+
+
 def join_driver_nulls(spark: SparkSession, folder: str) -> DataFrame:
     star = anonymous_star(spark, folder)
     return star.with_driver(star.loads).select("l_orderkey", "l_linenumber", "entry", "driver")
@@ -458,6 +468,7 @@ def all_queries() -> dict[str, Query]:
         "daily_production_dirty": _over(dirty, rollups.daily_rollup, *DAILY),
         "daily_production_cube": _over(_star_cube("day", "vehicle"), rollups.daily_rollup, *DAILY),
         "daily_vehicle_rows": _over(dirty, rollups.daily_vehicles),
+        "daily_vehicle_chunks": _over(dirty, lambda source: rollups.daily_vehicle_chunks(source, 3)),
         "daily_vehicle_list": _over(dirty, rollups.daily_vehicle_lists),
         "vehicle_production": _over(loads, rollups.vehicle_rollup, *VEHICLE),
         "vehicle_production_cube": _over(
@@ -481,6 +492,8 @@ def all_queries() -> dict[str, Query]:
         "exact_daily_totals": _over(fractional_trips, series.daily_series),
         "exact_vehicle_totals": _over(fractional_cube, series.vehicle_series),
         "exact_driver_ranking": exact_ranking(fractional_trips),
+        "input_checks": _over(dirty, kpis.input_checks),
+        "match_check": match_check,
         "observed_period": _over(dirty, kpis.observed_period),
         "days_positive": _over(dirty, kpis.days_positive),
         "top_vehicle": _over(dirty, kpis.top_vehicle),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.numbers import safe_divide
-from tripmill.functions.text import fill_text, titlecase_card
+from tripmill.functions.text import fill_text, strip, titlecase_card
 from tripmill.operators import exact
 from tripmill.operators.measures import FACETS, MeasureSource, grain_is
 
@@ -64,6 +64,31 @@ def kpi_summary(source: MeasureSource) -> DataFrame:
     )
 
 
+def input_checks(source: MeasureSource) -> DataFrame:
+    """What was repaired or left out on the way to the totals, as rows of ``check`` and ``n``.
+
+    Counted in the pass that makes the measures, as measures themselves, so a task that runs twice does not
+    count twice. A time or volume is unreadable if something was written, and missing if nothing was.
+    """
+    on_day, on_vehicle, on_driver = (grain_is(*facet) for facet in FACETS)
+
+    def nameless(key: str) -> Column:
+        return F.coalesce(strip(F.col(key)), F.lit("")) == ""
+
+    counts = {
+        "trips": _over("n_trips", on_day),
+        "times_unreadable": _over("n_bad_times", on_day),
+        "times_missing": _over("n_trips", on_day & F.col("day").isNull()) - _over("n_bad_times", on_day),
+        "volumes_unreadable": _over("n_bad_volumes", on_day),
+        "volumes_missing": _over("n_trips", on_day) - _over("n_loads", on_day) - _over("n_bad_volumes", on_day),
+        "vehicles_without_name": _over("n_trips", on_vehicle & nameless("vehicle")),
+        "drivers_without_name": _over("n_trips", on_driver & nameless("driver")),
+    }
+    found = source.grains(*FACETS).groupBy(*source.scope).agg(*[n.alias(check) for check, n in counts.items()])
+    rows = [F.struct(F.lit(check).alias("check"), F.col(check).alias("n")) for check in counts]
+    return found.select(*source.scope, F.inline(F.array(*rows)))
+
+
 def _top(source: MeasureSource, key: str) -> DataFrame:
     return source.measures(key).groupBy(*source.scope).agg(_largest(key, F.lit(True)).alias(key))
 

@@ -24,7 +24,7 @@ from tripmill.operators import exact
 from tripmill.plans.staging import staged
 from tripmill.schema import Roles, ensure_columns
 
-COUNTS = ("n_trips", "n_loads", "n_positive")
+COUNTS = ("n_trips", "n_loads", "n_positive", "n_bad_times", "n_bad_volumes")
 MEASURES = (*COUNTS, "volume", *exact.LIMBS, "first_time", "last_time")
 FACETS = (("day",), ("vehicle",), ("driver",))
 REPORT_GRAINS = (("day", "vehicle"), ("day", "driver"), ("site",))
@@ -38,18 +38,25 @@ def _volume(limbs: Sequence[Column]) -> list[Column]:
 
 def row_measures() -> list[Column]:
     """Measures of trip rows: all trips, trips with a numeric volume, trips with a volume above
-    zero, summed volume and the time span."""
+    zero, times and volumes that are there but cannot be read, summed volume and the time span."""
     volume = F.col("volume")
     return [
         F.count(F.lit(1)).alias("n_trips"),
         F.count(volume).alias("n_loads"),
         F.count(F.when(volume > 0, 1)).alias("n_positive"),
+        F.count(F.when(F.col("bad_time"), 1)).alias("n_bad_times"),
+        F.count(F.when(F.col("bad_volume"), 1)).alias("n_bad_volumes"),
         *_volume(exact.limbs(volume)),
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
     ]
 
 
+def unreadable(raw: Column, value: Column) -> Column:
+    """True where something was written that has no value."""
+    return raw.isNotNull() & value.isNull()
+
+
 def merged_measures() -> list[Column]:
     """The same measures, from rows that already hold them."""
     return [
@@ -143,13 +150,15 @@ class Trips:
         absent[roles.time] = F.lit(None).cast("timestamp_ntz")
         absent[roles.volume] = F.lit(0.0)
         full = ensure_columns(df, absent)
-        time = time_or_null(full, roles.time)
+        time, volume = time_or_null(full, roles.time), number_or_null(full, roles.volume)
         self.rows = full.select(
             time.alias("time"),
             F.to_date(time).alias("day"),
             F.col(roles.vehicle).cast("string").alias("vehicle"),
             F.col(roles.driver).cast("string").alias("driver"),
-            number_or_null(full, roles.volume).alias("volume"),
+            volume.alias("volume"),
+            unreadable(F.col(roles.time), time).alias("bad_time"),
+            unreadable(F.col(roles.volume), volume).alias("bad_volume"),
             F.col(roles.site).cast("string").alias("site"),
             *[F.col(c) for c in self.scope],
         )

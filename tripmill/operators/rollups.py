@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from tripmill.functions.numbers import round2, safe_divide
 from tripmill.functions.text import driver_label_table, strip
 from tripmill.operators.measures import DAY_SET, MeasureSource, merged_measures, n_days
+from tripmill.operators.pages import with_pages
+from tripmill.plans.staging import staged
+
+#: Names in a chunk of a day's vehicle list.
+CHUNK = 100
 
 
 def _rounded(count: str) -> list[Column]:
@@ -33,8 +38,9 @@ def vehicle_list(name: Column) -> Column:
 def daily_rollup(source: MeasureSource) -> DataFrame:
     """One row per day: trips, total, mean over all trips, vehicles seen, first and last trip.
 
-    The list holds every vehicle of a day in one text; :func:`daily_vehicles` has them as rows, for
-    sources with more vehicles than a text should name. Rows without a time are left out; a volume that
+    The list holds every vehicle of a day in one text; :func:`daily_vehicles` has them as rows, and
+    :func:`daily_vehicle_chunks` in texts of bounded length, for sources with more vehicles than a text
+    should name. Rows without a time are left out; a volume that
     is no number counts as a trip of zero. Rows are combined per (day, vehicle) first, so the list of a
     day is collected from one row per vehicle.
     """
@@ -53,6 +59,21 @@ def daily_vehicles(source: MeasureSource) -> DataFrame:
     return named.groupBy(*source.scope, "day", "vehicle").agg(F.sum("n_trips").alias("n_trips"))
 
 
+def daily_vehicle_chunks(source: MeasureSource, size: int = CHUNK) -> DataFrame:
+    """The list of each day in numbered chunks of ``size`` names: ``day, chunk, n_vehicles, vehicles``.
+
+    Names have the order of the list, so the chunks of a day joined by comma are the list. No row and no
+    buffer holds more than one chunk, however many vehicles a day has; names are ranked in even buckets.
+    """
+    names = daily_vehicles(source).select(*source.scope, "day", "vehicle")
+    scope = [*source.scope, "day"]
+    placed = with_pages(staged(names), [F.lower("vehicle"), F.col("vehicle")], size, scope=scope)
+    entries = F.array_sort(F.collect_list(F.struct("row_in_page", "vehicle")))
+    return placed.groupBy(*scope, F.col("page_no").alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n_vehicles"), F.array_join(entries["vehicle"], ", ").alias("vehicles")
+    )
+
+
 def daily_vehicle_lists(source: MeasureSource) -> DataFrame:
     """The vehicles seen on each day."""
     return daily_rollup(source).select(*source.scope, "day", "vehicles")

@@ -24,7 +24,7 @@ from tripmill.functions.dates import (
 )
 from tripmill.functions.numbers import number_text, number_text_if_positive
 from tripmill.functions.text import dash_if_blank, driver_label_table, fill_text
-from tripmill.operators.kpis import first_site, kpi_summary, observed_period
+from tripmill.operators.kpis import first_site, input_checks, kpi_summary, observed_period
 from tripmill.operators.measures import FACETS, MeasureSource, TripSummary, grain_is
 from tripmill.operators.pages import with_pages
 from tripmill.operators.rollups import daily_rollup, driver_rollup, vehicle_rollup
@@ -326,6 +326,7 @@ def _sections(summary: TripSummary) -> dict[str, DataFrame]:
         "captions": section_captions(summary),
         "status": section_status(summary),
         "headings": headings(summary.fine.sparkSession),
+        "input_checks": input_checks(summary),
     }
 
 

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
-from datetime import datetime
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +47,43 @@ def table_options(
     return options
 
 
+def month_predicates(column: str, first: date, last: date) -> list[str]:
+    """One condition per month from ``first`` to ``last``, one for everything outside, and one for nulls.
+
+    Together they hold for every row exactly once, so no load is lost or read twice.
+    """
+    if last < first:
+        raise ValueError("the last month is before the first")
+    starts = [date(m // 12, m % 12 + 1, 1) for m in range(first.year * 12 + first.month - 1, last.year * 12 + last.month + 1)]
+    months = [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(starts, starts[1:], strict=False)]
+    return [*months, f"{column} < '{starts[0]}' OR {column} >= '{starts[-1]}'", f"{column} IS NULL"]
+
+
+def hash_predicates(column: str, parts: int) -> list[str]:
+    """``parts`` conditions of about as many rows each, however unevenly the ids lie; nulls come with the first.
+
+    The remainder is taken of a checksum, so neither gaps nor runs of ids matter.
+    """
+    if parts < 1:
+        raise ValueError("at least one part")
+    code = f"MOD(CRC32({column}), {parts})"
+    return [f"{code} = {i}" + (f" OR {column} IS NULL" if i == 0 else "") for i in range(parts)]
+
+
+def read_by_predicates(
+    spark: SparkSession, table: str, predicates: Sequence[str], env: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A lazy table read by one task per predicate; these must hold for every row exactly once.
+
+    For ids or times that lie so unevenly that ranges of equal width would not hold equal numbers of rows.
+    """
+    if len(predicates) < 2:
+        raise ValueError("a fact is read in two parts or more")
+    options = connection_options(env)
+    url = options.pop("url")
+    return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
+
+
 def read_table(
     spark: SparkSession, table: str, env: Mapping[str, str] | None = None, **split
 ) -> DataFrame:

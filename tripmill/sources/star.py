@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.dates import instant, time_or_null
 from tripmill.functions.numbers import number_or_null
 from tripmill.operators.heavy import HeavyKeys, heavy_keys, spread_join
-from tripmill.operators.measures import MEASURES, TripCube, row_measures
+from tripmill.operators.measures import MEASURES, TripCube, row_measures, unreadable
 from tripmill.schema import Roles
 from tripmill.sources.partitions import DayPartitions
 
@@ -200,6 +200,37 @@ class StarTables:
         ]
         return reduce(DataFrame.unionByName, checks)
 
+    def match_check(
+        self,
+        site: int | None = None,
+        start: str | datetime | Column | None = None,
+        end: str | datetime | Column | None = None,
+    ) -> DataFrame:
+        """Selected loads without an id, and with one that no dimension row has: those the joins drop, or
+        leave without a driver. Loads are read once and reach the joins as counts per id."""
+        c = self.columns
+        dimensions = {
+            "vehicles": (c.tag, self.vehicles, c.vehicle_tag),
+            "readers": (c.reader, self.readers, c.reader_id),
+            "drivers": (c.driver, self.drivers, c.driver_id),
+        }
+        kinds = F.array(
+            *[F.struct(F.lit(n).alias("dimension"), F.col(k).cast("string").alias("id")) for n, (k, *_) in dimensions.items()]
+        )
+        counted = self.selected_loads(site, start, end).select(F.inline(kinds)).groupBy("dimension", "id")
+        counted = counted.agg(F.count(F.lit(1)).alias("n"))
+        known = [
+            rows.select(F.lit(name).alias("dimension"), F.col(key).cast("string").alias("id"), F.lit(True).alias("found"))
+            for name, (_, rows, key) in dimensions.items()
+        ]
+        matched = counted.join(reduce(DataFrame.unionByName, known).distinct(), ["dimension", "id"], "left")
+        missing = F.col("id").isNull()
+        return matched.groupBy("dimension").agg(
+            F.sum("n").alias("n_loads"),
+            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("n_without_id"),
+            F.coalesce(F.sum(F.when(~missing & F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("n_unmatched"),
+        )
+
     def selected_loads(
         self,
         site: int | None = None,
@@ -265,7 +296,7 @@ class StarTables:
         rows = self.selected_loads(site, start, end)
         need_driver = "driver" in keys or not self.unique_drivers
         ids = [c.tag, c.reader] + ([c.driver] if need_driver else [])
-        time = time_or_null(rows, c.time)
+        time, volume = time_or_null(rows, c.time), number_or_null(rows, c.volume)
         scope = ("plant",) if by_plant else ()
         if by_plant:
             rows = rows.filter(F.col(c.plant).isNotNull())
@@ -273,7 +304,9 @@ class StarTables:
             *ids,
             *[F.col(c.plant).alias(s) for s in scope],
             time.alias("time"),
-            number_or_null(rows, c.volume).alias("volume"),
+            volume.alias("volume"),
+            unreadable(F.col(c.time), time).alias("bad_time"),
+            unreadable(F.col(c.volume), volume).alias("bad_volume"),
             F.to_date(time).alias("day"),
         )
         by = [*ids, *scope, *(["day"] if "day" in keys else [])]
