@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripmill.llm import lm
+from tripmill.llm import eliasfano, lm
 from tripmill.llm.eliasfano import EliasFano, PairTrie
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -116,3 +116,32 @@ def test_stored_tries_answer_like_the_fused_pass(spark, small):
         assert (found > 0).all()
     for frame in (batches, words, requests):
         frame.unpersist()
+
+
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.5, 0.98, 1.0])
+def test_select_over_ones_and_zeros(share, monkeypatch):
+    monkeypatch.setattr(eliasfano, "AT_ONCE", 100)
+    rng = np.random.default_rng(5)
+    bits = (rng.random(64 * eliasfano.BLOCK * 7) < share).astype(np.uint8)
+    vector = eliasfano.Bits(np.packbits(bits, bitorder="little").view(np.uint64))
+    ones, zeros = np.flatnonzero(bits), np.flatnonzero(bits == 0)
+    assert (vector.one(np.arange(len(ones))) == ones).all()
+    assert (vector.zero(np.arange(len(zeros))) == zeros).all()
+    assert vector.n_zeros == len(zeros)
+
+
+def test_an_open_sequence_holds_little_beside_its_buffer():
+    values = np.sort(np.random.default_rng(1).integers(0, 1 << 40, 200_000)).astype(np.uint64)
+    opened, _ = eliasfano.EliasFano.from_buffer(eliasfano.EliasFano.of(values).to_bytes(), 0)
+    assert (opened.access(np.arange(len(values))) == values).all()
+    held = opened.bits.ones_before.nbytes + opened.bits.zeros_before.nbytes
+    assert held * 8 < len(values) * 3 and held < opened.high.nbytes / 6
+
+
+def test_groups_grow_with_the_staged_table(spark):
+    from tripmill.llm.tables import groups_of
+    from tripmill.plans.staging import staged
+
+    table = staged(spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("hash")))
+    assert groups_of(table) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert groups_of(table, 1 << 16) > 15

@@ -18,20 +18,73 @@ def _packed(values: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
+#: Words whose ones are counted together; one number each is kept beside the bits.
+BLOCK = 8
+#: Queries answered at once, which bounds the memory that they take.
+AT_ONCE = 1 << 16
+_PLACE_IN_BYTE = np.array(
+    [([i for i in range(8) if byte >> i & 1] + [0] * 8)[:8] for byte in range(256)], dtype=np.int64
+)
+
+
+def _step(counts: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Column of each row in which the ``rank``-th one (from 0) lies, and its rank within that column."""
+    upto = np.cumsum(counts, axis=1, dtype=np.int64)
+    column = (upto <= rank[:, None]).sum(axis=1)
+    rows = np.arange(len(rank))
+    return column, rank - (upto[rows, column] - counts[rows, column])
+
+
+class Bits:
+    """A bit vector in 64-bit words, a multiple of ``BLOCK`` of them, with select over ones and zeros.
+
+    Beside the words, which may be mapped, it holds the number of ones before each block of 512 bits: a
+    query finds its block by halving, its word and byte by counting, and its place in the byte in a table.
+    """
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        ones = np.bitwise_count(words).reshape(-1, BLOCK).sum(axis=1, dtype=np.int64)
+        kind = np.uint32 if len(words) < 1 << 26 else np.int64
+        self.ones_before = np.concatenate([[0], np.cumsum(ones)]).astype(kind)
+        self.zeros_before = (64 * BLOCK * np.arange(len(self.ones_before)) - self.ones_before).astype(kind)
+        self.n_zeros = int(self.zeros_before[-1])
+
+    def _select(self, ranks: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
+        found = np.empty(len(ranks), dtype=np.int64)
+        for first in range(0, len(ranks), AT_ONCE):
+            rank = ranks[first : first + AT_ONCE].astype(np.int64)
+            block = np.searchsorted(before, rank, side="right") - 1
+            rank = rank - before[block].astype(np.int64)
+            words = self.words.reshape(-1, BLOCK)[block]
+            words = ~words if flip else words
+            column, rank = _step(np.bitwise_count(words), rank)
+            parts = np.ascontiguousarray(words[np.arange(len(rank)), column]).view(np.uint8).reshape(-1, 8)
+            byte, rank = _step(np.bitwise_count(parts), rank)
+            bit = _PLACE_IN_BYTE[parts[np.arange(len(rank)), byte], rank]
+            found[first : first + AT_ONCE] = ((block * BLOCK + column) * 8 + byte) * 8 + bit
+        return found
+
+    def one(self, ranks: np.ndarray) -> np.ndarray:
+        """Places of the ``ranks``-th ones, from 0."""
+        return self._select(ranks, self.ones_before, False)
+
+    def zero(self, ranks: np.ndarray) -> np.ndarray:
+        """Places of the ``ranks``-th zeros, from 0."""
+        return self._select(ranks, self.zeros_before, True)
+
+
 class EliasFano:
     """An ascending sequence in about 2 + log2(largest / length) bits an entry.
 
     The low bits of the entries are stored one after the other. The high bits are a bit vector: a one
-    for each entry and a zero where the high part steps up by one. Opening a sequence lists the places of
-    ones and zeros, in 4 bytes each as long as they fit.
+    for each entry and a zero where the high part steps up by one. Opening a sequence reads the high bits
+    once, for two counts per 512 of them; nothing else is copied out of the buffer.
     """
 
     def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray):
         self.n, self.width, self.low, self.high = n, width, low, high
-        bits = np.unpackbits(high.view(np.uint8), bitorder="little")
-        kind = np.int32 if len(bits) < 1 << 31 else np.int64
-        self.ones = np.flatnonzero(bits).astype(kind)
-        self.zeros = np.flatnonzero(bits == 0).astype(kind)
+        self.bits = Bits(high)
 
     @classmethod
     def of(cls, ascending: np.ndarray) -> EliasFano:
@@ -41,9 +94,9 @@ class EliasFano:
         width = max(0, (top // max(n, 1)).bit_length() - 1)
         high = (values >> np.uint64(width)).astype(np.int64)
         steps = int(high[-1]) if n else 0
-        bits = np.zeros((n + steps + 1 + 63) // 64 * 64 + 64, dtype=np.uint8)
-        bits[high + np.arange(n)] = 1
-        words = np.packbits(bits, bitorder="little").view(np.uint64)
+        words = np.zeros((n + steps + 1) // (64 * BLOCK) * BLOCK + BLOCK, dtype=np.uint64)
+        places = high + np.arange(n)
+        np.bitwise_or.at(words, places >> 6, np.uint64(1) << (places & 63).astype(np.uint64))
         low = _packed(values & np.uint64((1 << width) - 1), width)
         return cls(n, width, low, words)
 
@@ -58,7 +111,7 @@ class EliasFano:
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """Entries at places ``i``."""
-        high = (self.ones[i] - i).astype(np.uint64)
+        high = (self.bits.one(i) - i).astype(np.uint64)
         return (high << np.uint64(self.width)) | self._low(i)
 
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,12 +122,12 @@ class EliasFano:
         where that search ended.
         """
         high = (values >> np.uint64(self.width)).astype(np.int64)
-        outside = high >= len(self.zeros)
+        outside = high >= self.bits.n_zeros
         high = np.where(outside, 0, high)
         # Before the k-th zero (from 0) stand k zeros and the entries of high parts up to k.
         before = np.maximum(high, 1) - 1
-        start = np.where(high > 0, self.zeros[before] - before, 0)
-        stop = self.zeros[high] - high
+        start = np.where(high > 0, self.bits.zero(before) - before, 0)
+        stop = self.bits.zero(high) - high
         start = np.minimum(start, self.n)
         stop = np.minimum(stop, self.n)
         wanted = values & np.uint64((1 << self.width) - 1)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import tokens
 from tripmill.llm.eliasfano import PairTrie
+from tripmill.llm.tables import groups_of
 from tripmill.plans.staging import staged
 
 MOST = 0.4
@@ -340,8 +341,8 @@ def scored(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     training rows no token is known and all scores are 0. An empty table gives an empty result. Words
     are told apart by 64-bit hashes.
     """
-    shards = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     batches = staged(encoded(docs, F.coalesce(held_out, F.lit(False)), id_col, text_col))
+    shards = groups_of(batches)
     words = staged(word_answers(batches, shards))
     sums = words.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0

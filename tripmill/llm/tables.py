@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
+#: Compressed bytes of a staged table that one group of it holds.
+GROUP_BYTES = 32 << 20
 PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
@@ -17,6 +19,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def groups_of(staged_table: DataFrame, group_bytes: int = GROUP_BYTES) -> int:
+    """Number of groups to deal a staged table into: as many as shuffle partitions, or more if it is so large
+    that they would hold more than ``group_bytes`` each. By the size of its files, which Spark knows."""
+    size = int(staged_table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    partitions = int(staged_table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, partitions, -(-size // group_bytes))
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give the executors this package, once per application.
 
