@@ -22,7 +22,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def groups_of(staged_table: DataFrame, group_bytes: int = GROUP_BYTES) -> int:
     """Number of groups to deal a staged table into: as many as shuffle partitions, or more if it is so large
     that they would hold more than ``group_bytes`` each. By the size of its files, which Spark knows."""
-    size = int(staged_table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(staged_table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     partitions = int(staged_table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, partitions, -(-size // group_bytes))
 
