@@ -76,3 +76,56 @@ def test_same_model_again(spark):
     first, second = toxicity.train(frame, frame), toxicity.train(frame.repartition(7), frame.repartition(3))
     assert first.weights.keys() == second.weights.keys()
     assert all(abs(first.weights[f] - second.weights[f]) < 1e-9 for f in first.weights)
+
+
+def test_swapped_sentences_against_swapping_the_words():
+    """Every change is the difference between the features of two real sentences."""
+    from collections import Counter
+
+    random.seed(4)
+    terms = sorted(toxicity._SWAPS)
+    for _ in range(200):
+        sentence = random.choices(["women", "womanly", "musketeer", "men", "mention", "x", *terms], k=6)
+        text = " ".join(sentence) + ". " + "none here."
+        expected = Counter()
+        for term in set(sentence) & set(terms):
+            for other in toxicity._SWAPS[term]:
+                swapped = [other if w == term else w for w in sentence]
+                before, after = ({f for w in s for f in toxicity.features_of(w)} for s in (sentence, swapped))
+                change = " ".join(sorted(after - before)), " ".join(sorted(before - after))
+                if change != ("", ""):
+                    expected[change] += 1
+        assert toxicity.swapped_sentences(text) == expected
+
+
+def test_the_penalty_is_the_mean_squared_change_of_swapped_sentences():
+    """The fitted weights come near the least stated sum: small steps away from them gain next to nothing,
+    and without the penalty swapped sentences change more."""
+    import math
+
+    import numpy as np
+
+    random.seed(2)
+    texts = [" ".join(random.choices(["good", "bad", "awful", "women", "men", "people", "wo"], k=5)) + "." for _ in range(60)]
+    labels = np.array([float("awful" in t or ("women" in t and random.random() < 0.5)) for t in texts])
+    names = sorted({f for t in texts for w in toxicity.words(t) for f in toxicity.features_of(w)})
+    swaps = sum((toxicity.swapped_sentences(t) for t in texts), toxicity.Counter())
+    names += sorted({f for c in swaps for part in c for f in part.split()} - set(names))
+    index = {f: i for i, f in enumerate(names)}
+    lists = [np.array(sorted({index[f] for w in toxicity.words(t) for f in toxicity.features_of(w)})) for t in texts]
+    model = toxicity.fit(lists, labels, index, swaps, 3.0)
+
+    def penalty(weights):
+        parts = lambda names: sum(weights.get(f, 0.0) for f in names.split())
+        return sum(n * (parts(more) - parts(less)) ** 2 for (more, less), n in swaps.items()) / sum(swaps.values())
+
+    def cost(weights, bias):
+        score = lambda features: bias + sum(weights.get(names[i], 0.0) for i in features)
+        loss = sum((3.0 if y else 1.0) * math.log1p(math.exp(-s if y else s)) for s, y in zip(map(score, lists), labels)) / len(texts)
+        return loss + toxicity.L1 * sum(map(abs, weights.values())) + 3.0 * penalty(weights)
+
+    best = cost(model.weights, model.bias)
+    for name in names:
+        for step in (-0.05, 0.05):
+            assert cost(model.weights | {name: model.weights.get(name, 0.0) + step}, model.bias) > best - 1e-4
+    assert penalty(model.weights) < penalty(toxicity.fit(lists, labels, index, swaps, 0.0).weights) / 20

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,12 +60,36 @@ def features_of(word: str) -> list[str]:
     return [word + "$", *(word[:k] for k in PREFIXES if len(word) >= k)]
 
 
+def mentions(text: str) -> Iterator[tuple[str, set[str]]]:
+    """Each identity term of each sentence, with all words of the sentence."""
+    for sentence in _SENTENCE.findall(text.lower()):
+        found = set(_WORD.findall(sentence))
+        for term in sorted(_SWAPS.keys() & found):
+            yield term, found
+
+
 def identity_mentions(text: str) -> Counter:
     """Sentences of the text that mention each identity term."""
-    found: Counter = Counter()
-    for sentence in _SENTENCE.findall(text.lower()):
-        found.update(_SWAPS.keys() & set(_WORD.findall(sentence)))
-    return found
+    return Counter(term for term, _ in mentions(text))
+
+
+def swapped_sentences(text: str) -> Counter:
+    """What swapping an identity term changes in the features of a sentence, and how many swaps do so.
+
+    Every mention is swapped for every other term of its lists. A change is the features that the swapped
+    sentence has more and those that it has no longer: a beginning that another word of the sentence has
+    too is neither.
+    """
+    changes: Counter = Counter()
+    for term, sentence in mentions(text):
+        others = {f for word in sentence if word != term for f in features_of(word)}
+        before = set(features_of(term)) - others
+        for other in _SWAPS[term]:
+            after = set() if other in sentence else set(features_of(other)) - others
+            change = " ".join(sorted(after - before)), " ".join(sorted(before - after))
+            if change != ("", ""):
+                changes[change] += 1
+    return changes
 
 
 @dataclass
@@ -102,7 +127,7 @@ class Model:
 
 def fit(lists: list[np.ndarray], labels: np.ndarray, index: dict[str, int], swaps: Counter,
         counterfactual: float = COUNTERFACTUAL) -> Model:
-    """Fit to the sorted feature numbers of each text, its labels, and how often terms can be swapped.
+    """Fit to the sorted feature numbers of each text, its labels, and the changes that swaps make.
 
     Minimises weighted mean log loss + L1 + counterfactual * mean squared score change over all swaps, by
     accelerated proximal gradient steps. Without both labels there is only a bias.
@@ -114,15 +139,15 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, index: dict[str, int], swap
     columns = np.concatenate(lists)
     lines = np.repeat(np.arange(n), [len(x) for x in lists])
     size = len(index)
-    # One row per pair of terms: what the swap does to the features.
+    # One row per change of features; it counts as often as a swapped sentence makes it.
     pairs = sorted(swaps)
     times = np.array([swaps[p] for p in pairs], dtype=np.float64)
     times /= max(1.0, times.sum())
     moved = [
         (k, index[f], sign)
-        for k, (term, other) in enumerate(pairs)
-        for sign, mine, its in ((1.0, other, term), (-1.0, term, other))
-        for f in set(features_of(mine)) - set(features_of(its))
+        for k, change in enumerate(pairs)
+        for sign, part in zip((1.0, -1.0), change, strict=True)
+        for f in part.split()
     ]
     pair_of = np.array([m[0] for m in moved], dtype=np.int64)
     column_of = np.array([m[1] for m in moved], dtype=np.int64)
@@ -168,7 +193,10 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, index: dict[str, int], swap
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int):
-    """Words, label and identity mentions of at most ``rows`` labelled rows, chosen by a hash of the id."""
+    """Words, label and swapped sentences of at most ``rows`` labelled rows, chosen by a hash of the id.
+
+    Of several texts with one id, the first in code point order is taken.
+    """
     chosen = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id"))
@@ -179,6 +207,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     # At most ``rows`` rows of an id and a label are broadcast.
     found = texts.join(F.broadcast(chosen), "_id").where(F.length("_text") <= MAX_CHARS)
+    found = found.groupBy("_id", "_label").agg(F.min("_text").alias("_text")).select("_text", "_label")
 
     def run(batches):
         for batch in batches:
@@ -187,13 +216,12 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
                 [
                     pa.array([sorted(words(t)) for t in texts], pa.list_(pa.string())),
                     batch.column("_label"),
-                    pa.array([list(identity_mentions(t).items()) for t in texts], pa.map_(pa.string(), pa.int32())),
+                    pa.array([[("|".join(c), n) for c, n in swapped_sentences(t).items()] for t in texts], pa.map_(pa.string(), pa.int32())),
                 ],
-                names=["words", "label", "mentions"],
+                names=["words", "label", "swaps"],
             )
 
-    # Repeated ids can give a few rows more than ``rows``; they are cut off again.
-    return found.mapInArrow(run, "words array<string>, label int, mentions map<string, int>").limit(rows)
+    return found.mapInArrow(run, "words array<string>, label int, swaps map<string, int>")
 
 
 def _strongest(sample: DataFrame, n: int, positive: int) -> list[str]:
@@ -227,17 +255,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", rows: int = MAX_ROWS, counterfactual: float = COUNTERFACTUAL) -> Model:
     """Fit on a bounded sample: ``rows`` labelled rows, of at most MAX_CHARS characters each.
 
-    The driver gets the chosen features and, for each row, the numbers of those it has. Rows without a
-    label, an id or a text do not count. Without any labelled row the score is 0.5 for every text.
+    The driver gets the chosen features, the changes that swapped sentences make to them and, for each
+    row, the numbers of those it has. Rows without a label, an id or a text do not count, nor do longer
+    texts; an id with several labels has the largest. Without any labelled row, as in an empty table, the
+    score is 0.5 for every text. Other columns are not read.
     """
     sample = staged(_sampled(docs, labels, id_col, text_col, label_col, rows))
     whole = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")).first()
     if not whole["n"]:
         return Model(0.0, {})
-    mentions = sample.select(F.explode("mentions").alias("term", "times")).groupBy("term").agg(F.sum("times").alias("times"))
-    swaps = Counter({(r["term"], t): r["times"] for r in mentions.collect() for t in _SWAPS[r["term"]]})
+    changes = sample.select(F.explode("swaps").alias("change", "times")).groupBy("change").agg(F.sum("times").alias("times"))
+    # As many as pairs of terms, times what other words of a sentence leave of their dozen features.
+    swaps = Counter({tuple(r["change"].split("|")): r["times"] for r in changes.collect()})
     chosen = _strongest(sample, whole["n"], whole["positive"])
-    extra = sorted({f for pair in swaps for term in pair for f in features_of(term)} - set(chosen))
+    extra = sorted({f for change in swaps for part in change for f in part.split()} - set(chosen))
     index = {f: i for i, f in enumerate([*chosen, *extra])}
     shared = sample.sparkSession.sparkContext.broadcast(index)
 
@@ -261,7 +292,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, score`` of every row from its whole text alone; a null text counts as empty."""
+    """``id, score`` of every row from its whole text alone, however long.
+
+    A null text counts as empty. Null and repeated ids are rows like any other; an empty table gives an
+    empty result; other columns are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("_text"))
     schema = T.StructType([kept.schema.fields[0], T.StructField("score", T.DoubleType())])
@@ -276,7 +311,10 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` whose text scores below ``threshold``, with all their columns."""
+    """Rows of ``docs`` whose text scores below ``threshold``, with all their columns.
+
+    A null text counts as empty; repeated rows stay or go alike. An empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
