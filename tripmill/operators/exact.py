@@ -16,24 +16,30 @@ from pyspark.sql import functions as F
 BITS = 22
 #: Loads of so many tons or more, which are no loads, are added as doubles beside the others.
 LARGEST = float(1 << 23)
+# Fraction bits that fit in a long beside the whole tons, and those of them that belong to the second part.
+_HEAD, _LOW = 40, 40 - BITS
 LIMBS = ("volume_whole", "volume_part1", "volume_part2", "volume_part3", "volume_beyond")
 
 
 def limbs(volume: Column) -> list[Column]:
     """The parts of a volume, null where it is null. What lies below 2^-66 tons is cut off.
 
-    Doubles of less than ``LARGEST`` are cut without rounding: scaling by a power of two and taking off
-    the whole part are exact.
+    Doubles of less than ``LARGEST`` are cut without rounding: scaling by a power of two and taking off the
+    whole part are exact, and 63 bits of the scaled number are cut as an integer.
     """
-    scale = float(1 << BITS)
-    sign = F.when(volume < 0, -1).otherwise(1)
+    negative = volume < 0
     inside = F.abs(volume) < LARGEST
-    left, parts = F.abs(F.when(inside, volume)), []
-    for _ in range(4):
-        whole = F.floor(left)
-        parts.append(sign * whole)
-        left = (left - whole) * scale
-    return [*parts, F.when(~inside, volume)]
+    scaled = F.abs(F.when(inside, volume)) * 2.0**_HEAD
+    head = F.floor(scaled)
+    tail = (scaled - head) * 2.0 ** (2 * BITS - _HEAD)
+    low = F.lit((1 << _LOW) - 1).cast("bigint")
+    parts = [
+        F.shiftright(head, _HEAD),
+        F.shiftright(head, _LOW).bitwiseAND(F.lit((1 << BITS) - 1).cast("bigint")),
+        F.shiftleft(head.bitwiseAND(low), BITS - _LOW) + F.floor(tail),
+        F.floor((tail - F.floor(tail)) * 2.0**BITS),
+    ]
+    return [*[F.when(negative, -part).otherwise(part) for part in parts], F.when(~inside, volume)]
 
 
 def total(sums: Sequence[Column]) -> Column:

@@ -36,8 +36,13 @@ def _volume(limbs: Sequence[Column]) -> list[Column]:
     return [exact.total(sums).alias("volume"), *[s.alias(n) for s, n in zip(sums, exact.LIMBS, strict=True)]]
 
 
+def measurable(rows: DataFrame) -> DataFrame:
+    """``rows`` with the parts of their volume as columns, ahead of a grouping that repeats rows."""
+    return rows.withColumns(dict(zip(exact.LIMBS, exact.limbs(F.col("volume")), strict=True)))
+
+
 def row_measures() -> list[Column]:
-    """Measures of trip rows: all trips, trips with a numeric volume, trips with a volume above
+    """Measures of :func:`measurable` trip rows: all trips, trips with a numeric volume, trips with a volume above
     zero, times and volumes that are there but cannot be read, summed volume and the time span."""
     volume = F.col("volume")
     return [
@@ -46,7 +51,7 @@ def row_measures() -> list[Column]:
         F.count(F.when(volume > 0, 1)).alias("n_positive"),
         F.count(F.when(F.col("bad_time"), 1)).alias("n_bad_times"),
         F.count(F.when(F.col("bad_volume"), 1)).alias("n_bad_volumes"),
-        *_volume(exact.limbs(volume)),
+        *_volume([F.col(c) for c in exact.LIMBS]),
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
     ]
@@ -165,10 +170,10 @@ class Trips:
 
     def measures(self, *keys: str, blank: bool = False, days: bool = False) -> DataFrame:
         rows = self.rows.withColumns(_day_columns(F.col("volume") > 0)) if "month" in keys else self.rows
-        return _group(rows, keys, blank, _with_days(row_measures(), keys, days), self.scope)
+        return _group(measurable(rows), keys, blank, _with_days(row_measures(), keys, days), self.scope)
 
     def grains(self, *sets: Sequence[str]) -> DataFrame:
-        return _group_sets(self.rows, sets, row_measures(), self.scope)
+        return _group_sets(measurable(self.rows), sets, row_measures(), self.scope)
 
 
 class TripCube:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.dates import instant, time_or_null
 from tripmill.functions.numbers import number_or_null
 from tripmill.operators.heavy import HeavyKeys, heavy_keys, spread_join
-from tripmill.operators.measures import MEASURES, TripCube, row_measures, unreadable
+from tripmill.operators.measures import MEASURES, TripCube, measurable, row_measures, unreadable
 from tripmill.schema import Roles
 from tripmill.sources.partitions import DayPartitions
 
@@ -310,7 +310,7 @@ class StarTables:
             F.to_date(time).alias("day"),
         )
         by = [*ids, *scope, *(["day"] if "day" in keys else [])]
-        cube = self.with_site(self.with_vehicle(canonical.groupBy(*by).agg(*row_measures())))
+        cube = self.with_site(self.with_vehicle(measurable(canonical).groupBy(*by).agg(*row_measures())))
         if need_driver:
             cube = self.with_driver(cube)
         return TripCube(cube.select(*scope, *keys, *MEASURES), scope)
