@@ -1,7 +1,9 @@
+import gc
 import random
 from hashlib import sha256
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -74,3 +76,16 @@ def test_a_large_vocabulary_file_is_refused(tmp_path, monkeypatch):
     (tmp_path / "v").write_bytes(b"x" * 11)
     with pytest.raises(ValueError, match="more than 10 bytes"):
         bpe.Vocabulary.read(str(tmp_path / "v"), ".")
+
+
+def test_workers_drop_what_they_remember_with_the_vocabulary(spark, odd, vocabulary):
+    bpe.digests(odd, vocabulary, remembered=100).collect()
+
+    def encoders(batches):
+        for batch in batches:
+            n = sum(isinstance(o, bpe.Encoder) for o in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int32())], names=["n"])
+
+    found = spark.range(0, 64, 1, 16).mapInArrow(encoders, "n int").collect()
+    assert len(found) == 64
+    assert {r["n"] for r in found} == {0}

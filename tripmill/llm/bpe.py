@@ -149,6 +149,8 @@ class Encoder(dict):
 
     What is not remembered is looked up in the two tiers, and decoded from its ids. When a generation of
     remembered pre-tokens is full, it becomes the older one; what is still in use moves on from there.
+    It is broadcast as its vocabulary alone. A worker remembers in the copy that it gets, for all tasks of the
+    broadcast, and drops both together when it takes up other work.
     """
 
     def __init__(self, vocabulary: Vocabulary, remembered: int | None = None):
@@ -159,6 +161,9 @@ class Encoder(dict):
         self.decimal = {rank: str(rank) for rank in vocabulary.tokens}
         self.older: dict[str, tuple[str, bytes]] = {}
 
+    def __reduce__(self):
+        return Encoder, (self.vocabulary, self.remembered)
+
     def __missing__(self, pretoken: str) -> tuple[str, bytes]:
         found = self.older.get(pretoken)
         if found is None:
@@ -194,28 +199,14 @@ class Encoder(dict):
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def _encoder(shared, remembered: int | None) -> Encoder:
-    """The encoder of this worker for a broadcast vocabulary."""
-    vocabulary = shared.value
-    if id(vocabulary) not in _encoders:
-        _encoders.clear()
-        _encoders[id(vocabulary)] = Encoder(vocabulary)
-    _encoders[id(vocabulary)].remembered = remembered
-    return _encoders[id(vocabulary)]
-
-
-def _mapped(
-    docs: DataFrame, columns: list[str], shared, row, added: list[T.StructField], remembered: int | None = None
-) -> DataFrame:
+def _mapped(docs: DataFrame, columns: list[str], encoder: Encoder, row, added: list[T.StructField]) -> DataFrame:
     """Apply ``row(encoder, value)`` to the last of ``columns``; the others are kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(encoder)
     kept = docs.select(*[F.col(f"`{c}`") for c in columns])
     schema = T.StructType([*kept.schema.fields[:-1], *added])
 
     def run(batches):
-        encoder = _encoder(shared, remembered)
+        encoder = shared.value
         for batch in batches:
             results = [row(encoder, value.as_py()) for value in batch.column(batch.num_columns - 1)]
             new = [pa.array([r[i] for r in results], arrow_types[i]) for i in range(len(added))]
@@ -230,22 +221,20 @@ _ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids``: the token ids of every whole text. A null or empty text has no ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def row(encoder: Encoder, text: str | None):
         return (np.fromiter(chain.from_iterable(encoder.encode(text or "")), dtype=np.int32),)
 
-    return _mapped(docs, [id_col, text_col], shared, row, [T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return _mapped(docs, [id_col, text_col], Encoder(vocabulary), row, [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id, data``: the bytes of every list of ids; null ids count as none."""
-    shared = tokens.sparkSession.sparkContext.broadcast(vocabulary)
 
     def row(encoder: Encoder, ids):
         return (encoder.decode(ids or ()),)
 
-    return _mapped(tokens, [id_col, ids_col], shared, row, [T.StructField("data", T.BinaryType())])
+    return _mapped(tokens, [id_col, ids_col], Encoder(vocabulary), row, [T.StructField("data", T.BinaryType())])
 
 
 def digests(
@@ -264,7 +253,6 @@ def digests(
     remembers where executors have little memory to spare. Repeated rows and null ids are rows like
     any other; an empty table gives an empty result; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def row(encoder: Encoder, text: str | None):
         n, listed, decoded, kept = 0, sha256(), sha256(), []
@@ -286,4 +274,4 @@ def digests(
     ]
     if with_ids:
         added.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
-    return _mapped(docs, [id_col, text_col], shared, row, added, remembered)
+    return _mapped(docs, [id_col, text_col], Encoder(vocabulary, remembered), row, added)
