@@ -162,6 +162,30 @@ def test_repeated_dimension_keys_multiply_trips(spark, copies):
         assert rollup(trips).orderBy(key).collect() == rollup(cube).orderBy(key).collect()
 
 
+@pytest.mark.parametrize("times", [1, 3])
+def test_cube_groups_before_the_joins_only_what_repeats(spark, times):
+    odd = spark.createDataFrame(
+        [
+            ("2025-09-03 06:00:00", None, 1, 100, 7, 41),
+            (None, 5.5, 2, 100, 7, 41),
+            ("2025-09-04 06:00:00", -1.25, 2, 200, 8, 41),
+            ("2025-09-04 07:00:00", 1e12, None, None, None, None),
+            ("2025-09-05 07:00:00", 0.1, 1, 100, 7, 41),
+        ],
+        "time string, volume_descarregado double, user_id_device long, device_id long, motorista long, codigo_planta int",
+    ).withColumn("time", F.col("time").cast("timestamp_ntz"))
+    loads = star(spark).loads.unionByName(odd)
+    for _ in range(1, times):
+        loads = loads.unionByName(star(spark).loads).unionByName(odd)
+    tables = star(spark, loads=loads)
+    trips, cube = Trips(tables.extract()), tables.cube()
+    assert plan(cube.rows).count("HashAggregate") == (0 if times == 1 else 2)
+    assert kpis.kpi_summary(trips).collect() == kpis.kpi_summary(cube).collect()
+    assert kpis.input_checks(trips).collect() == kpis.input_checks(cube).collect()
+    for rollup, key in ((rollups.daily_rollup, "day"), (rollups.vehicle_rollup, "vehicle"), (rollups.driver_rollup, "driver")):
+        assert rollup(trips).orderBy(key).collect() == rollup(cube).orderBy(key).collect()
+
+
 def test_drivers_are_joined_only_if_needed(spark):
     def joins(tables, keys):
         return plan(tables.cube(41, *PERIOD, keys=keys).rows).count("Join")

@@ -57,6 +57,25 @@ def row_measures() -> list[Column]:
     ]
 
 
+def load_measures() -> dict[str, Column]:
+    """Measures of each :func:`measurable` trip row alone: those of a group of one."""
+    volume = F.col("volume")
+
+    def count(condition: Column) -> Column:
+        return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+    return {
+        "n_trips": F.lit(1).cast("bigint"),
+        "n_loads": count(volume.isNotNull()),
+        "n_positive": count(volume > 0),
+        "n_bad_times": count(F.col("bad_time")),
+        "n_bad_volumes": count(F.col("bad_volume")),
+        "volume": exact.total([F.col(c) for c in exact.LIMBS]),
+        "first_time": F.col("time"),
+        "last_time": F.col("time"),
+    }
+
+
 def unreadable(raw: Column, value: Column) -> Column:
     """True where something was written that has no value."""
     return raw.isNotNull() & value.isNull()

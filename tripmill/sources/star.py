@@ -9,8 +9,9 @@ joins spread these whatever their size in bytes.
 
 :meth:`StarTables.cube` is the other way: it aggregates the loads by their id columns and day before
 any join. That pays where the same truck, reader and driver meet often in a day, as they do in a plant,
-and where a report needs several rollups of one selection. Where nearly every load has a combination of
-its own, it shuffles the loads for nothing, and :meth:`StarTables.extract` is the better source.
+and where a report needs several rollups of one selection. Where most loads have a combination of their own,
+which a sketch of the combinations tells beforehand, they are joined first: groups of one load would only make
+them wider, in the tables of every grouping task and in the sorts of the joins.
 
 With the cube, attributes are attached to the few combinations of tag, reader, driver and day, and a
 tag or driver that owns a third of all loads is one of them. A repeated dimension key multiplies the
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.dates import instant, time_or_null
 from tripmill.functions.numbers import number_or_null
 from tripmill.operators.heavy import HeavyKeys, heavy_keys, spread_join
-from tripmill.operators.measures import MEASURES, TripCube, measurable, row_measures, unreadable
+from tripmill.operators.measures import MEASURES, TripCube, load_measures, measurable, row_measures, unreadable
 from tripmill.schema import Roles
 from tripmill.sources.partitions import DayPartitions
 
@@ -88,6 +89,15 @@ def within_period(
     return loads
 
 
+def _repeats(loads: DataFrame, by: Sequence[str]) -> bool:
+    """Whether grouping by these columns leaves at most half as many rows, by a sketch in one pass.
+
+    It decides only when they are grouped. A wrong guess changes no result.
+    """
+    found = loads.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*by))).first()
+    return 2 * found[1] <= found[0]
+
+
 @dataclass(frozen=True)
 class StarTables:
     """The load facts and their dimensions.
@@ -290,7 +300,8 @@ class StarTables:
         by_plant: bool = False,
     ) -> TripCube:
         """Measures of the selected loads with the attributes in ``keys``, aggregated before the
-        joins. With ``by_plant`` they are kept apart by the loads' own plant code, the cube's scope;
+        joins if that leaves at most half as many rows; other loads are joined as the narrow rows they
+        are, and measured one by one. With ``by_plant`` they are kept apart by the loads' own plant code, the cube's scope;
         loads without one are left out."""
         c = self.columns
         rows = self.selected_loads(site, start, end)
@@ -310,7 +321,11 @@ class StarTables:
             F.to_date(time).alias("day"),
         )
         by = [*ids, *scope, *(["day"] if "day" in keys else [])]
-        cube = self.with_site(self.with_vehicle(measurable(canonical).groupBy(*by).agg(*row_measures())))
+        repeated = _repeats(canonical, by)
+        cube = measurable(canonical).groupBy(*by).agg(*row_measures()) if repeated else canonical
+        cube = self.with_site(self.with_vehicle(cube))
         if need_driver:
             cube = self.with_driver(cube)
+        if not repeated:
+            cube = measurable(cube).withColumns(load_measures())
         return TripCube(cube.select(*scope, *keys, *MEASURES), scope)
